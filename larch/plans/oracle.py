@@ -19,6 +19,25 @@ def _period(year: int) -> str:
             f"AND o_orderdate < TIMESTAMP '{year + 1}-01-01')")
 
 
+RATINGS = ("(SELECT CAST(o_custkey AS INTEGER) AS userId, "
+           "CAST(substr(p_brand, 7) AS INTEGER) AS itemId, "
+           "CAST(ceil(avg(l_quantity) / 10) AS DOUBLE) AS rating, count(*) AS n_lines "
+           "FROM lineitem JOIN orders ON l_orderkey = o_orderkey "
+           "JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)")
+
+RATING_LINES = ("(SELECT CAST(userId AS VARCHAR) || '::' || CAST(itemId AS VARCHAR) || '::' "
+                "|| CAST(CAST(rating AS INTEGER) AS VARCHAR) || '::' || CAST(n_lines AS VARCHAR) "
+                f"AS value FROM {RATINGS} r)")
+
+BUCKET = ("(('0x' || substr(md5('42:' || CAST(userId AS VARCHAR) || ':' || "
+          "CAST(itemId AS VARCHAR)), 1, 8))::BIGINT % 100)")
+
+FOLDED = (f"(SELECT userId, itemId, rating, CASE WHEN {BUCKET} < 80 THEN 'train' "
+          f"ELSE 'test' END AS fold FROM {RATINGS} r)")
+TRAIN = f"(SELECT userId, itemId, rating FROM {FOLDED} f WHERE fold = 'train')"
+TEST = f"(SELECT userId, itemId, rating FROM {FOLDED} f WHERE fold = 'test')"
+
+
 VALUE_COUNTS = (f"SELECT label, count(*) AS n FROM {LABELLED} t WHERE {PRESENT} "
                 f"GROUP BY label ORDER BY label")
 
@@ -35,4 +54,22 @@ ORACLE: dict[str, str] = {
                       f"WHERE c_name IS NOT NULL AND c_name <> '' ORDER BY c_name"),
     "csv_lines": (f"SELECT {_csv_field('label')} || ',' || CAST(n AS VARCHAR) AS line "
                   f"FROM ({VALUE_COUNTS}) v"),
+    "parse_ratings": ("SELECT CAST(p[1] AS INTEGER) AS userId, CAST(p[2] AS INTEGER) AS itemId, "
+                      "CAST(p[3] AS DOUBLE) AS rating FROM (SELECT string_split(value, '::') AS p "
+                      f"FROM {RATING_LINES} l) s"),
+    "rating_split": ("SELECT fold, count(*) AS n, sum(userId) AS sum_user, sum(itemId) AS sum_item "
+                     f"FROM {FOLDED} f GROUP BY fold"),
+    "global_mean": f"SELECT avg(rating) AS global_mean FROM {TRAIN} t",
+    "global_mean_rmse": ("SELECT count(*) AS n_test, round(sqrt(avg(pow(rating - g.gm, 2))), 6) AS rmse "
+                         f"FROM {TEST} t, (SELECT avg(rating) AS gm FROM {TRAIN} t2) g"),
+    "means_interaction": (
+        "WITH tr AS " + TRAIN + ", "
+        "um AS (SELECT userId, avg(rating) AS user_mean FROM tr GROUP BY userId), "
+        "im AS (SELECT itemId, avg(rating) AS item_mean FROM tr GROUP BY itemId), "
+        "g AS (SELECT avg(rating) AS gm FROM tr) "
+        "SELECT tr.userId, tr.itemId, tr.rating, round(user_mean, 6) AS user_mean, "
+        "round(item_mean, 6) AS item_mean, "
+        "round(tr.rating - (user_mean + item_mean - g.gm), 6) AS user_item_interaction "
+        "FROM tr JOIN im ON tr.itemId = im.itemId JOIN um ON tr.userId = um.userId, g "
+        "ORDER BY tr.userId, tr.itemId"),
 }

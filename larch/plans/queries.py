@@ -9,13 +9,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larch.operators import counts
+from larch.operators import counts, ratings
 from larch.plans import fixtures
-from larch.sources import csv_lines
+from larch.sources import csv_lines, parse_ratings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 LABEL = "label"
+SEED = 42
 
 
 def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +49,50 @@ def csv_line_rendering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_lines(value_counts(spark, sf_dir))
 
 
+def parse_rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_ratings(fixtures.rating_lines(spark, sf_dir))
+
+
+def _ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.ratings(spark, sf_dir).select("userId", "itemId", "rating")
+
+
+def rating_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ratings.fold_summary(_ratings(spark, sf_dir), SEED)
+
+
+def global_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = ratings.split(_ratings(spark, sf_dir), SEED)
+    return ratings.global_mean(train)
+
+
+def global_mean_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = ratings.split(_ratings(spark, sf_dir), SEED)
+    return ratings.global_mean_rmse(train, test, digits=6)
+
+
+def means_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = ratings.split(_ratings(spark, sf_dir), SEED)
+    return ratings.means_and_interaction(train, digits=6)
+
+
+def _cached_split(spark: SparkSession, sf_dir: str):
+    # The model queries read the folds several times (fit, score, counts):
+    # materialise the ratings once.
+    r = _ratings(spark, sf_dir).cache()
+    return ratings.split(r, SEED)
+
+
+def als_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = _cached_split(spark, sf_dir)
+    return ratings.als_rmse(train, test, SEED)
+
+
+def als_bias_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = _cached_split(spark, sf_dir)
+    return ratings.als_bias_rmse(train, test, SEED)
+
+
 QUERIES: dict[str, Query] = {
     "row_count": row_count,
     "present_count": present_count,
@@ -56,4 +101,11 @@ QUERIES: dict[str, Query] = {
     "top_values": top_values,
     "common_values": common_values,
     "csv_lines": csv_line_rendering,
+    "parse_ratings": parse_rating_lines,
+    "rating_split": rating_split,
+    "global_mean": global_mean,
+    "global_mean_rmse": global_mean_rmse,
+    "means_interaction": means_interaction,
+    "als_rmse": als_rmse,
+    "als_bias_rmse": als_bias_rmse,
 }
