@@ -38,6 +38,77 @@ TRAIN = f"(SELECT userId, itemId, rating FROM {FOLDED} f WHERE fold = 'train')"
 TEST = f"(SELECT userId, itemId, rating FROM {FOLDED} f WHERE fold = 'test')"
 
 
+
+# --- baskets -------------------------------------------------------------
+
+def _basket_items(attr: str) -> str:
+    return (f"(SELECT DISTINCT l_orderkey AS id, {attr} AS item "
+            f"FROM lineitem JOIN part ON l_partkey = p_partkey)")
+
+
+def _itemset_ctes(attr: str, support: float, max_size: int) -> list[str]:
+    """CTEs ``b`` (basket, item), ``m`` (N and the minimum count) and
+    ``f1..fk``: every itemset of size k with its frequency, enumerated by a
+    k-way self-join on the basket with items in increasing order."""
+    ctes = [f"b AS {_basket_items(attr)}",
+            f"m AS (SELECT count(DISTINCT id) AS n, "
+            f"ceil(CAST({support} AS DOUBLE) * count(DISTINCT id)) AS minc FROM b)"]
+    for k in range(1, max_size + 1):
+        cols = ", ".join(f"b{j}.item AS i{j}" for j in range(1, k + 1))
+        frm = "b b1" + "".join(
+            f" JOIN b b{j} ON b{j}.id = b1.id AND b{j}.item > b{j - 1}.item"
+            for j in range(2, k + 1))
+        groups = ", ".join(str(j) for j in range(1, k + 1))
+        ctes.append(f"f{k} AS (SELECT {cols}, count(*) AS freq FROM {frm} "
+                    f"GROUP BY {groups} HAVING count(*) >= (SELECT minc FROM m))")
+    return ctes
+
+
+def _joined_cols(alias: str, idx: list[int]) -> str:
+    return "concat_ws(',', " + ", ".join(f"{alias}.i{j}" for j in idx) + ")"
+
+
+def itemsets_sql(attr: str, support: float, max_size: int) -> str:
+    ctes = _itemset_ctes(attr, support, max_size)
+    parts = [f"SELECT {_joined_cols(f'f{k}', list(range(1, k + 1)))} AS items, "
+             f"CAST({k} AS INTEGER) AS size, freq FROM f{k}"
+             for k in range(1, max_size + 1)]
+    return "WITH " + ", ".join(ctes) + " " + " UNION ALL ".join(parts)
+
+
+def _rules_cte(max_size: int, confidence: float) -> str:
+    """CTE ``r``: rules with one consequent from every itemset of size >= 2."""
+    parts = []
+    for k in range(2, max_size + 1):
+        for j in range(1, k + 1):
+            rest = [x for x in range(1, k + 1) if x != j]
+            on = " AND ".join(f"a.i{pos} = u.i{x}" for pos, x in enumerate(rest, start=1))
+            parts.append(
+                f"SELECT {_joined_cols('u', rest)} AS antecedent, u.i{j} AS consequent, "
+                f"u.freq / a.freq AS confidence FROM f{k} u JOIN f{k - 1} a ON {on}")
+    return ("r AS (SELECT * FROM (" + " UNION ALL ".join(parts) + ") x "
+            f"WHERE confidence >= CAST({confidence} AS DOUBLE))")
+
+
+def rules_sql(attr: str, support: float, confidence: float, max_size: int) -> str:
+    ctes = _itemset_ctes(attr, support, max_size) + [_rules_cte(max_size, confidence)]
+    return ("WITH " + ", ".join(ctes) +
+            " SELECT antecedent, consequent, round(confidence, 6) AS confidence FROM r")
+
+
+def interest_sql(attr: str, support: float, confidence: float, max_size: int) -> str:
+    ctes = _itemset_ctes(attr, support, max_size) + [_rules_cte(max_size, confidence)]
+    return ("WITH " + ", ".join(ctes) +
+            " SELECT r.antecedent, r.consequent, round(r.confidence, 6) AS confidence, "
+            "s.i1 AS items, s.freq, round(abs(r.confidence - s.freq / m.n), 6) AS interest "
+            "FROM r JOIN f1 s ON s.i1 = r.consequent, m")
+
+
+BASKETS = ("SELECT row_number() OVER (ORDER BY id) - 1 AS id, CAST(id AS VARCHAR) AS name, "
+           "string_agg(item, ',' ORDER BY item) AS items "
+           f"FROM {_basket_items('p_type')} b GROUP BY id")
+
+
 VALUE_COUNTS = (f"SELECT label, count(*) AS n FROM {LABELLED} t WHERE {PRESENT} "
                 f"GROUP BY label ORDER BY label")
 
@@ -72,4 +143,12 @@ ORACLE: dict[str, str] = {
         "round(tr.rating - (user_mean + item_mean - g.gm), 6) AS user_item_interaction "
         "FROM tr JOIN im ON tr.itemId = im.itemId JOIN um ON tr.userId = um.userId, g "
         "ORDER BY tr.userId, tr.itemId"),
+    "baskets": BASKETS,
+    # Six part types: every subset size up to six is enumerated.
+    "frequent_itemsets": itemsets_sql("p_type", 0.05, 6),
+    "association_rules": rules_sql("p_type", 0.05, 0.3, 6),
+    "rule_interest": interest_sql("p_type", 0.05, 0.3, 6),
+    # 25 brands: sizes up to five (none above three is frequent at sf0.01;
+    # by downward closure an empty size ends the enumeration).
+    "frequent_pairs": itemsets_sql("p_brand", 0.005, 5),
 }

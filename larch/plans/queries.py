@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larch.operators import counts, ratings
+from larch.operators import baskets, counts, ratings
 from larch.plans import fixtures
 from larch.sources import csv_lines, parse_ratings
 
@@ -93,6 +93,52 @@ def als_bias_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ratings.als_bias_rmse(train, test, SEED)
 
 
+# FP-Growth thresholds (support, confidence) per basket fixture.
+TYPE_THRESHOLDS = (0.05, 0.3)
+BRAND_THRESHOLDS = (0.005, 0.1)
+ITEM_SEP = ","
+
+
+def _joined(col: str):
+    return F.array_join(col, ITEM_SEP).alias(col)
+
+
+def basket_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = fixtures.basket_lines(spark, sf_dir, "p_type")
+    b = baskets.basket_table(lines, key="key")
+    return b.select("id", "name", _joined("items"))
+
+
+def _model(spark: SparkSession, sf_dir: str, item_col: str, thresholds):
+    b = fixtures.order_baskets(spark, sf_dir, item_col)
+    return b, baskets.fit(b, *thresholds)
+
+
+def frequent_itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, model = _model(spark, sf_dir, "p_type", TYPE_THRESHOLDS)
+    return baskets.frequent_itemsets(model).select(_joined("items"), "size", "freq")
+
+
+def association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, model = _model(spark, sf_dir, "p_type", TYPE_THRESHOLDS)
+    return baskets.association_rules(model).select(
+        _joined("antecedent"), _joined("consequent"),
+        F.round("confidence", 6).alias("confidence"))
+
+
+def rule_interest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b, model = _model(spark, sf_dir, "p_type", TYPE_THRESHOLDS)
+    return baskets.rule_interest(model, b).select(
+        _joined("antecedent"), _joined("consequent"),
+        F.round("confidence", 6).alias("confidence"), _joined("items"), "freq",
+        F.round("interest", 6).alias("interest"))
+
+
+def frequent_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, model = _model(spark, sf_dir, "p_brand", BRAND_THRESHOLDS)
+    return baskets.frequent_itemsets(model).select(_joined("items"), "size", "freq")
+
+
 QUERIES: dict[str, Query] = {
     "row_count": row_count,
     "present_count": present_count,
@@ -108,4 +154,9 @@ QUERIES: dict[str, Query] = {
     "means_interaction": means_interaction,
     "als_rmse": als_rmse,
     "als_bias_rmse": als_bias_rmse,
+    "baskets": basket_ids,
+    "frequent_itemsets": frequent_itemsets,
+    "association_rules": association_rules,
+    "rule_interest": rule_interest,
+    "frequent_pairs": frequent_pairs,
 }
