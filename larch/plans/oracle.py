@@ -109,6 +109,99 @@ BASKETS = ("SELECT row_number() OVER (ORDER BY id) - 1 AS id, CAST(id AS VARCHAR
            f"FROM {_basket_items('p_type')} b GROUP BY id")
 
 
+
+# --- membership and k-means ---------------------------------------------
+
+NATION_PARTS = ("(SELECT DISTINCT c_nationkey AS entity, l_partkey AS feature FROM lineitem "
+                "JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey)")
+CUSTOMER_BRANDS = ("(SELECT DISTINCT o_custkey AS entity, p_brand AS feature FROM lineitem "
+                   "JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)")
+
+MEMBERSHIP_SETS = (f"WITH c AS {NATION_PARTS} SELECT entity, count(*) AS n_features, "
+                   "(SELECT count(DISTINCT feature) FROM c) - count(*) AS n_absent "
+                   "FROM c GROUP BY entity")
+
+MEMBERSHIP_CELLS = (f"WITH c AS {CUSTOMER_BRANDS} SELECT e.entity, f.feature, "
+                    "CASE WHEN c.entity IS NULL THEN 0 ELSE 1 END AS present "
+                    "FROM (SELECT DISTINCT entity FROM c) e CROSS JOIN (SELECT DISTINCT feature FROM c) f "
+                    "LEFT JOIN c ON c.entity = e.entity AND c.feature = f.feature")
+
+PAIRWISE_DISTANCE = (f"WITH c AS {NATION_PARTS}, "
+                     "d AS (SELECT entity, count(*) AS n FROM c GROUP BY entity), "
+                     "o AS (SELECT x.entity AS a, y.entity AS b, count(*) AS overlap FROM c x "
+                     "JOIN c y ON x.feature = y.feature AND x.entity < y.entity GROUP BY 1, 2) "
+                     "SELECT da.entity AS a, db.entity AS b, "
+                     "da.n + db.n - 2 * coalesce(o.overlap, 0) AS distance "
+                     "FROM d da JOIN d db ON da.entity < db.entity "
+                     "LEFT JOIN o ON o.a = da.entity AND o.b = db.entity")
+
+
+def _init_cte(k: int, seed: int) -> str:
+    key = f"md5('{seed}:' || CAST(entity AS VARCHAR))"
+    return (f"a0 AS (SELECT CAST(row_number() OVER (ORDER BY {key}, entity) - 1 AS INTEGER) AS cluster, "
+            f"entity FROM (SELECT DISTINCT entity FROM c) e ORDER BY {key}, entity LIMIT {k})")
+
+
+def _stats_ctes(r: int) -> list[str]:
+    """Weights ``w{r}`` (feature, cluster, w) and sizes ``s{r}`` (cluster,
+    m, sq) of assignment ``a{r}``; a cluster without members keeps the
+    statistics of round r-1."""
+    keep_w = keep_s = ""
+    if r > 0:
+        keep_w = (f" UNION ALL SELECT feature, cluster, w FROM w{r - 1} "
+                  f"WHERE cluster NOT IN (SELECT cluster FROM a{r})")
+        keep_s = (f" UNION ALL SELECT cluster, m FROM m{r - 1} "
+                  f"WHERE cluster NOT IN (SELECT cluster FROM a{r})")
+    return [
+        f"w{r} AS (SELECT feature, cluster, count(*) AS w FROM c JOIN a{r} USING (entity) "
+        f"GROUP BY feature, cluster{keep_w})",
+        f"m{r} AS (SELECT cluster, count(*) AS m FROM a{r} GROUP BY cluster{keep_s})",
+        f"s{r} AS (SELECT m{r}.cluster, m{r}.m, coalesce(q.sq, 0) AS sq FROM m{r} LEFT JOIN "
+        f"(SELECT cluster, sum(w * w) AS sq FROM w{r} GROUP BY cluster) q USING (cluster))",
+    ]
+
+
+def _assign_cte(r: int) -> str:
+    """Assignment ``a{r}`` from the statistics of round r-1."""
+    p = r - 1
+    dist = ("CAST(x.nx AS DOUBLE) - (CAST(2 AS DOUBLE) * CAST(coalesce(t.dot, 0) AS DOUBLE)) "
+            "/ CAST(s.m AS DOUBLE) + CAST(s.sq AS DOUBLE) / (CAST(s.m AS DOUBLE) * CAST(s.m AS DOUBLE))")
+    return (f"a{r} AS (SELECT entity, cluster FROM ("
+            f"SELECT x.entity, s.cluster, row_number() OVER (PARTITION BY x.entity "
+            f"ORDER BY {dist}, s.cluster) AS rk "
+            f"FROM nx x CROSS JOIN s{p} s LEFT JOIN "
+            f"(SELECT c.entity, w.cluster, sum(w.w) AS dot FROM c JOIN w{p} w USING (feature) "
+            f"GROUP BY c.entity, w.cluster) t ON t.entity = x.entity AND t.cluster = s.cluster"
+            f") z WHERE rk = 1)")
+
+
+def kmeans_ctes(rounds: int, k: int = 4, seed: int = 42) -> list[str]:
+    ctes = [f"c AS {CUSTOMER_BRANDS}",
+            "nx AS (SELECT entity, count(*) AS nx FROM c GROUP BY entity)",
+            _init_cte(k, seed)]
+    ctes += _stats_ctes(0)
+    for r in range(1, rounds + 1):
+        ctes.append(_assign_cte(r))
+        if r < rounds:
+            ctes += _stats_ctes(r)
+    return ctes
+
+
+def kmeans_sql(rounds: int, k: int = 4, seed: int = 42) -> str:
+    return "WITH " + ", ".join(kmeans_ctes(rounds, k, seed)) + \
+        f" SELECT entity, CAST(cluster AS INTEGER) AS cluster FROM a{rounds}"
+
+
+SEEDED_CENTROIDS = "WITH " + ", ".join(kmeans_ctes(0)[:3]) + " SELECT cluster, entity FROM a0"
+
+NEAREST_CENTROID = ("WITH " + ", ".join(kmeans_ctes(1)) +
+                    " SELECT i.entity AS centroid, a1.entity FROM a1 JOIN a0 i USING (cluster)")
+
+# Rounds unrolled for the converged oracle; Lloyd's assignments are a fixed
+# point once stable, so extra rounds do not change the answer.
+CONVERGED_ROUNDS = 40
+
+
 VALUE_COUNTS = (f"SELECT label, count(*) AS n FROM {LABELLED} t WHERE {PRESENT} "
                 f"GROUP BY label ORDER BY label")
 
@@ -151,4 +244,12 @@ ORACLE: dict[str, str] = {
     # 25 brands: sizes up to five (none above three is frequent at sf0.01;
     # by downward closure an empty size ends the enumeration).
     "frequent_pairs": itemsets_sql("p_brand", 0.005, 5),
+    "membership_sets": MEMBERSHIP_SETS,
+    "membership_cells": MEMBERSHIP_CELLS,
+    "pairwise_distance": PAIRWISE_DISTANCE,
+    "seeded_centroids": SEEDED_CENTROIDS,
+    "nearest_centroid": NEAREST_CENTROID,
+    "kmeans_5": kmeans_sql(5),
+    "kmeans_converged": ("SELECT cluster, count(*) AS n FROM (" + kmeans_sql(CONVERGED_ROUNDS) +
+                         ") z GROUP BY cluster"),
 }

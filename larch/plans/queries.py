@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larch.operators import baskets, counts, ratings
+from larch.operators import baskets, clusters, counts, membership, ratings
 from larch.plans import fixtures
 from larch.sources import csv_lines, parse_ratings
 
@@ -139,6 +139,44 @@ def frequent_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return baskets.frequent_itemsets(model).select(_joined("items"), "size", "freq")
 
 
+K = 4  # clusters in the k-means queries
+
+
+def membership_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return membership.membership_sets(fixtures.nation_parts(spark, sf_dir))
+
+
+def membership_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return membership.dense_cells(fixtures.customer_brands(spark, sf_dir))
+
+
+def pairwise_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return membership.pairwise_distance(fixtures.nation_parts(spark, sf_dir))
+
+
+def seeded_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.init_centroids(fixtures.customer_brands(spark, sf_dir), K, SEED)
+
+
+def nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.first_assignment(fixtures.customer_brands(spark, sf_dir), K, SEED)
+
+
+def _cells_cached(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Every k-means round reads the membership cells: build them once.
+    return fixtures.customer_brands(spark, sf_dir).cache()
+
+
+def kmeans_5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result = clusters.kmeans(_cells_cached(spark, sf_dir), K, SEED, max_rounds=5)
+    return result.assignment.select("entity", "cluster")
+
+
+def kmeans_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result = clusters.kmeans(_cells_cached(spark, sf_dir), K, SEED, max_rounds=None)
+    return clusters.cluster_sizes(result.assignment)
+
+
 QUERIES: dict[str, Query] = {
     "row_count": row_count,
     "present_count": present_count,
@@ -159,4 +197,11 @@ QUERIES: dict[str, Query] = {
     "association_rules": association_rules,
     "rule_interest": rule_interest,
     "frequent_pairs": frequent_pairs,
+    "membership_sets": membership_sets,
+    "membership_cells": membership_cells,
+    "pairwise_distance": pairwise_distance,
+    "seeded_centroids": seeded_centroids,
+    "nearest_centroid": nearest_centroid,
+    "kmeans_5": kmeans_5,
+    "kmeans_converged": kmeans_converged,
 }
