@@ -40,7 +40,7 @@ def init_centroids(cells: DataFrame, k: int, seed: int) -> DataFrame:
 
 @dataclass
 class Centroids:
-    weights: DataFrame          # (feature, w0 .. w{k-1})
+    weights: DataFrame          # (feature, w0 .. w{k-1}), cached
     sizes: list[int]            # m_c
     sq: list[int]               # sq_c
 
@@ -49,18 +49,36 @@ def _weight_cols(k: int) -> list[str]:
     return [f"w{c}" for c in range(k)]
 
 
+def cluster_weights(cells: DataFrame, assignment: DataFrame, k: int) -> DataFrame:
+    """``(feature, w0..w{k-1})``: members of each cluster holding the feature.
+
+    When ``cells`` and ``assignment`` are both hash-partitioned by entity
+    (as inside :func:`kmeans`) the join needs no shuffle; only the partial
+    per-feature sums are exchanged.
+    """
+    return (cells.join(assignment, "entity")
+            .groupBy("feature")
+            .agg(*[F.sum(F.when(F.col("cluster") == c, 1).otherwise(0)).cast("bigint").alias(col)
+                   for c, col in enumerate(_weight_cols(k))]))
+
+
 def centroid_stats(cells: DataFrame, assignment: DataFrame, k: int,
-                   previous: Centroids | None = None) -> Centroids:
+                   previous: Centroids | None = None,
+                   sizes: list[int] | None = None) -> Centroids:
     """Centroid statistics of an assignment ``(entity, cluster)``.  A
-    cluster left without members keeps its previous centroid."""
+    cluster left without members keeps its previous centroid.
+
+    The weights (one row per feature, k counters) are checkpointed: this
+    cuts the lineage of the iteration, since the next assignment depends
+    only on the cells and these weights.
+    """
     cols = _weight_cols(k)
-    weights = (cells.join(assignment, "entity")
-               .groupBy("feature")
-               .agg(*[F.sum(F.when(F.col("cluster") == c, 1).otherwise(0)).cast("bigint").alias(col)
-                      for c, col in enumerate(cols)]))
-    counts = {r["cluster"]: r["n"] for r in
-              assignment.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()}
-    sizes = [int(counts.get(c, 0)) for c in range(k)]
+    weights = cluster_weights(cells, assignment, k)
+    if sizes is None:
+        counts = {r["cluster"]: r["n"] for r in
+                  assignment.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()}
+        sizes = [int(counts.get(c, 0)) for c in range(k)]
+    sizes = list(sizes)
     empty = [c for c in range(k) if sizes[c] == 0]
     if empty and previous is not None:
         old = previous.weights.select(
@@ -72,6 +90,9 @@ def centroid_stats(cells: DataFrame, assignment: DataFrame, k: int,
                        for c in range(k)]))
         for c in empty:
             sizes[c] = previous.sizes[c]
+    # Checkpointed (lineage cut, survives lost executors), then cached so
+    # the broadcast of every round does not re-read the checkpoint files.
+    weights = _materialise(weights).persist()
     sq_row = weights.agg(*[F.coalesce(F.sum(F.col(c) * F.col(c)), F.lit(0)).alias(c)
                            for c in cols]).first()
     sq = [int(sq_row[c]) for c in cols]
@@ -86,7 +107,11 @@ def distance_expr(nx, dot, m: int, sq: int):
 
 
 def assign(cells: DataFrame, centroids: Centroids) -> DataFrame:
-    """``(entity, cluster)``: the nearest centroid of every entity."""
+    """``(entity, cluster)``: the nearest centroid of every entity.
+
+    The per-entity aggregation keeps the entity partitioning of ``cells``:
+    with the weights broadcast, an assignment round shuffles nothing.
+    """
     k = len(centroids.sizes)
     cols = _weight_cols(k)
     per_entity = (cells.join(centroids.weights, "feature", "left")
@@ -109,6 +134,15 @@ def _materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def partition_cells(cells: DataFrame) -> DataFrame:
+    """Hash-partition the cells by entity once and cache them.  The cache
+    keeps the partitioning, so every round aggregates per entity and joins
+    with the (equally partitioned) assignment without moving cells.  A lost
+    cached block is recomputed from the deterministic lineage."""
+    n = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cells.select("entity", "feature").repartition(n, "entity").persist()
+
+
 @dataclass
 class KMeansResult:
     assignment: DataFrame       # (entity, cluster)
@@ -122,9 +156,13 @@ def kmeans(cells: DataFrame, k: int, seed: int, max_rounds: int | None = 5,
     """Lloyd iterations: assign, update, repeat while assignments change.
 
     ``max_rounds`` bounds the assignment rounds (``None``: until stable,
-    with ``safety_rounds`` as a guard against cycling).  One small count
-    per round reaches the driver (changed entities, cluster sizes).
+    with ``safety_rounds`` as a guard against cycling).  Per round: one
+    pass over the cells that assigns every entity (cached, partitioned by
+    entity) and returns a k-row summary to the driver (changed entities,
+    cluster sizes), and one pass for the new per-feature weights
+    (checkpointed).
     """
+    cells = partition_cells(cells)
     init = _materialise(init_centroids(cells, k, seed))
     centroids = centroid_stats(cells, init, k)
     limit = max_rounds if max_rounds is not None else safety_rounds
@@ -132,17 +170,30 @@ def kmeans(cells: DataFrame, k: int, seed: int, max_rounds: int | None = 5,
     rounds = 0
     converged = False
     while rounds < limit:
-        assignment = _materialise(assign(cells, centroids))
+        assignment = assign(cells, centroids).persist()
         rounds += 1
         if previous is not None:
-            changed = (assignment.alias("n").join(previous.alias("p"), "entity")
-                       .where(F.col("n.cluster") != F.col("p.cluster")).count())
-            if changed == 0:
-                converged = True
-                break
+            compared = assignment.join(
+                previous.select("entity", F.col("cluster").alias("_prev")), "entity")
+            changed = F.sum(F.when(F.col("cluster") != F.col("_prev"), 1).otherwise(0))
+        else:
+            compared, changed = assignment, F.lit(None)
+        summary = compared.agg(
+            changed.alias("changed"),
+            *[F.count(F.when(F.col("cluster") == c, 1)).alias(f"n{c}") for c in range(k)],
+        ).first()
+        if previous is not None:
+            previous.unpersist()
         previous = assignment
-        centroids = centroid_stats(cells, assignment, k, centroids)
-    return KMeansResult(assignment, rounds, converged, init)
+        if summary["changed"] == 0:
+            converged = True
+            break
+        if rounds < limit:
+            old = centroids
+            centroids = centroid_stats(cells, assignment, k, old,
+                                       sizes=[int(summary[f"n{c}"]) for c in range(k)])
+            old.weights.unpersist()
+    return KMeansResult(previous, rounds, converged, init)
 
 
 def first_assignment(cells: DataFrame, k: int, seed: int) -> DataFrame:
