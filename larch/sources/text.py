@@ -54,7 +54,8 @@ def parse_delimited(lines: DataFrame, sep: str, fields: Sequence[tuple[int, str,
     or holding a value that does not cast is dropped.
     """
     parts = F.split(F.col(value_col), _quoted(sep))
-    cols = [parts.getItem(pos).try_cast(typ).alias(name) for pos, name, typ in fields]
+    # F.get: NULL past the end of a short line (getItem raises under ANSI).
+    cols = [F.get(parts, pos).try_cast(typ).alias(name) for pos, name, typ in fields]
     names = [name for _, name, _ in fields]
     keep = F.lit(True)
     for name in names:
