@@ -52,9 +52,8 @@ def _weight_cols(k: int) -> list[str]:
 def cluster_weights(cells: DataFrame, assignment: DataFrame, k: int) -> DataFrame:
     """``(feature, w0..w{k-1})``: members of each cluster holding the feature.
 
-    When ``cells`` and ``assignment`` are both hash-partitioned by entity
-    (as inside :func:`kmeans`) the join needs no shuffle; only the partial
-    per-feature sums are exchanged.
+    The assignment has one row per entity; only partial per-feature sums
+    (k counters per feature and task) are exchanged after the join.
     """
     return (cells.join(assignment, "entity")
             .groupBy("feature")
@@ -109,8 +108,8 @@ def distance_expr(nx, dot, m: int, sq: int):
 def assign(cells: DataFrame, centroids: Centroids) -> DataFrame:
     """``(entity, cluster)``: the nearest centroid of every entity.
 
-    The per-entity aggregation keeps the entity partitioning of ``cells``:
-    with the weights broadcast, an assignment round shuffles nothing.
+    With the weights broadcast (one row per feature, k counters), a round
+    reads the cells once and exchanges only partial per-entity sums.
     """
     k = len(centroids.sizes)
     cols = _weight_cols(k)
@@ -135,12 +134,16 @@ def _materialise(df: DataFrame) -> DataFrame:
 
 
 def partition_cells(cells: DataFrame) -> DataFrame:
-    """Hash-partition the cells by entity once and cache them.  The cache
-    keeps the partitioning, so every round aggregates per entity and joins
-    with the (equally partitioned) assignment without moving cells.  A lost
-    cached block is recomputed from the deterministic lineage."""
-    n = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cells.select("entity", "feature").repartition(n, "entity").persist()
+    """Cache the cells for the rounds, in their own (balanced) partitioning.
+
+    They are deliberately not hash-partitioned by entity: an entity holding
+    a third of all cells would then sit in one task every round.  Per-entity
+    sums go through partial aggregation instead, and the join with the
+    assignment is planned by AQE (broadcast when the assignment is small,
+    otherwise sort-merge with the skewed partitions split).  A lost cached
+    block is recomputed from the deterministic lineage.
+    """
+    return cells.select("entity", "feature").persist()
 
 
 @dataclass
@@ -157,10 +160,9 @@ def kmeans(cells: DataFrame, k: int, seed: int, max_rounds: int | None = 5,
 
     ``max_rounds`` bounds the assignment rounds (``None``: until stable,
     with ``safety_rounds`` as a guard against cycling).  Per round: one
-    pass over the cells that assigns every entity (cached, partitioned by
-    entity) and returns a k-row summary to the driver (changed entities,
-    cluster sizes), and one pass for the new per-feature weights
-    (checkpointed).
+    pass over the cached cells that assigns every entity and returns a
+    one-row summary to the driver (changed entities, k cluster sizes), and
+    one pass for the new per-feature weights (checkpointed).
     """
     cells = partition_cells(cells)
     init = _materialise(init_centroids(cells, k, seed))

@@ -55,23 +55,31 @@ def _block_count(n: int, per_block: int) -> int:
     return max(1, math.ceil(n / per_block))
 
 
-def dense_cells(cells: DataFrame, features_per_block: int = 1024) -> DataFrame:
+def dense_cells(cells: DataFrame, entities_per_block: int = 4096,
+                features_per_block: int = 1024) -> DataFrame:
     """Every ``(entity, feature)`` cell of the domain with ``present`` 0/1.
 
     The result has |entities| x |features| rows by definition.  It is built
-    as a blocked equi-join: features are hashed into blocks of about
-    ``features_per_block``; every entity is repeated once per block and
-    joined to the features of that block, so a task holds one block of
-    features and streams entities past it.  A one-block dictionary is small
-    enough for AQE to broadcast; larger ones are joined by block.
+    as a blocked product: entities and features are hashed into blocks; each
+    entity is repeated once per feature block and each feature once per
+    entity block, and the two meet in an equi-join on the block pair.  Every
+    join key then holds at most one block of each side, whatever the sizes
+    of the two domains.  A single feature block is small and AQE broadcasts
+    it, so each entity is expanded where it is.
     """
-    n_features = cells.select("feature").distinct().count()
-    nfb = _block_count(n_features, features_per_block)
-    block = F.pmod(F.xxhash64("feature"), F.lit(nfb))
-    features = cells.select("feature").distinct().withColumn("_fb", block)
-    entities = (cells.select("entity").distinct()
-                .withColumn("_fb", F.explode(F.sequence(F.lit(0), F.lit(nfb - 1)).cast("array<bigint>"))))
-    grid = entities.join(features, "_fb").drop("_fb")
+    entities = cells.select("entity").distinct()
+    features = cells.select("feature").distinct()
+    neb = _block_count(entities.count(), entities_per_block)
+    nfb = _block_count(features.count(), features_per_block)
+
+    def blocks(n):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>"))
+
+    left = entities.select("entity", F.pmod(F.xxhash64("entity"), F.lit(neb)).alias("_eb"),
+                           blocks(nfb).alias("_fb"))
+    right = features.select("feature", blocks(neb).alias("_eb"),
+                            F.pmod(F.xxhash64("feature"), F.lit(nfb)).alias("_fb"))
+    grid = left.join(right, ["_eb", "_fb"]).select("entity", "feature")
     ones = cells.withColumn("present", F.lit(1))
     return (grid.join(ones, ["entity", "feature"], "left")
             .select("entity", "feature", F.coalesce("present", F.lit(0)).alias("present")))

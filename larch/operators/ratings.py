@@ -119,6 +119,49 @@ def als(seed: int, rating_col: str = "rating") -> ALS:
                coldStartStrategy=ALS_COLD_START, seed=seed)
 
 
+INT_MAX = 2**31 - 1
+
+
+def _fits_int(df: DataFrame, col: str) -> bool:
+    row = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
+    return row.lo is None or (-(2**31) <= row.lo and row.hi <= INT_MAX)
+
+
+def id_index(ratings: DataFrame, col: str) -> DataFrame:
+    """``(col, _ix)``: dense INT ids 0..n-1 for the distinct values of
+    ``col``, numbered in key order without a single-task window."""
+    from larch.operators.rowid import ordered_ids
+    distinct = ratings.select(col).distinct()
+    return ordered_ids(distinct, col, id_col="_ix").select(col, F.col("_ix").cast("int").alias("_ix"))
+
+
+def als_ready(train: DataFrame, test: DataFrame):
+    """ALS needs INT ids.  Ids that fit are cast; otherwise users and items
+    are re-indexed densely (one distinct + one numbering job each) and both
+    folds are joined with the index.  Returns (train, test, restore) where
+    ``restore`` maps predictions back to the original ids."""
+    cols = []
+    for col in ("userId", "itemId"):
+        if not _fits_int(train, col) or not _fits_int(test, col):
+            cols.append(col)
+    if not cols:
+        cast = {c: F.col(c).cast("int") for c in ("userId", "itemId")}
+        return train.withColumns(cast), test.withColumns(cast), (lambda df: df)
+    indexes = {c: id_index(train.select(c).unionByName(test.select(c)), c) for c in cols}
+
+    def to_ix(df):
+        for c, ix in indexes.items():
+            df = df.join(ix, c).drop(c).withColumnRenamed("_ix", c)
+        return df
+
+    def restore(df):
+        for c, ix in indexes.items():
+            df = df.join(ix.withColumnRenamed(c, "_orig"), df[c] == ix["_ix"]) \
+                   .drop(c, "_ix").withColumnRenamed("_orig", c)
+        return df
+    return to_ix(train), to_ix(test), restore
+
+
 def _fit_partitions(train: DataFrame) -> int:
     # ALS results depend slightly on how ratings are blocked; fix the
     # partition count so repeated runs agree.
@@ -128,8 +171,9 @@ def _fit_partitions(train: DataFrame) -> int:
 def als_predictions(train: DataFrame, test: DataFrame, seed: int) -> DataFrame:
     """Fit ALS on ``train`` and predict ``test``; cold-start rows are dropped."""
     n = _fit_partitions(train)
+    train, test, restore = als_ready(train, test)
     model = als(seed).fit(train.repartition(n, "userId"))
-    return model.transform(test)
+    return restore(model.transform(test))
 
 
 def als_rmse(train: DataFrame, test: DataFrame, seed: int, digits: int | None = None) -> DataFrame:
@@ -148,8 +192,9 @@ def als_bias_rmse(train: DataFrame, test: DataFrame, seed: int,
         "userId", "itemId",
         (F.col("rating") - (F.col("user_mean") + F.col("item_mean") - gm)).alias("interaction"))
     n = _fit_partitions(train)
+    residual, test_ix, restore = als_ready(residual, test)
     model = als(seed, "interaction").fit(residual.repartition(n, "userId"))
-    pred = with_means(model.transform(test), user_mean, item_mean)
+    pred = with_means(restore(model.transform(test_ix)), user_mean, item_mean)
     pred = pred.withColumn(
         "prediction", F.col("prediction") + F.col("user_mean") + F.col("item_mean") - gm)
     scored = rmse(pred, digits=digits)

@@ -49,14 +49,17 @@ def period_customers(spark: SparkSession, sf_dir: str, year: int) -> DataFrame:
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(userId, itemId, rating, n_lines)``: one rating per customer and
-    brand, ``ceil(avg(quantity) / 10)``, so ratings are integers 1..5."""
+    brand, ``ceil(avg(quantity) / 10)``, so ratings are integers 1..5.
+
+    ``userId`` stays BIGINT (customer keys outgrow INT at large scale); the
+    ALS operators cast or re-index ids themselves."""
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_quantity")
     orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
     part = read_table(spark, sf_dir, "part", "p_partkey", "p_brand")
     joined = (li.join(orders, li.l_orderkey == orders.o_orderkey)
               .join(part, li.l_partkey == part.p_partkey))
     return (joined.groupBy(
-                F.col("o_custkey").cast("int").alias("userId"),
+                F.col("o_custkey").alias("userId"),
                 F.substring("p_brand", 7, 8).cast("int").alias("itemId"))
             .agg(F.ceil(F.avg("l_quantity") / 10).cast("double").alias("rating"),
                  F.count(F.lit(1)).alias("n_lines")))

@@ -19,7 +19,7 @@ def _period(year: int) -> str:
             f"AND o_orderdate < TIMESTAMP '{year + 1}-01-01')")
 
 
-RATINGS = ("(SELECT CAST(o_custkey AS INTEGER) AS userId, "
+RATINGS = ("(SELECT o_custkey AS userId, "
            "CAST(substr(p_brand, 7) AS INTEGER) AS itemId, "
            "CAST(ceil(avg(l_quantity) / 10) AS DOUBLE) AS rating, count(*) AS n_lines "
            "FROM lineitem JOIN orders ON l_orderkey = o_orderkey "

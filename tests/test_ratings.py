@@ -75,3 +75,23 @@ def test_als_invariants(spark, rated):
     assert first.n_test == test.count()
     bias = ratings.als_bias_rmse(train, test, 42).first()
     assert math.isfinite(bias.rmse) and bias.n_scored == first.n_scored
+
+
+def test_als_reindexes_wide_ids(spark):
+    import random
+    rnd = random.Random(3)
+    rows = [(u, i, float(rnd.randint(1, 5))) for u in range(30) for i in range(12)
+            if rnd.random() < 0.6]
+    small = spark.createDataFrame(rows, "userId long, itemId long, rating double")
+    train, test = ratings.split(small, 42)
+
+    def widen(df):
+        return df.withColumn("userId", F.col("userId") + F.lit(10**10))
+
+    a = ratings.als_rmse(train, test, 42).first()
+    b = ratings.als_rmse(widen(train), widen(test), 42).first()
+    # Dense re-indexing in key order gives back ids 0..29: the same model.
+    assert (a.n_test, a.n_scored) == (b.n_test, b.n_scored)
+    assert b.rmse == pytest.approx(a.rmse, abs=1e-6)
+    pred = ratings.als_predictions(widen(train), widen(test), 42)
+    assert pred.agg(F.min("userId")).first()[0] >= 10**10
