@@ -113,18 +113,31 @@ def means_and_interaction(train: DataFrame, digits: int | None = None) -> DataFr
             .orderBy("userId", "itemId"))
 
 
-def als(seed: int, rating_col: str = "rating") -> ALS:
+def als(seed: int, rating_col: str = "rating", blocks: int = 10) -> ALS:
+    """ALS with the fixed settings.  ``blocks`` user and item blocks: the
+    factor updates run as that many parallel tasks, so it should follow the
+    cluster's parallelism (MLlib's default of 10 would not)."""
     return ALS(maxIter=ALS_MAX_ITER, rank=ALS_RANK, regParam=ALS_REG_PARAM,
                userCol="userId", itemCol="itemId", ratingCol=rating_col,
-               coldStartStrategy=ALS_COLD_START, seed=seed)
+               coldStartStrategy=ALS_COLD_START, seed=seed,
+               numUserBlocks=blocks, numItemBlocks=blocks)
 
 
 INT_MAX = 2**31 - 1
 
 
-def _fits_int(df: DataFrame, col: str) -> bool:
-    row = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-    return row.lo is None or (-(2**31) <= row.lo and row.hi <= INT_MAX)
+def _wide_id_columns(train: DataFrame, test: DataFrame) -> list[str]:
+    """Id columns holding values outside INT: one aggregate over both folds."""
+    cols = ("userId", "itemId")
+    both = train.select(*cols).unionByName(test.select(*cols))
+    row = both.agg(*[f(c).alias(f"{n}_{c}") for c in cols
+                     for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    wide = []
+    for c in cols:
+        lo, hi = row[f"lo_{c}"], row[f"hi_{c}"]
+        if lo is not None and (lo < -(2**31) or hi > INT_MAX):
+            wide.append(c)
+    return wide
 
 
 def id_index(ratings: DataFrame, col: str) -> DataFrame:
@@ -140,10 +153,7 @@ def als_ready(train: DataFrame, test: DataFrame):
     are re-indexed densely (one distinct + one numbering job each) and both
     folds are joined with the index.  Returns (train, test, restore) where
     ``restore`` maps predictions back to the original ids."""
-    cols = []
-    for col in ("userId", "itemId"):
-        if not _fits_int(train, col) or not _fits_int(test, col):
-            cols.append(col)
+    cols = _wide_id_columns(train, test)
     if not cols:
         cast = {c: F.col(c).cast("int") for c in ("userId", "itemId")}
         return train.withColumns(cast), test.withColumns(cast), (lambda df: df)
@@ -163,8 +173,9 @@ def als_ready(train: DataFrame, test: DataFrame):
 
 
 def _fit_partitions(train: DataFrame) -> int:
-    # ALS results depend slightly on how ratings are blocked; fix the
-    # partition count so repeated runs agree.
+    # ALS results depend on how ratings are blocked; tie the input
+    # partitions and the block count to the configured shuffle parallelism
+    # so repeated runs agree and the fit scales with the cluster.
     return int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
@@ -172,7 +183,7 @@ def als_predictions(train: DataFrame, test: DataFrame, seed: int) -> DataFrame:
     """Fit ALS on ``train`` and predict ``test``; cold-start rows are dropped."""
     n = _fit_partitions(train)
     train, test, restore = als_ready(train, test)
-    model = als(seed).fit(train.repartition(n, "userId"))
+    model = als(seed, blocks=n).fit(train.repartition(n, "userId"))
     return restore(model.transform(test))
 
 
@@ -193,7 +204,7 @@ def als_bias_rmse(train: DataFrame, test: DataFrame, seed: int,
         (F.col("rating") - (F.col("user_mean") + F.col("item_mean") - gm)).alias("interaction"))
     n = _fit_partitions(train)
     residual, test_ix, restore = als_ready(residual, test)
-    model = als(seed, "interaction").fit(residual.repartition(n, "userId"))
+    model = als(seed, "interaction", blocks=n).fit(residual.repartition(n, "userId"))
     pred = with_means(restore(model.transform(test_ix)), user_mean, item_mean)
     pred = pred.withColumn(
         "prediction", F.col("prediction") + F.col("user_mean") + F.col("item_mean") - gm)

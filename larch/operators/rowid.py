@@ -60,7 +60,9 @@ def ordered_ids(df: DataFrame, key: str, tie_cols: Sequence[str] = (),
     n_buckets = max(1, math.ceil(n / rows_per_bucket))
     order = [F.col(key)] + [F.col(c) for c in tie_cols]
     if n_buckets == 1:
-        bucketed = df.withColumn("_bucket", F.lit(0.0))
+        # At most rows_per_bucket rows: one numbered sort, no offsets.
+        rank = F.row_number().over(Window.orderBy(*order)) - 1
+        return df.withColumn(id_col, rank.cast("bigint"))
     else:
         probs = [i / n_buckets for i in range(1, n_buckets)]
         cuts = sorted(set(df.approxQuantile(key, probs, rel_error)))
