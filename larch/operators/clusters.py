@@ -49,21 +49,32 @@ def _weight_cols(k: int) -> list[str]:
     return [f"w{c}" for c in range(k)]
 
 
-def cluster_weights(cells: DataFrame, assignment: DataFrame, k: int) -> DataFrame:
+def cluster_weights(cells: DataFrame, assignment: DataFrame, k: int,
+                    salts: DataFrame | None = None) -> DataFrame:
     """``(feature, w0..w{k-1})``: members of each cluster holding the feature.
 
-    The assignment has one row per entity; only partial per-feature sums
-    (k counters per feature and task) are exchanged after the join.
+    With ``salts`` (from :func:`partition_cells`) the assignment is
+    expanded over each entity's salts and joined on ``(entity, _salt)``,
+    the cached partitioning of the cells: only the assignment moves, never
+    the cells.  Only partial per-feature sums are exchanged afterwards.
     """
-    return (cells.join(assignment, "entity")
-            .groupBy("feature")
+    if salts is not None:
+        if "_ns" not in assignment.columns:
+            assignment = assignment.join(salts, "entity")
+        assignment = assignment.select(
+            "entity", "cluster", F.explode(F.sequence(F.lit(0), F.col("_ns") - 1)).alias("_salt"))
+        joined = cells.join(assignment, ["entity", "_salt"])
+    else:
+        joined = cells.join(assignment, "entity")
+    return (joined.groupBy("feature")
             .agg(*[F.sum(F.when(F.col("cluster") == c, 1).otherwise(0)).cast("bigint").alias(col)
                    for c, col in enumerate(_weight_cols(k))]))
 
 
 def centroid_stats(cells: DataFrame, assignment: DataFrame, k: int,
                    previous: Centroids | None = None,
-                   sizes: list[int] | None = None) -> Centroids:
+                   sizes: list[int] | None = None,
+                   salts: DataFrame | None = None) -> Centroids:
     """Centroid statistics of an assignment ``(entity, cluster)``.  A
     cluster left without members keeps its previous centroid.
 
@@ -72,7 +83,7 @@ def centroid_stats(cells: DataFrame, assignment: DataFrame, k: int,
     only on the cells and these weights.
     """
     cols = _weight_cols(k)
-    weights = cluster_weights(cells, assignment, k)
+    weights = cluster_weights(cells, assignment, k, salts)
     if sizes is None:
         counts = {r["cluster"]: r["n"] for r in
                   assignment.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -113,9 +124,10 @@ def assign(cells: DataFrame, centroids: Centroids) -> DataFrame:
     """
     k = len(centroids.sizes)
     cols = _weight_cols(k)
+    carry = [F.max("_ns").alias("_ns")] if "_ns" in cells.columns else []
     per_entity = (cells.join(centroids.weights, "feature", "left")
                   .groupBy("entity")
-                  .agg(F.count(F.lit(1)).alias("_nx"),
+                  .agg(F.count(F.lit(1)).alias("_nx"), *carry,
                        *[F.coalesce(F.sum(col), F.lit(0)).alias(f"_d{c}")
                          for c, col in enumerate(cols)]))
     candidates = [
@@ -125,7 +137,8 @@ def assign(cells: DataFrame, centroids: Centroids) -> DataFrame:
         for c in range(k)
     ]
     best = F.least(*candidates) if k > 1 else candidates[0]
-    return per_entity.select("entity", best.getField("c").alias("cluster"))
+    keep = ["_ns"] if carry else []
+    return per_entity.select("entity", best.getField("c").alias("cluster"), *keep)
 
 
 def _materialise(df: DataFrame) -> DataFrame:
@@ -133,17 +146,39 @@ def _materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def partition_cells(cells: DataFrame) -> DataFrame:
-    """Cache the cells for the rounds, in their own (balanced) partitioning.
+def partition_cells(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Co-partition the cells for the rounds, with hot entities salted.
 
-    They are deliberately not hash-partitioned by entity: an entity holding
-    a third of all cells would then sit in one task every round.  Per-entity
-    sums go through partial aggregation instead, and the join with the
-    assignment is planned by AQE (broadcast when the assignment is small,
-    otherwise sort-merge with the skewed partitions split).  A lost cached
-    block is recomputed from the deterministic lineage.
+    With n partitions, every entity gets ``_ns = ceil(degree * n / cells)``
+    salts and each cell the salt ``xxhash64(feature) mod _ns``.  The cells
+    are cached hash-partitioned by ``(entity, _salt)`` and sorted within
+    partitions: an entity holding a third of all cells is spread over a
+    third of the tasks, and every round joins the cells with the assignment
+    without moving them.
+
+    Only entities holding more than a partition's share get more than one
+    salt; since degrees sum to the number of cells there are fewer than n
+    of them, so that table is broadcast with a proven bound.  Returns
+    ``(cells, salts)``, ``salts`` being ``(entity, _ns)`` for all entities.
+    A lost cached block is recomputed from the deterministic lineage.
     """
-    return cells.select("entity", "feature").persist()
+    n = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    raw = cells.select("entity", "feature").persist()
+    degree = raw.groupBy("entity").agg(F.count(F.lit(1)).alias("_deg"))
+    total = degree.select(F.sum("_deg")).scalar()
+    salts = degree.select(
+        "entity",
+        F.greatest(F.lit(1), F.ceil(F.col("_deg") * F.lit(n) / total).cast("int")).alias("_ns"),
+    ).persist()
+    hot = salts.where(F.col("_ns") > 1)          # fewer than n rows
+    salted = (raw.join(F.broadcast(hot), "entity", "left")
+              .withColumn("_ns", F.coalesce(F.col("_ns"), F.lit(1)))
+              .withColumn("_salt", F.pmod(F.xxhash64("feature"), F.col("_ns")).cast("int")))
+    out = (salted.repartition(n, "entity", "_salt")
+           .sortWithinPartitions("entity", "_salt").persist())
+    out.count()
+    raw.unpersist()
+    return out, salts
 
 
 @dataclass
@@ -164,9 +199,9 @@ def kmeans(cells: DataFrame, k: int, seed: int, max_rounds: int | None = 5,
     one-row summary to the driver (changed entities, k cluster sizes), and
     one pass for the new per-feature weights (checkpointed).
     """
-    cells = partition_cells(cells)
+    cells, salts = partition_cells(cells)
     init = _materialise(init_centroids(cells, k, seed))
-    centroids = centroid_stats(cells, init, k)
+    centroids = centroid_stats(cells, init, k, salts=salts)
     limit = max_rounds if max_rounds is not None else safety_rounds
     previous = None
     rounds = 0
@@ -193,9 +228,10 @@ def kmeans(cells: DataFrame, k: int, seed: int, max_rounds: int | None = 5,
         if rounds < limit:
             old = centroids
             centroids = centroid_stats(cells, assignment, k, old,
-                                       sizes=[int(summary[f"n{c}"]) for c in range(k)])
+                                       sizes=[int(summary[f"n{c}"]) for c in range(k)],
+                                       salts=salts)
             old.weights.unpersist()
-    return KMeansResult(previous, rounds, converged, init)
+    return KMeansResult(previous.select("entity", "cluster"), rounds, converged, init)
 
 
 def first_assignment(cells: DataFrame, k: int, seed: int) -> DataFrame:

@@ -136,3 +136,18 @@ def test_empty_cluster_keeps_centroid(spark):
     got = {r.entity: r.cluster for r in res.assignment.collect()}
     _, history = py_kmeans([tuple(r) for r in cells.collect()], 4, 1, 200)
     assert got == history[-1]
+
+
+def test_hot_entity_is_salted(spark):
+    # One entity holds most cells: it gets several salts, results unchanged.
+    rows = [("hot", f"f{i}") for i in range(400)]
+    rows += [(f"e{j}", f"f{(j * 37 + i) % 400}") for j in range(40) for i in range(1 + j % 7)]
+    cells = spark.createDataFrame(rows, "entity string, feature string")
+    salted, salts = clusters.partition_cells(cells)
+    ns = {r.entity: r._ns for r in salts.collect()}
+    assert ns["hot"] > 1 and max(v for e, v in ns.items() if e != "hot") == 1
+    per_salt = salted.where(F.col("entity") == "hot").groupBy("_salt").count().collect()
+    assert len(per_salt) == ns["hot"]
+    _, history = py_kmeans(rows, 3, 9, 200)
+    res = clusters.kmeans(cells, 3, 9, max_rounds=None)
+    assert {r.entity: r.cluster for r in res.assignment.collect()} == history[-1]
