@@ -28,11 +28,20 @@ from larch.functions import seeded_key
 from larch.session import ensure_checkpoint_dir
 
 
-def init_centroids(cells: DataFrame, k: int, seed: int) -> DataFrame:
+def init_centroids(cells: DataFrame, k: int, seed: int,
+                   candidates: DataFrame | None = None) -> DataFrame:
     """``(cluster, entity)``: the k entities first in ``md5(seed:entity)``
-    order (then entity), numbered 0..k-1 in that order."""
+    order (then entity), numbered 0..k-1 in that order.
+
+    ``candidates`` (a column ``entity``, e.g. a fixed list of codes)
+    restricts the choice with a left-semi join; the order of the list does
+    not matter.
+    """
     order = [seeded_key(seed, "entity"), F.col("entity")]
-    chosen = cells.select("entity").distinct().orderBy(*order).limit(k)
+    pool = cells.select("entity").distinct()
+    if candidates is not None:
+        pool = pool.join(candidates.select("entity"), "entity", "left_semi")
+    chosen = pool.orderBy(*order).limit(k)
     # The window sees only the k chosen rows.
     return chosen.select((F.row_number().over(Window.orderBy(*order)) - 1).alias("cluster"),
                          "entity")
@@ -190,7 +199,7 @@ class KMeansResult:
 
 
 def kmeans(cells: DataFrame, k: int, seed: int, max_rounds: int | None = 5,
-           safety_rounds: int = 1000) -> KMeansResult:
+           safety_rounds: int = 1000, candidates: DataFrame | None = None) -> KMeansResult:
     """Lloyd iterations: assign, update, repeat while assignments change.
 
     ``max_rounds`` bounds the assignment rounds (``None``: until stable,
@@ -200,7 +209,7 @@ def kmeans(cells: DataFrame, k: int, seed: int, max_rounds: int | None = 5,
     one pass for the new per-feature weights (checkpointed).
     """
     cells, salts = partition_cells(cells)
-    init = _materialise(init_centroids(cells, k, seed))
+    init = _materialise(init_centroids(cells, k, seed, candidates))
     centroids = centroid_stats(cells, init, k, salts=salts)
     limit = max_rounds if max_rounds is not None else safety_rounds
     previous = None

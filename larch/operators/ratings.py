@@ -44,6 +44,15 @@ def split(ratings: DataFrame, seed: int, train_pct: int = 80) -> tuple[DataFrame
     return train, test
 
 
+def random_split(ratings: DataFrame, seed: int,
+                 train_frac: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """``DataFrame.randomSplit`` for callers who want it.  Its folds depend
+    on the partitioning and the selected columns, so they are not
+    reproducible across layouts; :func:`split` is."""
+    train, test = ratings.randomSplit([train_frac, 1.0 - train_frac], seed=seed)
+    return train, test
+
+
 def fold_summary(ratings: DataFrame, seed: int, train_pct: int = 80) -> DataFrame:
     """``(fold, n, sum_user, sum_item)``: sizes and key sums of each fold."""
     return (with_fold(ratings, seed, train_pct).groupBy("fold")
@@ -96,10 +105,11 @@ def with_means(rows: DataFrame, user_mean: DataFrame, item_mean: DataFrame) -> D
     return rows.join(item_mean, "itemId").join(user_mean, "userId")
 
 
-def means_and_interaction(train: DataFrame, digits: int | None = None) -> DataFrame:
+def means_and_interaction(train: DataFrame, digits: int | None = None,
+                          n: int | None = None) -> DataFrame:
     """Training rows with ``user_mean``, ``item_mean`` and
     ``user_item_interaction = rating - (user_mean + item_mean - global_mean)``,
-    ordered by user and item."""
+    ordered by user and item; ``n`` keeps the first n rows (a top-n sort)."""
     user_mean, item_mean = means(train)
     gm = global_mean_value(train)
     out = with_means(train, user_mean, item_mean)
@@ -108,9 +118,10 @@ def means_and_interaction(train: DataFrame, digits: int | None = None) -> DataFr
             "user_item_interaction": interaction}
     if digits is not None:
         cols = {k: F.round(v, digits) for k, v in cols.items()}
-    return (out.select("userId", "itemId", "rating",
-                       *[v.alias(k) for k, v in cols.items()])
-            .orderBy("userId", "itemId"))
+    out = (out.select("userId", "itemId", "rating",
+                      *[v.alias(k) for k, v in cols.items()])
+           .orderBy("userId", "itemId"))
+    return out.limit(n) if n is not None else out
 
 
 def als(seed: int, rating_col: str = "rating", blocks: int = 10) -> ALS:

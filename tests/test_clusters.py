@@ -151,3 +151,12 @@ def test_hot_entity_is_salted(spark):
     _, history = py_kmeans(rows, 3, 9, 200)
     res = clusters.kmeans(cells, 3, 9, max_rounds=None)
     assert {r.entity: r.cluster for r in res.assignment.collect()} == history[-1]
+
+
+def test_candidates_restrict_centroids(spark, cells):
+    ents = sorted(r.entity for r in cells.select("entity").distinct().collect())
+    listed = ents[::3]
+    cand = spark.createDataFrame([(e,) for e in reversed(listed)], "entity long")
+    got = [r.entity for r in clusters.init_centroids(cells, 4, 42, cand).orderBy("cluster").collect()]
+    want = sorted(listed, key=lambda e: (hashlib.md5(f"42:{e}".encode()).hexdigest(), e))[:4]
+    assert got == want

@@ -95,3 +95,12 @@ def test_als_reindexes_wide_ids(spark):
     assert b.rmse == pytest.approx(a.rmse, abs=1e-6)
     pred = ratings.als_predictions(widen(train), widen(test), 42)
     assert pred.agg(F.min("userId")).first()[0] >= 10**10
+
+
+def test_first_n_and_random_split(spark, rated):
+    train, _ = ratings.split(rated, 42)
+    full = ratings.means_and_interaction(train).collect()
+    top = ratings.means_and_interaction(train, n=5).collect()
+    assert [tuple(r) for r in top] == [tuple(r) for r in full[:5]]
+    a, b = ratings.random_split(rated, 7)
+    assert a.count() + b.count() == rated.count()
