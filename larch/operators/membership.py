@@ -55,6 +55,14 @@ def _block_count(n: int, per_block: int) -> int:
     return max(1, math.ceil(n / per_block))
 
 
+def _domain_sizes(cells: DataFrame) -> tuple[int, int]:
+    """Approximate numbers of entities and features, in one pass.  They only
+    size the blocks; results do not depend on them."""
+    row = cells.agg(F.approx_count_distinct("entity").alias("e"),
+                    F.approx_count_distinct("feature").alias("f")).first()
+    return int(row.e), int(row.f)
+
+
 def dense_cells(cells: DataFrame, entities_per_block: int = 4096,
                 features_per_block: int = 1024) -> DataFrame:
     """Every ``(entity, feature)`` cell of the domain with ``present`` 0/1.
@@ -69,8 +77,9 @@ def dense_cells(cells: DataFrame, entities_per_block: int = 4096,
     """
     entities = cells.select("entity").distinct()
     features = cells.select("feature").distinct()
-    neb = _block_count(entities.count(), entities_per_block)
-    nfb = _block_count(features.count(), features_per_block)
+    n_entities, n_features = _domain_sizes(cells)
+    neb = _block_count(n_entities, entities_per_block)
+    nfb = _block_count(n_features, features_per_block)
 
     def blocks(n):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>"))
@@ -121,8 +130,7 @@ def pairwise_distance(cells: DataFrame, entities_per_block: int = 512,
     """``(a, b, distance)`` for every pair of entities with ``a < b``."""
     entity_type = cells.schema["entity"].dataType
     degree = cells.groupBy("entity").agg(F.count(F.lit(1)).alias("n"))
-    n_entities = degree.count()
-    n_features = cells.select("feature").distinct().count()
+    n_entities, n_features = _domain_sizes(cells)
     neb = _block_count(n_entities, entities_per_block)
     nfb = _block_count(n_features, features_per_block)
     eb = F.pmod(F.xxhash64("entity"), F.lit(neb))
