@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larch.functions import seeded_key
-from larch.session import ensure_checkpoint_dir
+from larch.session import ensure_checkpoint_dir, parallelism
 
 
 def init_centroids(cells: DataFrame, k: int, seed: int,
@@ -171,7 +171,7 @@ def partition_cells(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``(cells, salts)``, ``salts`` being ``(entity, _ns)`` for all entities.
     A lost cached block is recomputed from the deterministic lineage.
     """
-    n = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = parallelism(cells.sparkSession)
     raw = cells.select("entity", "feature").persist()
     degree = raw.groupBy("entity").agg(F.count(F.lit(1)).alias("_deg"))
     total = degree.select(F.sum("_deg")).scalar()

@@ -103,7 +103,7 @@ def pair_distance(cells: DataFrame, a, b) -> DataFrame:
                                       F.lit(0)).cast("bigint").alias("distance"))
 
 
-def _overlap_fn(entity_type: T.DataType):
+def _overlap_fn():
     def block_overlap(pdf: pd.DataFrame) -> pd.DataFrame:
         """Overlaps of the entity pairs of one (block i, block j, feature
         block) group: a dense 0/1 product in numpy."""
@@ -144,7 +144,7 @@ def pairwise_distance(cells: DataFrame, entities_per_block: int = 512,
                       F.least("_eb", "_p").alias("_bi"), F.greatest("_eb", "_p").alias("_bj")))
     schema = T.StructType([T.StructField("a", entity_type), T.StructField("b", entity_type),
                            T.StructField("overlap", T.LongType())])
-    partial = routed.groupBy("_bi", "_bj", "_fb").applyInPandas(_overlap_fn(entity_type), schema)
+    partial = routed.groupBy("_bi", "_bj", "_fb").applyInPandas(_overlap_fn(), schema)
     overlap = partial.groupBy("a", "b").agg(F.sum("overlap").alias("overlap"))
 
     # Every pair a < b, enumerated per pair of entity blocks.

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larch.functions import seeded_bucket
+from larch.session import parallelism
 
 TRAIN, TEST = "train", "test"
 
@@ -185,9 +186,9 @@ def als_ready(train: DataFrame, test: DataFrame):
 
 def _fit_partitions(train: DataFrame) -> int:
     # ALS results depend on how ratings are blocked; tie the input
-    # partitions and the block count to the configured shuffle parallelism
-    # so repeated runs agree and the fit scales with the cluster.
-    return int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # partitions and the block count to the session's parallelism so
+    # repeated runs agree and the fit scales with the cluster.
+    return parallelism(train.sparkSession)
 
 
 def als_predictions(train: DataFrame, test: DataFrame, seed: int) -> DataFrame:

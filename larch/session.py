@@ -61,3 +61,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError(
         "spark.checkpoint.dir is not set; point it at a shared folder "
         "(HDFS, S3, ...) so iterative operators can cut their lineage")
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Task count for operators that choose their own partitioning (ALS
+    blocks, the k-means cells): the configured shuffle partitions, but no
+    more than the cores the cluster offers (``defaultParallelism``), so one
+    wave of tasks covers the data."""
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(shuffle, spark.sparkContext.defaultParallelism))
