@@ -155,6 +155,19 @@ def _materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _chosen_centroids(cells: DataFrame, k: int, seed: int,
+                      candidates: DataFrame | None = None) -> DataFrame:
+    """The k initial entities, materialised (k rows); fewer entities than k
+    is an error, as sampling k of fewer would be."""
+    if k < 1:
+        raise ValueError("k must be at least 1")
+    init = _materialise(init_centroids(cells, k, seed, candidates))
+    found = init.count()
+    if found < k:
+        raise ValueError(f"k={k} exceeds the {found} entities to choose from")
+    return init
+
+
 def partition_cells(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Co-partition the cells for the rounds, with hot entities salted.
 
@@ -209,7 +222,7 @@ def kmeans(cells: DataFrame, k: int, seed: int, max_rounds: int | None = 5,
     one pass for the new per-feature weights (checkpointed).
     """
     cells, salts = partition_cells(cells)
-    init = _materialise(init_centroids(cells, k, seed, candidates))
+    init = _chosen_centroids(cells, k, seed, candidates)
     centroids = centroid_stats(cells, init, k, salts=salts)
     limit = max_rounds if max_rounds is not None else safety_rounds
     previous = None
@@ -247,7 +260,7 @@ def first_assignment(cells: DataFrame, k: int, seed: int) -> DataFrame:
     """``(centroid, entity)``: every entity with the initial entity of its
     nearest centroid, one row per member (a cluster may hold a large share
     of all entities, so members are not gathered into one list)."""
-    init = init_centroids(cells, k, seed)
+    init = _chosen_centroids(cells, k, seed)
     centroids = centroid_stats(cells, init, k)
     labelled = assign(cells, centroids).join(
         F.broadcast(init.withColumnRenamed("entity", "centroid")), "cluster")

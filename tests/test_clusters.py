@@ -160,3 +160,13 @@ def test_candidates_restrict_centroids(spark, cells):
     got = [r.entity for r in clusters.init_centroids(cells, 4, 42, cand).orderBy("cluster").collect()]
     want = sorted(listed, key=lambda e: (hashlib.md5(f"42:{e}".encode()).hexdigest(), e))[:4]
     assert got == want
+
+
+def test_k_larger_than_entities(spark):
+    cells = spark.createDataFrame([("a", "x"), ("b", "y")], "entity string, feature string")
+    with pytest.raises(ValueError):
+        clusters.kmeans(cells, 3, 1)
+    with pytest.raises(ValueError):
+        clusters.first_assignment(cells, 3, 1)
+    res = clusters.kmeans(cells, 2, 1, max_rounds=None)
+    assert sorted(r.cluster for r in res.assignment.collect()) == [0, 1]
