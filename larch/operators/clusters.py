@@ -205,10 +205,17 @@ def partition_cells(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 @dataclass
 class KMeansResult:
-    assignment: DataFrame       # (entity, cluster)
+    assignment: DataFrame       # (entity, cluster), persisted
     rounds: int                 # assignment rounds run
     converged: bool
     centroids: DataFrame        # (cluster, entity): the initial entities
+    cached: tuple[DataFrame, ...] = ()   # frames persisted for the rounds
+
+    def release(self) -> None:
+        """Drop the frames cached for the rounds (cells, salts, the last
+        assignment) once the result has been used."""
+        for df in self.cached:
+            df.unpersist()
 
 
 def kmeans(cells: DataFrame, k: int, seed: int, max_rounds: int | None = 5,
@@ -253,7 +260,8 @@ def kmeans(cells: DataFrame, k: int, seed: int, max_rounds: int | None = 5,
                                        sizes=[int(summary[f"n{c}"]) for c in range(k)],
                                        salts=salts)
             old.weights.unpersist()
-    return KMeansResult(previous.select("entity", "cluster"), rounds, converged, init)
+    return KMeansResult(previous.select("entity", "cluster"), rounds, converged, init,
+                        (previous, cells, salts))
 
 
 def first_assignment(cells: DataFrame, k: int, seed: int) -> DataFrame:

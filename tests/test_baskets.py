@@ -87,3 +87,12 @@ def test_basket_table_from_keyed_lines(spark):
     got = [(r.id, r.name, list(r["items"])) for r in baskets.basket_table(lines, key="key").collect()]
     assert got == [(0, "a", ["y"]), (1, "b", []), (2, "c", ["x", "y"])]
     assert baskets.basket_table(lines, key="key", n=2).count() == 2
+
+
+def test_empty_and_null_baskets(spark):
+    for rows in ([], [(1, "x", None), (2, "y", None)]):
+        df = spark.createDataFrame(rows, "id long, name string, items array<string>")
+        model = baskets.fit(df, 0.3, 0.5)
+        assert baskets.frequent_itemsets(model).count() == 0
+        assert baskets.association_rules(model).count() == 0
+        assert baskets.rule_interest(model, df).count() == 0

@@ -170,3 +170,13 @@ def test_k_larger_than_entities(spark):
         clusters.first_assignment(cells, 3, 1)
     res = clusters.kmeans(cells, 2, 1, max_rounds=None)
     assert sorted(r.cluster for r in res.assignment.collect()) == [0, 1]
+
+
+def test_release_drops_cached_frames(spark):
+    cells = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "x")], "entity string, feature string")
+    res = clusters.kmeans(cells, 2, 3, max_rounds=None)
+    got = {r.entity: r.cluster for r in res.assignment.collect()}
+    assert all(df.is_cached for df in res.cached)
+    res.release()
+    assert not any(df.is_cached for df in res.cached)
+    assert {r.entity: r.cluster for r in res.assignment.collect()} == got
