@@ -13,8 +13,10 @@ summation order.  Ties go to the lowest cluster index.
 The weights form one row per feature with k columns; a round joins the
 membership rows with it on the feature (a broadcast when AQE finds it
 small, otherwise sort-merge with skew splitting) and aggregates per
-entity.  Each round's assignment is checkpointed to the reliable
-checkpoint folder, which cuts the lineage and survives lost executors.
+entity.  The cells are cached once, co-partitioned by (entity, salt) with
+hot entities salted (:func:`partition_cells`).  Each round's weights are
+checkpointed to the reliable checkpoint folder, which cuts the lineage:
+an assignment depends only on the cells and the weights before it.
 """
 
 from __future__ import annotations
@@ -126,7 +128,8 @@ def distance_expr(nx, dot, m: int, sq: int):
 
 
 def assign(cells: DataFrame, centroids: Centroids) -> DataFrame:
-    """``(entity, cluster)``: the nearest centroid of every entity.
+    """``(entity, cluster)``: the nearest centroid of every entity (plus the
+    entity's salt count ``_ns`` when the cells carry one).
 
     With the weights broadcast (one row per feature, k counters), a round
     reads the cells once and exchanges only partial per-entity sums.
@@ -213,7 +216,7 @@ class KMeansResult:
 
     def release(self) -> None:
         """Drop the frames cached for the rounds (cells, salts, the last
-        assignment) once the result has been used."""
+        assignment and weights) once the result has been used."""
         for df in self.cached:
             df.unpersist()
 
@@ -226,8 +229,11 @@ def kmeans(cells: DataFrame, k: int, seed: int, max_rounds: int | None = 5,
     with ``safety_rounds`` as a guard against cycling).  Per round: one
     pass over the cached cells that assigns every entity and returns a
     one-row summary to the driver (changed entities, k cluster sizes), and
-    one pass for the new per-feature weights (checkpointed).
+    one pass for the new per-feature weights (checkpointed).  Call
+    ``release()`` on the result to drop the frames cached for the rounds.
     """
+    if max_rounds is not None and max_rounds < 1:
+        raise ValueError("max_rounds must be at least 1")
     cells, salts = partition_cells(cells)
     init = _chosen_centroids(cells, k, seed, candidates)
     centroids = centroid_stats(cells, init, k, salts=salts)
@@ -261,7 +267,7 @@ def kmeans(cells: DataFrame, k: int, seed: int, max_rounds: int | None = 5,
                                        salts=salts)
             old.weights.unpersist()
     return KMeansResult(previous.select("entity", "cluster"), rounds, converged, init,
-                        (previous, cells, salts))
+                        (previous, cells, salts, centroids.weights))
 
 
 def first_assignment(cells: DataFrame, k: int, seed: int) -> DataFrame:
