@@ -54,6 +54,7 @@ class Centroids:
     weights: DataFrame          # (feature, w0 .. w{k-1}), cached
     sizes: list[int]            # m_c
     sq: list[int]               # sq_c
+    same_as_previous: bool | None = None   # weights and sizes unchanged
 
 
 def _weight_cols(k: int) -> list[str]:
@@ -114,10 +115,23 @@ def centroid_stats(cells: DataFrame, assignment: DataFrame, k: int,
     # Checkpointed (lineage cut, survives lost executors), then cached so
     # the broadcast of every round does not re-read the checkpoint files.
     weights = _materialise(weights).persist()
-    sq_row = weights.agg(*[F.coalesce(F.sum(F.col(c) * F.col(c)), F.lit(0)).alias(c)
-                           for c in cols]).first()
-    sq = [int(sq_row[c]) for c in cols]
-    return Centroids(weights, sizes, sq)
+    sums = [F.coalesce(F.sum(F.col(c) * F.col(c)), F.lit(0)).alias(c) for c in cols]
+    if previous is None:
+        row = weights.agg(*sums).first()
+        same = None
+    else:
+        # One pass gives the sums of squares and whether any weight moved:
+        # a join of two one-row-per-feature tables.
+        old = previous.weights.select(
+            "feature", *[F.col(c).alias(f"_p{c}") for c in cols])
+        moved = F.lit(False)
+        for c in cols:
+            moved = moved | (F.coalesce(F.col(c), F.lit(0)) != F.coalesce(F.col(f"_p{c}"), F.lit(0)))
+        row = (weights.join(old, "feature", "full_outer")
+               .agg(*sums, F.sum(F.when(moved, 1).otherwise(0)).alias("_moved")).first())
+        same = (row["_moved"] or 0) == 0 and sizes == previous.sizes
+    sq = [int(row[c]) for c in cols]
+    return Centroids(weights, sizes, sq, same)
 
 
 def distance_expr(nx, dot, m: int, sq: int):
@@ -227,10 +241,13 @@ def kmeans(cells: DataFrame, k: int, seed: int, max_rounds: int | None = 5,
 
     ``max_rounds`` bounds the assignment rounds (``None``: until stable,
     with ``safety_rounds`` as a guard against cycling).  Per round: one
-    pass over the cached cells that assigns every entity and returns a
-    one-row summary to the driver (changed entities, k cluster sizes), and
-    one pass for the new per-feature weights (checkpointed).  Call
-    ``release()`` on the result to drop the frames cached for the rounds.
+    pass over the cached cells that assigns every entity and returns the k
+    cluster sizes to the driver, and one pass for the new per-feature
+    weights (checkpointed).  Convergence is tested on the weights: when
+    they and the sizes do not move, the next assignment would repeat this
+    one.  That compares two one-row-per-feature tables instead of joining
+    two assignments of every entity.  Call ``release()`` on the result to
+    drop the frames cached for the rounds.
     """
     if max_rounds is not None and max_rounds < 1:
         raise ValueError("max_rounds must be at least 1")
@@ -238,36 +255,31 @@ def kmeans(cells: DataFrame, k: int, seed: int, max_rounds: int | None = 5,
     init = _chosen_centroids(cells, k, seed, candidates)
     centroids = centroid_stats(cells, init, k, salts=salts)
     limit = max_rounds if max_rounds is not None else safety_rounds
-    previous = None
+    assignment = None
     rounds = 0
     converged = False
     while rounds < limit:
+        if assignment is not None:
+            assignment.unpersist()
         assignment = assign(cells, centroids).persist()
         rounds += 1
-        if previous is not None:
-            compared = assignment.join(
-                previous.select("entity", F.col("cluster").alias("_prev")), "entity")
-            changed = F.sum(F.when(F.col("cluster") != F.col("_prev"), 1).otherwise(0))
-        else:
-            compared, changed = assignment, F.lit(None)
-        summary = compared.agg(
-            changed.alias("changed"),
-            *[F.count(F.when(F.col("cluster") == c, 1)).alias(f"n{c}") for c in range(k)],
-        ).first()
-        if previous is not None:
-            previous.unpersist()
-        previous = assignment
-        if summary["changed"] == 0:
+        sizes_row = assignment.agg(
+            *[F.count(F.when(F.col("cluster") == c, 1)).alias(f"n{c}") for c in range(k)]).first()
+        if rounds == limit:
+            break
+        old = centroids
+        centroids = centroid_stats(cells, assignment, k, old,
+                                   sizes=[int(sizes_row[f"n{c}"]) for c in range(k)],
+                                   salts=salts)
+        old.weights.unpersist()
+        # Equal weights and sizes give the same next assignment, so this
+        # assignment is the fixed point (the first round always counts as
+        # a change: it replaces the initial entities).
+        if rounds > 1 and centroids.same_as_previous:
             converged = True
             break
-        if rounds < limit:
-            old = centroids
-            centroids = centroid_stats(cells, assignment, k, old,
-                                       sizes=[int(summary[f"n{c}"]) for c in range(k)],
-                                       salts=salts)
-            old.weights.unpersist()
-    return KMeansResult(previous.select("entity", "cluster"), rounds, converged, init,
-                        (previous, cells, salts, centroids.weights))
+    return KMeansResult(assignment.select("entity", "cluster"), rounds, converged, init,
+                        (assignment, cells, salts, centroids.weights))
 
 
 def first_assignment(cells: DataFrame, k: int, seed: int) -> DataFrame:
