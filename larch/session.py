@@ -42,7 +42,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     master without that setting (tests, single-machine runs) gets a fresh
     folder of its own.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        return ""
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -69,4 +72,8 @@ def parallelism(spark: SparkSession) -> int:
     more than the cores the cluster offers (``defaultParallelism``), so one
     wave of tasks covers the data."""
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(shuffle, spark.sparkContext.defaultParallelism))
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect: no SparkContext on the client
+        cores = shuffle
+    return max(1, min(shuffle, cores))
