@@ -205,10 +205,10 @@ def als_rmse(train: DataFrame, test: DataFrame, seed: int, digits: int | None =
     return scored.select(test.select(F.count(F.lit(1))).scalar().alias("n_test"), "n_scored", "rmse")
 
 
-def als_bias_rmse(train: DataFrame, test: DataFrame, seed: int,
-                  digits: int | None = None) -> DataFrame:
-    """ALS fitted on the interaction term, recomposed as
-    ``prediction + user_mean + item_mean - global_mean``: ``(n_test, n_scored, rmse)``."""
+def als_bias_predictions(train: DataFrame, test: DataFrame, seed: int) -> DataFrame:
+    """Test rows with ``interaction`` (the ALS prediction of the interaction
+    term) and ``prediction = interaction + user_mean + item_mean -
+    global_mean``.  Rows of users or items unseen in training drop."""
     user_mean, item_mean = means(train)
     gm = global_mean_value(train)
     residual = with_means(train, user_mean, item_mean).select(
@@ -218,7 +218,15 @@ def als_bias_rmse(train: DataFrame, test: DataFrame, seed: int,
     residual, test_ix, restore = als_ready(residual, test)
     model = als(seed, "interaction", blocks=n).fit(residual.repartition(n, "userId"))
     pred = with_means(restore(model.transform(test_ix)), user_mean, item_mean)
-    pred = pred.withColumn(
-        "prediction", F.col("prediction") + F.col("user_mean") + F.col("item_mean") - gm)
-    scored = rmse(pred, digits=digits)
+    return pred.select(
+        "userId", "itemId", "rating", "user_mean", "item_mean",
+        F.col("prediction").alias("interaction"),
+        (F.col("prediction") + F.col("user_mean") + F.col("item_mean") - gm).alias("prediction"))
+
+
+def als_bias_rmse(train: DataFrame, test: DataFrame, seed: int,
+                  digits: int | None = None) -> DataFrame:
+    """ALS fitted on the interaction term, recomposed as
+    ``prediction + user_mean + item_mean - global_mean``: ``(n_test, n_scored, rmse)``."""
+    scored = rmse(als_bias_predictions(train, test, seed), digits=digits)
     return scored.select(test.select(F.count(F.lit(1))).scalar().alias("n_test"), "n_scored", "rmse")

@@ -104,3 +104,20 @@ def test_first_n_and_random_split(spark, rated):
     assert [tuple(r) for r in top] == [tuple(r) for r in full[:5]]
     a, b = ratings.random_split(rated, 7)
     assert a.count() + b.count() == rated.count()
+
+
+def test_rmse_and_recomposition(spark, rated):
+    train, test = ratings.split(rated, 42)
+    gm = ratings.global_mean(train).first().global_mean
+    pred = ratings.als_bias_predictions(train, test, 42).cache()
+    rows = pred.collect()
+    for r in rows:
+        assert r.prediction == pytest.approx(r.interaction + r.user_mean + r.item_mean - gm, abs=1e-9)
+    want = math.sqrt(sum((r.rating - r.prediction) ** 2 for r in rows) / len(rows))
+    got = ratings.rmse(pred).first()
+    assert got.n_scored == len(rows)
+    assert got.rmse == pytest.approx(want, abs=1e-9)
+    assert ratings.als_bias_rmse(train, test, 42).first().rmse == pytest.approx(want, abs=1e-6)
+    plain = ratings.als_predictions(train, test, 42).collect()
+    want_plain = math.sqrt(sum((r.rating - r.prediction) ** 2 for r in plain) / len(plain))
+    assert ratings.als_rmse(train, test, 42).first().rmse == pytest.approx(want_plain, abs=1e-6)
