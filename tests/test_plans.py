@@ -29,3 +29,31 @@ def test_plan_shape(spark, name):
     # Parquet scans read only the columns the query needs.
     for schema in re.findall(r"ReadSchema: struct<([^>]*)>", plan):
         assert len(schema.split(",")) <= 4, f"{name}: wide scan {schema}"
+
+
+def test_kmeans_round_keeps_cells_in_place(spark):
+    """The per-round join of the cached cells with the assignment must not
+    shuffle the cells, even when nothing is broadcast (large tables)."""
+    from larch.operators import clusters
+    from larch.plans import fixtures
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cells, salts = clusters.partition_cells(fixtures.customer_brands(spark, SF_SMALL))
+        init = clusters.init_centroids(cells, 4, 42)
+        weights = clusters.cluster_weights(cells, init, 4, salts)
+        weights.write.format("noop").mode("overwrite").save()
+        plan = weights._jdf.queryExecution().executedPlan().toString()
+        lines = plan.split("\n")
+        join = next(i for i, l in enumerate(lines) if "SortMergeJoin" in l and "_salt" in l)
+        # The cells side: the first child of the join down to the cached scan.
+        cells_side = []
+        for l in lines[join + 1:]:
+            cells_side.append(l)
+            if "InMemoryTableScan" in l:
+                break
+        assert not any("Exchange" in l for l in cells_side), "\n".join(cells_side)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.catalog.clearCache()
