@@ -221,7 +221,9 @@ ORACLE: dict[str, str] = {
     "parse_ratings": ("SELECT CAST(p[1] AS INTEGER) AS userId, CAST(p[2] AS INTEGER) AS itemId, "
                       "CAST(p[3] AS DOUBLE) AS rating FROM (SELECT string_split(value, '::') AS p "
                       f"FROM {RATING_LINES} l) s"),
-    "rating_split": ("SELECT fold, count(*) AS n, sum(userId) AS sum_user, sum(itemId) AS sum_item "
+    # DuckDB sums integers as HUGEINT; the key sums fit BIGINT, as in Spark.
+    "rating_split": ("SELECT fold, count(*) AS n, CAST(sum(userId) AS BIGINT) AS sum_user, "
+                     "CAST(sum(itemId) AS BIGINT) AS sum_item "
                      f"FROM {FOLDED} f GROUP BY fold"),
     "global_mean": f"SELECT avg(rating) AS global_mean FROM {TRAIN} t",
     "global_mean_rmse": ("SELECT count(*) AS n_test, round(sqrt(avg(pow(rating - g.gm, 2))), 6) AS rmse "

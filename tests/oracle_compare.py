@@ -43,18 +43,26 @@ def _rows(columns, rows):
     return sorted(out, key=repr)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "float": "FLOAT", "boolean": "BOOLEAN"}
+
+
 def compare(spark, con, name: str, sf_dir: str, query, sql: str):
     t0 = time.time()
     sdf = query(spark, sf_dir)
     s_cols = sdf.columns
+    s_types = {c: SPARK_TO_DUCK.get(t, t) for c, t in sdf.dtypes}
     s_rows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
-    rel = con.execute(sql)
-    d_cols = [d[0] for d in rel.description]
+    rel = con.sql(sql)
+    d_cols = rel.columns
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
     d_rows = rel.fetchall()
     t2 = time.time()
     if sorted(s_cols) != sorted(d_cols):
         return False, f"columns spark={s_cols} oracle={d_cols}", t1 - t0, t2 - t1
+    if s_types != d_types:
+        return False, f"types spark={s_types} oracle={d_types}", t1 - t0, t2 - t1
     if len(s_rows) != len(d_rows):
         return False, f"rows spark={len(s_rows)} oracle={len(d_rows)}", t1 - t0, t2 - t1
     a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
