@@ -30,7 +30,13 @@ _POS_BITS = 33  # monotonically_increasing_id = (partition << 33) + position
 
 
 def line_ids(lines: DataFrame, id_col: str = "id") -> DataFrame:
-    """Add ``id`` = line number - 1 to ``spark.read.text(one_file)``."""
+    """Add ``id`` = line number - 1 to ``spark.read.text(one_file)``.
+
+    Several files have no defined line order between them, so input read
+    from more than one file is refused.
+    """
+    if len(lines.inputFiles()) > 1:
+        raise ValueError("line numbers are defined for one file; number each file separately")
     tagged = lines.select(
         "*",
         F.spark_partition_id().alias("_part"),

@@ -130,3 +130,14 @@ def test_write_csv_roundtrip(spark, tmp_dir):
     write_csv(df.coalesce(1), out)
     back = spark.read.option("header", True).schema("label string, n int").csv(out)
     assert sorted(tuple(r) for r in back.collect()) == [("a,b", 1), ("c", 2)]
+
+
+def test_line_ids_refuses_several_files(spark, tmp_dir):
+    import pytest
+    folder = os.path.join(tmp_dir, "two")
+    os.makedirs(folder)
+    for name in ("a.txt", "b.txt"):
+        with open(os.path.join(folder, name), "w") as f:
+            f.write("x\ny\n")
+    with pytest.raises(ValueError):
+        line_ids(read_lines(spark, folder))
