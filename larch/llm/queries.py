@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larch.llm import pii, secrets
+from larch.llm import pii, secrets, shards, simhash, toxicity
 from larch.llm.common import table
 from larch.llm.spans import rendered
 
@@ -15,6 +15,21 @@ def _count(spans: str, kind: str) -> Column:
     return F.size(F.filter(F.col(spans), lambda s: s["kind"] == kind)).cast("long")
 
 
+def op4_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return shards.shard_documents(docs, 8, columns=["doc_id"]).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.with_scores(docs, model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score").select(
+        "*", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = secrets.train(secrets.labelled_samples(docs))
@@ -25,6 +40,13 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         rendered(F.col("secrets")).alias("spans"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs).select(
+        "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
+        "component_id")
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.find_pii(docs).select("doc_id", "pii")
@@ -36,7 +58,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_label_propagation": op4_label_propagation,
+    "op5_toxicity": op5_toxicity,
     "op7_secret_scan": op7_secret_scan,
+    "op8_simhash": op8_simhash,
     "op10_pii": op10_pii,
 }
 
