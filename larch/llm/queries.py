@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larch.llm import pii, secrets, shards, simhash, toxicity
-from larch.llm.common import table
+from larch.llm import pii, secrets, shards, simhash, toxicity, warc
+from larch.llm.common import scratch_dir, table
 from larch.llm.spans import rendered
 
 
@@ -47,6 +47,12 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "component_id")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), path)
+    return warc.page_records(spark, path)
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.find_pii(docs).select("doc_id", "pii")
@@ -62,6 +68,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op7_secret_scan": op7_secret_scan,
     "op8_simhash": op8_simhash,
+    "op9_warc": op9_warc,
     "op10_pii": op10_pii,
 }
 
