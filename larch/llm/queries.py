@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larch.llm import pii, secrets, shards, simhash, toxicity, warc
+from larch.llm import decontaminate, pii, secrets, shards, simhash, toxicity, warc
 from larch.llm.common import scratch_dir, table
 from larch.llm.spans import rendered
 
@@ -15,6 +15,15 @@ def _count(spans: str, kind: str) -> Column:
     return F.size(F.filter(F.col(spans), lambda s: s["kind"] == kind)).cast("long")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", F.array_sort("items")), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op4_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return shards.shard_documents(docs, 8, columns=["doc_id"]).select(
@@ -64,6 +73,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_decontamination": op2_decontamination,
     "op4_label_propagation": op4_label_propagation,
     "op5_toxicity": op5_toxicity,
     "op7_secret_scan": op7_secret_scan,
