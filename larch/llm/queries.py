@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larch.llm import decontaminate, pii, secrets, shards, simhash, toxicity, warc
+from larch.llm import decontaminate, pii, secrets, shards, simhash, toxicity, vectors, warc
 from larch.llm.common import scratch_dir, table
 from larch.llm.spans import rendered
 
@@ -39,6 +39,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "*", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op6_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vectors.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.select("*", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = secrets.train(secrets.labelled_samples(docs))
@@ -76,6 +81,7 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op4_label_propagation": op4_label_propagation,
     "op5_toxicity": op5_toxicity,
+    "op6_subspace_join": op6_subspace_join,
     "op7_secret_scan": op7_secret_scan,
     "op8_simhash": op8_simhash,
     "op9_warc": op9_warc,
