@@ -34,25 +34,27 @@ class _Powers:
         return cls.up, cls.down
 
 
-def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_bounds(data: bytes, table: np.ndarray = _LOWER
+                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Lower-cased bytes (0 outside words) and the words' starts and ends."""
-    low = _LOWER[np.frombuffer(data, np.uint8)]
+    low = table[np.frombuffer(data, np.uint8)]
     inside = np.concatenate(([False], low != 0, [False]))
     turns = np.flatnonzero(inside[1:] != inside[:-1])
     return low, turns[0::2], turns[1::2]
 
 
-def word_hashes(data: bytes) -> np.ndarray:
-    """64-bit hashes of the words of a UTF-8 text, ASCII letters lower-cased.
+def word_hashes(data: bytes, table: np.ndarray = _LOWER) -> np.ndarray:
+    """64-bit hashes of the words of a UTF-8 text; ``table`` has the number of
+    each byte within words, 0 for bytes between them.
 
     Blocks are cut between words; within a block all hashes come from one
     running sum of byte times power."""
     out, at = [], 0
     while at < len(data):
         end = min(at + BLOCK_BYTES, len(data))
-        while end < len(data) and _LOWER[data[end]]:
+        while end < len(data) and table[data[end]]:
             end += 1
-        low, starts, ends = word_bounds(data[at:end])
+        low, starts, ends = word_bounds(data[at:end], table)
         if len(starts):
             up, down = _Powers.upto(len(low) + 1)
             sums = np.zeros(len(low) + 1, np.uint64)

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larch.llm import decontaminate, pii, secrets, shards, simhash, toxicity, vectors, warc
+from larch.llm import decontaminate, lm, pii, secrets, shards, simhash, toxicity, vectors, warc
 from larch.llm.common import scratch_dir, table
 from larch.llm.spans import rendered
 
@@ -15,6 +15,14 @@ def _count(spans: str, kind: str) -> Column:
     return F.size(F.filter(F.col(spans), lambda s: s["kind"] == kind)).cast("long")
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2
+    return lm.score_texts(docs, ~held).select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score")
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
@@ -78,6 +86,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_score": op1_lm_score,
     "op2_decontamination": op2_decontamination,
     "op4_label_propagation": op4_label_propagation,
     "op5_toxicity": op5_toxicity,
