@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larch.llm import decontaminate, lm, pii, secrets, shards, simhash, toxicity, vectors, warc
-from larch.llm.common import scratch_dir, table
+from larch.llm import decontaminate, lm, mixing, pii, secrets, shards, simhash, toxicity, vectors, warc
+from larch.llm.common import scratch_dir, table, written
 from larch.llm.spans import rendered
 
 
@@ -32,6 +32,19 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op3_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    model = mixing.learn(docs, table(spark, sf_dir, "labels"), mixing.label_domain())
+    told = written(mixing.with_posteriors(docs, model).drop("text"), "posteriors")
+    fit = mixing.fit_rates(told, model.domains, mixing.DOMAIN_TARGETS)
+    place = {d: i for i, d in enumerate(model.domains)}
+    return told.withColumn("rate", fit.rate()).select(
+        "doc_id", "source", "n_tokens",
+        *[(F.get("posterior", F.lit(place[d])) if d in place else F.lit(0.0)).alias(f"p_{d}")
+          for d in mixing.DOMAIN_TARGETS],
+        "rate", mixing.copies(F.col("rate")).alias("copies"))
+
+
 def op4_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return shards.shard_documents(docs, 8, columns=["doc_id"]).select(
@@ -88,6 +101,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_lm_score": op1_lm_score,
     "op2_decontamination": op2_decontamination,
+    "op3_soft_mixing": op3_soft_mixing,
     "op4_label_propagation": op4_label_propagation,
     "op5_toxicity": op5_toxicity,
     "op6_subspace_join": op6_subspace_join,

@@ -225,3 +225,13 @@ def with_scores(docs: DataFrame, model: Model, text_col: str = "text",
             yield pd.Series(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
     return docs.withColumn(out_col, score(fixed_split(text_col).cast("binary")))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
+                  text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """``docs`` less the rows with a score of at least ``threshold``."""
+    model = fit(docs, labels, id_col, text_col)
+    named = docs.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(docs.columns)])
+    scored = with_scores(named, model, f"_{docs.columns.index(text_col)}", "_score")
+    return scored.where(F.col("_score") < threshold).select(
+        *[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])
