@@ -84,43 +84,58 @@ def cells(unit: np.ndarray, cosine: float, grid: int) -> Iterator[tuple[int, np.
             yield b, near, home[near] + np.array(step), False
 
 
-def _close(left: np.ndarray, right: np.ndarray, limit: float) -> np.ndarray:
-    """Dense test of squared distances."""
-    d = (left * left).sum(1)[:, None] + (right * right).sum(1)[None, :] - 2 * left @ right.T
-    return d <= limit + 1e-9
+def _sides(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Factors whose product is all squared distances, in single precision."""
+    one = lambda y: np.ones((len(y), 1))
+    norm = lambda y: (y * y).sum(axis=1, keepdims=True)
+    return (np.hstack((-2 * left, norm(left), one(left))).astype(np.float32),
+            np.hstack((right, one(right), norm(right))).astype(np.float32).T)
 
 
 def links(left: np.ndarray, right: np.ndarray, block: int, cosine: float,
           same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs linked at the cosine whose first block within its budget is
-    ``block``; with ``same`` both sides are one and each pair comes once."""
+    ``block``; with ``same`` both sides are one and each pair comes once.
+
+    Both sides are sorted by the block's last coordinate, and a chunk meets only
+    rows within the block's width of it.
+    """
     blocks = Blocks.of(left.shape[1], cosine)
+    start, end = blocks.spans[block]
     lefts, rights = _unit(left), _unit(right)
     ly, ry = blocks.rotated(lefts), blocks.rotated(rights)
-    start, end = blocks.spans[block]
+    lo, ro = (np.argsort(y[:, end - 1], kind="stable") for y in (ly, ry))
+    lefts, rights, ly, ry = lefts[lo], rights[ro], ly[lo], ry[ro]
+    width = math.sqrt(blocks.budgets[block]) + 1e-6
+    limit = np.float32(blocks.budgets[block] + 1e-5)
+    a_side, b_side = _sides(ly[:, start:end], ry[:, start:end])
+    last = ry[:, end - 1]
     for at in range(0, len(left), CHUNK_ROWS):
-        rows = slice(at, at + CHUNK_ROWS)
-        near = _close(ly[rows, start:end], ry[:, start:end], blocks.budgets[block])
+        stop = min(at + CHUNK_ROWS, len(left))
+        first = at if same else int(np.searchsorted(last, ly[at, end - 1] - width))
+        until = int(np.searchsorted(last, ly[stop - 1, end - 1] + width, "right"))
+        near = a_side[at:stop] @ b_side[:, first:until] <= limit
         if same:
-            near &= np.arange(len(right))[None, :] > np.arange(at, at + len(near))[:, None]
+            near &= np.arange(first, until)[None, :] > np.arange(at, stop)[:, None]
         if not near.any():
             continue
         dense = near.mean() > 0.02
         if dense:
-            near &= lefts[rows] @ rights.T >= cosine
+            near &= lefts[at:stop] @ rights[first:until].T >= cosine
         i, j = np.nonzero(near)
         for part in range(0, len(i), 1 << 16):
-            a, c = i[part:part + (1 << 16)] + at, j[part:part + (1 << 16)]
+            a, c = i[part:part + (1 << 16)] + at, j[part:part + (1 << 16)] + first
             if not dense:
                 real = np.einsum("ij,ij->i", lefts[a], rights[c]) >= cosine
                 a, c = a[real], c[real]
             gap = (ly[a] - ry[c]) ** 2
-            first = np.ones(len(a), bool)
-            for b in range(block):
+            here = np.ones(len(a), bool)
+            for b in range(block + 1):
                 s, e = blocks.spans[b]
-                first &= gap[:, s:e].sum(1) > blocks.budgets[b] + 1e-9
-            if first.any():
-                yield a[first], c[first]
+                inside = gap[:, s:e].sum(1) <= blocks.budgets[b] + 1e-9
+                here &= inside if b == block else ~inside
+            if here.any():
+                yield lo[a[here]], ro[c[here]]
 
 
 def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
