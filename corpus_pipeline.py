@@ -18,7 +18,7 @@ from larch.llm.common import table, written
 
 SHARDS = 8
 #: Token shares of the labelled quality domains in the mixture.
-QUALITY_TARGETS = {"high": 0.88, "low": 0.12}
+QUALITY_TARGETS = {"high": 0.93, "low": 0.07}
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
