@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def csv_field(col: Column | str) -> Column:
-    """One CSV field (RFC 4180): quoted only when it holds a comma, a quote
-    or a line break, inner quotes doubled; NULL renders as an empty field."""
+def csv_field(col: Column | str, sep: str = ",") -> Column:
+    """One CSV field (RFC 4180): quoted only when it holds the separator, a
+    quote or a line break, inner quotes doubled; NULL renders as an empty field."""
     c = F.col(col) if isinstance(col, str) else col
     s = c.cast("string")
-    needs_quotes = s.rlike('[,"\r\n]')
+    needs_quotes = s.rlike('["\r\n]') | s.contains(sep)
     quoted = F.concat(F.lit('"'), F.regexp_replace(s, '"', '""'), F.lit('"'))
     return F.coalesce(F.when(needs_quotes, quoted).otherwise(s), F.lit(""))
 
@@ -26,7 +26,7 @@ def csv_lines(df: DataFrame, sep: str = ",", list_sep: str = " ",
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.ArrayType):
             c = F.array_join(c, list_sep)
-        fields.append(csv_field(c))
+        fields.append(csv_field(c, sep))
     return df.select(F.concat_ws(sep, *fields).alias(name))
 
 

@@ -63,13 +63,13 @@ def parse_delimited(lines: DataFrame, sep: str, fields: Sequence[tuple[int, str,
     return lines.select(*cols).where(keep)
 
 
-RATING_FIELDS = ((0, "userId", "int"), (1, "itemId", "int"), (2, "rating", "double"))
+RATING_FIELDS = ((0, "userId", "bigint"), (1, "itemId", "bigint"), (2, "rating", "double"))
 
 
 def parse_ratings(lines: DataFrame, sep: str = "::", value_col: str = "value") -> DataFrame:
     """``user::item::rating::timestamp`` lines to ``(userId, itemId, rating)``.
 
-    The timestamp field is not read.  Ids are INT because ALS requires them.
+    The timestamp field is not read.  Ids are BIGINT; ALS numbers them itself.
     """
     return parse_delimited(lines, sep, RATING_FIELDS, value_col)
 

@@ -1,5 +1,5 @@
 """Structured Streaming variants of the batch operators."""
 
-from larch.streaming.counts import start_value_counts, value_counts_stream
+from larch.streaming.counts import value_counts_stream
 
-__all__ = ["value_counts_stream", "start_value_counts"]
+__all__ = ["value_counts_stream"]

@@ -2,7 +2,8 @@
 
 The same presence rule and aggregation as :func:`larch.operators.counts.value_counts`,
 on a file stream: each micro-batch reads only new files, and the running
-counts live in Spark's state store (checkpointed with the query).
+counts live in Spark's state store (checkpointed with the query).  The caller
+starts the query and chooses the sink.
 """
 
 from __future__ import annotations
@@ -10,10 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
 
 from larch.functions import present
-from larch.session import ensure_checkpoint_dir
 
 
 def value_counts_stream(spark: SparkSession, folder: str, schema: T.StructType, col: str,
@@ -32,16 +31,3 @@ def value_counts_stream(spark: SparkSession, folder: str, schema: T.StructType,
     stream = reader.csv(folder)
     return (stream.select(col).where(present(col))
             .groupBy(col).agg(F.count(F.lit(1)).alias("n")))
-
-
-def start_value_counts(counts: DataFrame, query_name: str,
-                       checkpoint_location: str | None = None) -> StreamingQuery:
-    """Run the counts into an in-memory table named ``query_name`` (complete
-    mode).  The stream's checkpoint goes under the session's reliable
-    checkpoint folder unless a location is given."""
-    spark = counts.sparkSession
-    location = checkpoint_location or f"{ensure_checkpoint_dir(spark)}/stream-{query_name}"
-    return (counts.writeStream.outputMode("complete").format("memory")
-            .queryName(query_name)
-            .option("checkpointLocation", location)
-            .start())

@@ -141,3 +141,15 @@ def test_line_ids_refuses_several_files(spark, tmp_dir):
             f.write("x\ny\n")
     with pytest.raises(ValueError):
         line_ids(read_lines(spark, folder))
+
+
+def test_rating_ids_beyond_int_stay(spark):
+    lines = spark.createDataFrame([("3000000000::2::5::4",), ("1::5000000000::3::1",), ("x::1::1::1",)], "value string")
+    assert sorted(tuple(r) for r in parse_ratings(lines).collect()) == [
+        (1, 5000000000, 3.0), (3000000000, 2, 5.0)]
+
+
+def test_csv_lines_quote_for_their_separator(spark):
+    df = spark.createDataFrame([("a;b", "x,y")], "p string, q string")
+    assert csv_lines(df, sep=";").first().line == '"a;b";x,y'
+    assert csv_lines(df).first().line == 'a;b,"x,y"'

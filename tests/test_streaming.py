@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import types as T
 
-from larch.streaming import start_value_counts, value_counts_stream
+from larch.streaming import value_counts_stream
 
 SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "Nom_parc", "x")])
 
@@ -20,8 +20,9 @@ def test_counts_update_with_new_files(spark, tmp_dir):
     folder = os.path.join(tmp_dir, "in")
     os.makedirs(folder)
     write(folder, "a.csv", ["1,Alpha,x", "2,,x", "3,Beta,x", "4,Alpha,x", "5,short"])
-    query = start_value_counts(value_counts_stream(spark, folder, SCHEMA, "Nom_parc"), "park_counts",
-                               os.path.join(tmp_dir, "ckpt"))
+    query = (value_counts_stream(spark, folder, SCHEMA, "Nom_parc").writeStream
+             .outputMode("complete").format("memory").queryName("park_counts")
+             .option("checkpointLocation", os.path.join(tmp_dir, "ckpt")).start())
     try:
         query.processAllAvailable()
         got = {r.Nom_parc: r.n for r in spark.sql("SELECT * FROM park_counts").collect()}
