@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from larch.functions import items_string
 from larch.operators.rowid import line_ids, ordered_ids
+from larch.session import tasks_for
 from larch.sources import parse_ragged
 
 
@@ -30,19 +31,27 @@ def basket_table(lines: DataFrame, key: str | None = None, n: int | None = None,
     """
     keep = [key] if key else []
     parsed = parse_ragged(lines, sep=sep, keep=keep)
-    with_id = ordered_ids(parsed, key) if key else line_ids(parsed)
+    with_id = ordered_ids(parsed, key, tie_cols=("name", "items")) if key else line_ids(parsed)
     out = with_id.select("id", "name", "items").orderBy("id")
     return out.limit(n) if n is not None else out
 
 
+#: Baskets that one task of the mining should hold.
+BASKETS_PER_TASK = 250_000
+
+
 def fit(baskets: DataFrame, min_support: float, min_confidence: float,
         items_col: str = "items") -> FPGrowthModel:
     """Fit FP-Growth.  NULL baskets are dropped (MLlib would not count them
-    in N either); repeated items in a basket are removed first."""
+    in N either); repeated items in a basket are removed first.
+
+    The number of mining tasks follows the number of baskets, not the bytes
+    of the input's partitions."""
     clean = (baskets.where(F.col(items_col).isNotNull())
              .select(F.array_distinct(items_col).alias("items")))
-    return FPGrowth(itemsCol="items", minSupport=min_support,
-                    minConfidence=min_confidence).fit(clean)
+    tasks = max(8, tasks_for(clean.count(), BASKETS_PER_TASK))
+    return FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence,
+                    numPartitions=tasks).fit(clean)
 
 
 def frequent_itemsets(model: FPGrowthModel, n: int | None = None) -> DataFrame:

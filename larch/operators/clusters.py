@@ -10,24 +10,27 @@ features) to the centroid ``w_c / m_c`` is
 with integer ``dot`` and ``sq``, so the double result does not depend on
 summation order.  Ties go to the lowest cluster index.
 
-The weights form one row per feature with k columns; a round joins the
-membership rows with it on the feature (a broadcast when AQE finds it
-small, otherwise sort-merge with skew splitting) and aggregates per
-entity.  The cells are cached once, co-partitioned by (entity, salt) with
-hot entities salted (:func:`partition_cells`).  Each round's weights are
-checkpointed to the reliable checkpoint folder, which cuts the lineage:
-an assignment depends only on the cells and the weights before it.
+The cells are laid out twice, by ``(entity, salt)`` and by ``(feature,
+salt)``.  The assignment pass joins the second layout with the weights and
+the update pass the first with the assignment, each expanded over the salts
+of its key: neither pass moves the cells.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larch.functions import seeded_key
-from larch.session import ensure_checkpoint_dir, parallelism
+from larch.session import stored, tasks_for
+
+#: Cells of one task.  The number of tasks follows the cells; small tables get
+#: as many tasks as there are cores, of this many cells at least.
+CELLS_PER_TASK = 1_000_000
+LEAST_CELLS = 50_000
 
 
 def init_centroids(cells: DataFrame, k: int, seed: int,
@@ -51,87 +54,117 @@ def init_centroids(cells: DataFrame, k: int, seed: int,
 
 @dataclass
 class Centroids:
-    weights: DataFrame          # (feature, w0 .. w{k-1}), cached
+    weights: DataFrame          # (feature, w0 .. w{k-1}), stored
     sizes: list[int]            # m_c
     sq: list[int]               # sq_c
-    same_as_previous: bool | None = None   # weights and sizes unchanged
+    mark: tuple                 # equal for equal weights and sizes
+    drop: Callable[[], None]
+
+
+@dataclass
+class Layout:
+    """The cells in both layouts, and the salts of entities and features."""
+
+    by_entity: DataFrame        # (entity, feature, _salt), cached
+    by_feature: DataFrame
+    entity_salts: DataFrame     # (entity, _ns), cached
+    feature_salts: DataFrame
+
+    def release(self) -> None:
+        for df in (self.by_entity, self.by_feature, self.entity_salts, self.feature_salts):
+            df.unpersist()
 
 
 def _weight_cols(k: int) -> list[str]:
     return [f"w{c}" for c in range(k)]
 
 
-def cluster_weights(cells: DataFrame, assignment: DataFrame, k: int,
-                    salts: DataFrame | None = None) -> DataFrame:
-    """``(feature, w0..w{k-1})``: members of each cluster holding the feature.
-
-    With ``salts`` (from :func:`partition_cells`) the assignment is
-    expanded over each entity's salts and joined on ``(entity, _salt)``,
-    the cached partitioning of the cells: only the assignment moves, never
-    the cells.  Only partial per-feature sums are exchanged afterwards.
+def _laid_out(cells: DataFrame, key: str, other: str, tasks: int, total: int):
+    """The cells cached by ``(key, _salt)`` and the salts of each key: a key
+    gets ``ceil(its cells * tasks / all cells)`` salts, so one holding a third
+    of the cells is spread over a third of the tasks.  Keys with more than one
+    salt are fewer than ``tasks``: that table is broadcast with a proven bound.
     """
-    if salts is not None:
-        if "_ns" not in assignment.columns:
-            assignment = assignment.join(salts, "entity")
-        assignment = assignment.select(
-            "entity", "cluster", F.explode(F.sequence(F.lit(0), F.col("_ns") - 1)).alias("_salt"))
-        joined = cells.join(assignment, ["entity", "_salt"])
-    else:
-        joined = cells.join(assignment, "entity")
-    return (joined.groupBy("feature")
-            .agg(*[F.sum(F.when(F.col("cluster") == c, 1).otherwise(0)).cast("bigint").alias(col)
-                   for c, col in enumerate(_weight_cols(k))]))
-
-
-def centroid_stats(cells: DataFrame, assignment: DataFrame, k: int,
-                   previous: Centroids | None = None,
-                   sizes: list[int] | None = None,
-                   salts: DataFrame | None = None) -> Centroids:
-    """Centroid statistics of an assignment ``(entity, cluster)``.  A
-    cluster left without members keeps its previous centroid.
-
-    The weights (one row per feature, k counters) are checkpointed: this
-    cuts the lineage of the iteration, since the next assignment depends
-    only on the cells and these weights.
+    salts = cells.groupBy(key).agg(F.count(F.lit(1)).alias("_deg")).select(key, F.greatest(
+        F.lit(1), F.ceil(F.col("_deg") * tasks / total).cast("int")).alias("_ns")).persist()
+    hot = salts.where(F.col("_ns") > 1)
+    # A cached layout is used as it is: the numbers of its partitions stay.
+    out = (cells.join(F.broadcast(hot), key, "left")
+           .withColumn("_ns", F.coalesce(F.col("_ns"), F.lit(1)))
+           .select("entity", "feature", F.pmod(F.xxhash64(other), F.col("_ns")).cast("int").alias("_salt"))
+           .repartition(tasks, key, "_salt").sortWithinPartitions(key, "_salt").persist())
+    out.count()
+    return out, salts
+
+
+def lay_out(cells: DataFrame, cells_per_task: int = CELLS_PER_TASK) -> Layout:
+    """Both layouts of the cells.  The caller's frame is read and left alone; a
+    lost cached block is computed again from the lineage."""
+    cells = cells.select("entity", "feature")
+    total = cells.count()
+    cores = cells.sparkSession.sparkContext.defaultParallelism
+    # Two at least: Spark does not join on the layout of a single partition.
+    tasks = max(2, tasks_for(total, cells_per_task), min(cores, tasks_for(total, LEAST_CELLS)))
+    by_entity, entity_salts = _laid_out(cells, "entity", "feature", tasks, max(1, total))
+    by_feature, feature_salts = _laid_out(cells, "feature", "entity", tasks, max(1, total))
+    return Layout(by_entity, by_feature, entity_salts, feature_salts)
+
+
+def _salted(rows: DataFrame, salts: DataFrame, key: str) -> DataFrame:
+    return rows.join(salts, key).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.col("_ns") - 1))).drop("_ns")
+
+
+def cluster_weights(layout: Layout, assignment: DataFrame, k: int) -> DataFrame:
+    """``(feature, w0..w{k-1}, _size)``: members of each cluster holding the
+    feature, and one more row (``_size`` true) with the cluster sizes.  Only the
+    assignment and partial sums per feature move."""
+    moved = _salted(assignment.select("entity", "cluster"), layout.entity_salts, "entity")
+    held = layout.by_entity.join(moved, ["entity", "_salt"]).select(
+        "feature", "cluster", F.lit(False).alias("_size"))
+    feature_type = layout.by_entity.schema["feature"].dataType
+    members = assignment.select(F.lit(None).cast(feature_type).alias("feature"), "cluster",
+                                F.lit(True).alias("_size"))
+    return held.unionAll(members).groupBy("feature", "_size").agg(
+        *[F.count_if(F.col("cluster") == c).alias(col) for c, col in enumerate(_weight_cols(k))])
+
+
+def centroid_stats(layout: Layout, assignment: DataFrame, k: int,
+                   previous: Centroids | None = None) -> Centroids:
+    """Centroid statistics of an assignment ``(entity, cluster)``.  A cluster
+    left without members keeps its previous centroid.
+
+    The weights are stored, which cuts the lineage: the next assignment depends
+    only on the cells and these.
     """
     cols = _weight_cols(k)
-    weights = cluster_weights(cells, assignment, k, salts)
-    if sizes is None:
-        counts = {r["cluster"]: r["n"] for r in
-                  assignment.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()}
-        sizes = [int(counts.get(c, 0)) for c in range(k)]
-    sizes = list(sizes)
-    empty = [c for c in range(k) if sizes[c] == 0]
+    table, drop = stored(cluster_weights(layout, assignment, k))
+
+    def facts(weights: DataFrame, sizes: DataFrame):
+        square = [F.coalesce(F.sum(F.when(~F.col("_size"), F.col(c) * F.col(c))), F.lit(0)).alias(f"q{c}")
+                  for c in cols]
+        mark = F.sum(F.when(~F.col("_size"), F.xxhash64("feature", *cols)).cast("decimal(38,0)"))
+        return weights.unionByName(sizes).agg(
+            *[F.coalesce(F.max(F.when(F.col("_size"), F.col(c))), F.lit(0)).alias(c) for c in cols],
+            *square, F.count(F.lit(1)).alias("rows"), mark.alias("mark")).first()
+
+    weights, sizes = table.where(~F.col("_size")), table.where("_size")
+    row = facts(weights, sizes)
+    have = [int(row[c]) for c in cols]
+    empty = [c for c in range(k) if have[c] == 0]
     if empty and previous is not None:
-        old = previous.weights.select(
-            "feature", *[F.col(cols[c]).alias(f"_old{c}") for c in empty])
-        weights = (weights.join(old, "feature", "full_outer")
-                   .select("feature", *[
-                       (F.coalesce(F.col(f"_old{c}"), F.lit(0)) if c in empty
-                        else F.coalesce(F.col(cols[c]), F.lit(0))).alias(cols[c])
-                       for c in range(k)]))
-        for c in empty:
-            sizes[c] = previous.sizes[c]
-    # Checkpointed (lineage cut, survives lost executors), then cached so
-    # the broadcast of every round does not re-read the checkpoint files.
-    weights = _materialise(weights).persist()
-    sums = [F.coalesce(F.sum(F.col(c) * F.col(c)), F.lit(0)).alias(c) for c in cols]
-    if previous is None:
-        row = weights.agg(*sums).first()
-        same = None
-    else:
-        # One pass gives the sums of squares and whether any weight moved:
-        # a join of two one-row-per-feature tables.
-        old = previous.weights.select(
-            "feature", *[F.col(c).alias(f"_p{c}") for c in cols])
-        moved = F.lit(False)
-        for c in cols:
-            moved = moved | (F.coalesce(F.col(c), F.lit(0)) != F.coalesce(F.col(f"_p{c}"), F.lit(0)))
-        row = (weights.join(old, "feature", "full_outer")
-               .agg(*sums, F.sum(F.when(moved, 1).otherwise(0)).alias("_moved")).first())
-        same = (row["_moved"] or 0) == 0 and sizes == previous.sizes
-    sq = [int(row[c]) for c in cols]
-    return Centroids(weights, sizes, sq, same)
+        old = previous.weights.select("feature", *[F.col(cols[c]).alias(f"_old{c}") for c in empty])
+        merged = weights.join(old, weights["feature"].eqNullSafe(old["feature"]), "full_outer").select(
+            F.coalesce(weights["feature"], old["feature"]).alias("feature"), F.lit(False).alias("_size"),
+            *[F.coalesce(F.col(f"_old{c}" if c in empty else cols[c]), F.lit(0)).alias(cols[c])
+              for c in range(k)])
+        weights, again = stored(merged)
+        row = facts(weights, sizes)
+        first = drop
+        drop = lambda: (first(), again())
+        have = [previous.sizes[c] if c in empty else have[c] for c in range(k)]
+    return Centroids(weights.select("feature", *cols), have, [int(row[f"q{c}"]) for c in cols],
+                     (row["rows"], row["mark"], tuple(have)), drop)
 
 
 def distance_expr(nx, dot, m: int, sq: int):
@@ -141,19 +174,15 @@ def distance_expr(nx, dot, m: int, sq: int):
             + F.lit(float(sq)) / (md * md))
 
 
-def assign(cells: DataFrame, centroids: Centroids) -> DataFrame:
-    """``(entity, cluster)``: the nearest centroid of every entity (plus the
-    entity's salt count ``_ns`` when the cells carry one).
-
-    With the weights broadcast (one row per feature, k counters), a round
-    reads the cells once and exchanges only partial per-entity sums.
-    """
+def assign(layout: Layout, centroids: Centroids) -> DataFrame:
+    """``(entity, cluster)``: the nearest centroid of every entity.  Only the
+    weights and partial sums per entity move."""
     k = len(centroids.sizes)
     cols = _weight_cols(k)
-    carry = [F.max("_ns").alias("_ns")] if "_ns" in cells.columns else []
-    per_entity = (cells.join(centroids.weights, "feature", "left")
+    moved = _salted(centroids.weights, layout.feature_salts, "feature")
+    per_entity = (layout.by_feature.join(moved, ["feature", "_salt"], "left")
                   .groupBy("entity")
-                  .agg(F.count(F.lit(1)).alias("_nx"), *carry,
+                  .agg(F.count(F.lit(1)).alias("_nx"),
                        *[F.coalesce(F.sum(col), F.lit(0)).alias(f"_d{c}")
                          for c, col in enumerate(cols)]))
     candidates = [
@@ -163,134 +192,92 @@ def assign(cells: DataFrame, centroids: Centroids) -> DataFrame:
         for c in range(k)
     ]
     best = F.least(*candidates) if k > 1 else candidates[0]
-    keep = ["_ns"] if carry else []
-    return per_entity.select("entity", best.getField("c").alias("cluster"), *keep)
-
-
-def _materialise(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return per_entity.select("entity", best.getField("c").alias("cluster"))
 
 
 def _chosen_centroids(cells: DataFrame, k: int, seed: int,
                       candidates: DataFrame | None = None) -> DataFrame:
-    """The k initial entities, materialised (k rows); fewer entities than k
-    is an error, as sampling k of fewer would be."""
+    """The k initial entities, stored (k rows); fewer entities than k is an
+    error, as sampling k of fewer would be."""
     if k < 1:
         raise ValueError("k must be at least 1")
-    init = _materialise(init_centroids(cells, k, seed, candidates))
+    init, _ = stored(init_centroids(cells, k, seed, candidates))
     found = init.count()
     if found < k:
         raise ValueError(f"k={k} exceeds the {found} entities to choose from")
     return init
 
 
-def partition_cells(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Co-partition the cells for the rounds, with hot entities salted.
-
-    With n partitions, every entity gets ``_ns = ceil(degree * n / cells)``
-    salts and each cell the salt ``xxhash64(feature) mod _ns``.  The cells
-    are cached hash-partitioned by ``(entity, _salt)`` and sorted within
-    partitions: an entity holding a third of all cells is spread over a
-    third of the tasks, and every round joins the cells with the assignment
-    without moving them.
-
-    Only entities holding more than a partition's share get more than one
-    salt; since degrees sum to the number of cells there are fewer than n
-    of them, so that table is broadcast with a proven bound.  Returns
-    ``(cells, salts)``, ``salts`` being ``(entity, _ns)`` for all entities.
-    A lost cached block is recomputed from the deterministic lineage.
-    """
-    n = parallelism(cells.sparkSession)
-    raw = cells.select("entity", "feature").persist()
-    degree = raw.groupBy("entity").agg(F.count(F.lit(1)).alias("_deg"))
-    total = degree.select(F.sum("_deg")).scalar()
-    salts = degree.select(
-        "entity",
-        F.greatest(F.lit(1), F.ceil(F.col("_deg") * F.lit(n) / total).cast("int")).alias("_ns"),
-    ).persist()
-    hot = salts.where(F.col("_ns") > 1)          # fewer than n rows
-    salted = (raw.join(F.broadcast(hot), "entity", "left")
-              .withColumn("_ns", F.coalesce(F.col("_ns"), F.lit(1)))
-              .withColumn("_salt", F.pmod(F.xxhash64("feature"), F.col("_ns")).cast("int")))
-    out = (salted.repartition(n, "entity", "_salt")
-           .sortWithinPartitions("entity", "_salt").persist())
-    out.count()
-    raw.unpersist()
-    return out, salts
-
-
 @dataclass
 class KMeansResult:
-    assignment: DataFrame       # (entity, cluster), persisted
+    assignment: DataFrame       # (entity, cluster), stored
     rounds: int                 # assignment rounds run
-    converged: bool
     centroids: DataFrame        # (cluster, entity): the initial entities
-    cached: tuple[DataFrame, ...] = ()   # frames persisted for the rounds
+    drop: Callable[[], None]
 
     def release(self) -> None:
-        """Drop the frames cached for the rounds (cells, salts, the last
-        assignment and weights) once the result has been used."""
-        for df in self.cached:
-            df.unpersist()
+        """Drop the stored assignment and centroids once they have been used."""
+        self.drop()
 
 
-def kmeans(cells: DataFrame, k: int, seed: int, max_rounds: int | None = 5,
-           safety_rounds: int = 1000, candidates: DataFrame | None = None) -> KMeansResult:
-    """Lloyd iterations: assign, update, repeat while assignments change.
+def lloyd_rounds(layout: Layout, init: DataFrame, k: int
+                 ) -> Iterator[tuple[DataFrame, Callable[[], None]]]:
+    """The stored assignment of each round, and what drops it, until it is stable.
 
-    ``max_rounds`` bounds the assignment rounds (``None``: until stable,
-    with ``safety_rounds`` as a guard against cycling).  Per round: one
-    pass over the cached cells that assigns every entity and returns the k
-    cluster sizes to the driver, and one pass for the new per-feature
-    weights (checkpointed).  Convergence is tested on the weights: when
-    they and the sizes do not move, the next assignment would repeat this
-    one.  That compares two one-row-per-feature tables instead of joining
-    two assignments of every entity.  Call ``release()`` on the result to
-    drop the frames cached for the rounds.
+    An assignment follows from the weights and sizes before it, so equal ones
+    in two rounds running mean a fixed point.  Equal ones further apart would
+    mean a cycle, which is an error.
+    """
+    centroids = centroid_stats(layout, init, k)
+    seen = set()
+    while True:
+        assignment, drop = stored(assign(layout, centroids))
+        yield assignment, drop
+        old, centroids = centroids, centroid_stats(layout, assignment, k, centroids)
+        old.drop()
+        if centroids.mark == old.mark and seen:
+            centroids.drop()
+            return
+        if centroids.mark in seen:
+            raise RuntimeError("k-means came back to an earlier state: it cycles")
+        seen.add(centroids.mark)
+
+
+def kmeans(cells: DataFrame, k: int, seed: int, candidates: DataFrame | None = None) -> KMeansResult:
+    """Lloyd iterations from seeded centroids until assignments are stable.
+
+    A round is one job for the assignment with the next weights and sizes, and
+    one over the stored weights (one row per feature).  The layouts are released
+    at the end; ``release()`` on the result drops the assignment.
     """
-    if max_rounds is not None and max_rounds < 1:
-        raise ValueError("max_rounds must be at least 1")
-    cells, salts = partition_cells(cells)
     init = _chosen_centroids(cells, k, seed, candidates)
-    centroids = centroid_stats(cells, init, k, salts=salts)
-    limit = max_rounds if max_rounds is not None else safety_rounds
-    assignment = None
-    rounds = 0
-    converged = False
-    while rounds < limit:
-        if assignment is not None:
-            assignment.unpersist()
-        assignment = assign(cells, centroids).persist()
+    layout = lay_out(cells)
+    rounds, kept, drop = 0, None, None
+    for assignment, forget in lloyd_rounds(layout, init, k):
+        if drop is not None:
+            drop()
+        kept, drop = assignment, forget
         rounds += 1
-        sizes_row = assignment.agg(
-            *[F.count(F.when(F.col("cluster") == c, 1)).alias(f"n{c}") for c in range(k)]).first()
-        if rounds == limit:
-            break
-        old = centroids
-        centroids = centroid_stats(cells, assignment, k, old,
-                                   sizes=[int(sizes_row[f"n{c}"]) for c in range(k)],
-                                   salts=salts)
-        old.weights.unpersist()
-        # Equal weights and sizes give the same next assignment, so this
-        # assignment is the fixed point (the first round always counts as
-        # a change: it replaces the initial entities).
-        if rounds > 1 and centroids.same_as_previous:
-            converged = True
-            break
-    return KMeansResult(assignment.select("entity", "cluster"), rounds, converged, init,
-                        (assignment, cells, salts, centroids.weights))
-
-
-def first_assignment(cells: DataFrame, k: int, seed: int) -> DataFrame:
+    layout.release()
+    return KMeansResult(kept, rounds, init, drop)
+
+
+def members(assignment: DataFrame, init: DataFrame) -> DataFrame:
     """``(centroid, entity)``: every entity with the initial entity of its
-    nearest centroid, one row per member (a cluster may hold a large share
-    of all entities, so members are not gathered into one list)."""
-    init = _chosen_centroids(cells, k, seed)
-    centroids = centroid_stats(cells, init, k)
-    labelled = assign(cells, centroids).join(
-        F.broadcast(init.withColumnRenamed("entity", "centroid")), "cluster")
-    return labelled.select("centroid", "entity").orderBy("centroid", "entity")
+    cluster, one row per member (a cluster may hold a large share of all
+    entities, so members are not gathered into one list)."""
+    named = F.broadcast(init.withColumnRenamed("entity", "centroid"))  # k rows
+    return assignment.join(named, "cluster").select("centroid", "entity")
+
+
+def first_assignment(cells: DataFrame, k: int, seed: int,
+                     candidates: DataFrame | None = None) -> DataFrame:
+    """The members of each initial centroid, ordered by centroid and entity."""
+    init = _chosen_centroids(cells, k, seed, candidates)
+    layout = lay_out(cells)
+    kept, _ = stored(assign(layout, centroid_stats(layout, init, k)))
+    layout.release()
+    return members(kept, init).orderBy("centroid", "entity")
 
 
 def cluster_sizes(assignment: DataFrame) -> DataFrame:

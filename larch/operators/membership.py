@@ -4,23 +4,14 @@ The membership matrix is kept long: one row ``(entity, feature)`` per cell
 holding 1.  Nothing is collected per entity, so an entity holding a third
 of all cells is just a third of the rows, spread over tasks.
 
-Distances between two 0/1 vectors are ``|a| + |b| - 2 |a & b|``.  All
-pairs are computed as a blocked Gram matrix: entities and features are
-hashed into blocks, each (entity block, entity block, feature block)
-group multiplies two small dense 0/1 matrices in numpy, and the partial
-overlaps are summed per pair.  No group grows with a hot feature or a
-hot entity, and no pair of rows within a feature is emitted.
+The distance between two 0/1 vectors is the number of features that exactly
+one of them holds.  It is computed for stated pairs of entities.
 """
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def membership(df: DataFrame, entity: str, feature: str) -> DataFrame:
@@ -51,49 +42,6 @@ def lookup(cells: DataFrame, entity, feature) -> DataFrame:
     return hit.agg((F.count(F.lit(1)) > 0).alias("present"))
 
 
-def _block_count(n: int, per_block: int) -> int:
-    return max(1, math.ceil(n / per_block))
-
-
-def _domain_sizes(cells: DataFrame) -> tuple[int, int]:
-    """Approximate numbers of entities and features, in one pass.  They only
-    size the blocks; results do not depend on them."""
-    row = cells.agg(F.approx_count_distinct("entity").alias("e"),
-                    F.approx_count_distinct("feature").alias("f")).first()
-    return int(row.e), int(row.f)
-
-
-def dense_cells(cells: DataFrame, entities_per_block: int = 4096,
-                features_per_block: int = 1024) -> DataFrame:
-    """Every ``(entity, feature)`` cell of the domain with ``present`` 0/1.
-
-    The result has |entities| x |features| rows by definition.  It is built
-    as a blocked product: entities and features are hashed into blocks; each
-    entity is repeated once per feature block and each feature once per
-    entity block, and the two meet in an equi-join on the block pair.  Every
-    join key then holds at most one block of each side, whatever the sizes
-    of the two domains.  A single feature block is small and AQE broadcasts
-    it, so each entity is expanded where it is.
-    """
-    entities = cells.select("entity").distinct()
-    features = cells.select("feature").distinct()
-    n_entities, n_features = _domain_sizes(cells)
-    neb = _block_count(n_entities, entities_per_block)
-    nfb = _block_count(n_features, features_per_block)
-
-    def blocks(n):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>"))
-
-    left = entities.select("entity", F.pmod(F.xxhash64("entity"), F.lit(neb)).alias("_eb"),
-                           blocks(nfb).alias("_fb"))
-    right = features.select("feature", blocks(neb).alias("_eb"),
-                            F.pmod(F.xxhash64("feature"), F.lit(nfb)).alias("_fb"))
-    grid = left.join(right, ["_eb", "_fb"]).select("entity", "feature")
-    ones = cells.withColumn("present", F.lit(1))
-    return (grid.join(ones, ["entity", "feature"], "left")
-            .select("entity", "feature", F.coalesce("present", F.lit(0)).alias("present")))
-
-
 def pair_distance(cells: DataFrame, a, b) -> DataFrame:
     """Squared Euclidean distance of two entities' 0/1 vectors: the number
     of features held by exactly one of them.  One row, ``distance``."""
@@ -103,62 +51,28 @@ def pair_distance(cells: DataFrame, a, b) -> DataFrame:
                                       F.lit(0)).cast("bigint").alias("distance"))
 
 
-def _overlap_fn():
-    def block_overlap(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Overlaps of the entity pairs of one (block i, block j, feature
-        block) group: a dense 0/1 product in numpy."""
-        ent_codes, ents = pd.factorize(pdf["entity"], sort=True)
-        feat_codes, feats = pd.factorize(pdf["feature"])
-        x = np.zeros((len(ents), len(feats)), dtype=np.float32)
-        x[ent_codes, feat_codes] = 1.0
-        bi, bj = int(pdf["_bi"].iloc[0]), int(pdf["_bj"].iloc[0])
-        eb = pdf.groupby(ent_codes)["_eb"].first().to_numpy()
-        left = np.flatnonzero(eb == bi)
-        right = np.flatnonzero(eb == bj)
-        g = x[left] @ x[right].T  # exact: counts stay far below 2**24
-        li, rj = np.nonzero(g)
-        a, b = left[li], right[rj]
-        keep = a < b if bi == bj else np.ones(len(a), dtype=bool)
-        a, b, ov = a[keep], b[keep], g[li[keep], rj[keep]]
-        lo, hi = np.minimum(a, b), np.maximum(a, b)  # codes follow entity order
-        return pd.DataFrame({"a": ents[lo], "b": ents[hi], "overlap": ov.astype(np.int64)})
-    return block_overlap
-
-
-def pairwise_distance(cells: DataFrame, entities_per_block: int = 512,
-                      features_per_block: int = 4096) -> DataFrame:
-    """``(a, b, distance)`` for every pair of entities with ``a < b``."""
-    entity_type = cells.schema["entity"].dataType
-    degree = cells.groupBy("entity").agg(F.count(F.lit(1)).alias("n"))
-    n_entities, n_features = _domain_sizes(cells)
-    neb = _block_count(n_entities, entities_per_block)
-    nfb = _block_count(n_features, features_per_block)
-    eb = F.pmod(F.xxhash64("entity"), F.lit(neb))
-    partner = F.explode(F.sequence(F.lit(0), F.lit(neb - 1)).cast("array<bigint>"))
-
-    # Each cell goes to every entity-block pair that contains its block.
-    routed = (cells.withColumn("_eb", eb)
-              .withColumn("_fb", F.pmod(F.xxhash64("feature"), F.lit(nfb)))
-              .withColumn("_p", partner)
-              .select("entity", "feature", "_eb", "_fb",
-                      F.least("_eb", "_p").alias("_bi"), F.greatest("_eb", "_p").alias("_bj")))
-    schema = T.StructType([T.StructField("a", entity_type), T.StructField("b", entity_type),
-                           T.StructField("overlap", T.LongType())])
-    partial = routed.groupBy("_bi", "_bj", "_fb").applyInPandas(_overlap_fn(), schema)
-    overlap = partial.groupBy("a", "b").agg(F.sum("overlap").alias("overlap"))
-
-    # Every pair a < b, enumerated per pair of entity blocks.
-    d = degree.withColumn("_eb", eb)
-    left = d.select(F.col("entity").alias("a"), F.col("n").alias("n_a"),
-                    F.col("_eb").alias("_bi"), partner.alias("_bj")).where(F.col("_bj") >= F.col("_bi"))
-    right = d.select(F.col("entity").alias("b"), F.col("n").alias("n_b"),
-                     partner.alias("_bi"), F.col("_eb").alias("_bj")).where(F.col("_bi") <= F.col("_bj"))
-    pairs = (left.join(right, ["_bi", "_bj"])
-             .where(F.col("a") != F.col("b"))
-             .where((F.col("_bi") != F.col("_bj")) | (F.col("a") < F.col("b"))))
-    oriented = pairs.select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "n_a", "n_b")
-    return (oriented.join(overlap, ["a", "b"], "left")
-            .select("a", "b",
-                    (F.col("n_a") + F.col("n_b") - 2 * F.coalesce("overlap", F.lit(0)))
-                    .alias("distance")))
+def lookups(cells: DataFrame, probes: DataFrame) -> DataFrame:
+    """``(entity, feature, present)`` for every stated probe
+    ``(entity, feature)``; unknown keys are false."""
+    held = cells.select("entity", "feature", F.lit(True).alias("_held")).distinct()
+    return probes.join(held, ["entity", "feature"], "left").select(
+        "entity", "feature", F.coalesce("_held", F.lit(False)).alias("present"))
+
+
+def pair_distances(cells: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``(a, b, distance)`` for every stated pair of entities: the squared
+    Euclidean distance of their 0/1 vectors, the number of features that
+    exactly one of them holds.
+
+    Each pair brings in the cells of its two entities; one aggregation per
+    (pair, feature) keeps the features held once.  An entity without cells is
+    the zero vector; repeated pairs give one row.
+    """
+    wanted = pairs.select("a", "b").distinct()
+    sides = wanted.where(F.col("a") != F.col("b")).select(
+        "a", "b", F.explode(F.array("a", "b")).alias("entity"))
+    once = (sides.join(cells, "entity").groupBy("a", "b", "feature")
+            .agg(F.count(F.lit(1)).alias("_k")).where("_k = 1"))
+    counted = once.groupBy("a", "b").agg(F.count(F.lit(1)).alias("_n"))
+    return wanted.join(counted, ["a", "b"], "left").select(
+        "a", "b", F.coalesce("_n", F.lit(0)).cast("bigint").alias("distance"))

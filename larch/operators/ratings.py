@@ -2,7 +2,7 @@
 user and item means with their interaction term, ALS and ALS on the
 interaction term, all scored by RMSE.
 
-Ratings are ``(userId int, itemId int, rating double)``.  Scalar
+Ratings are ``(userId bigint, itemId bigint, rating double)``.  Scalar
 aggregates (the global mean) enter row expressions as scalar subqueries
 (``DataFrame.scalar()``): Spark evaluates them once per query, with no
 ``collect`` in the caller and no join.
@@ -10,12 +10,13 @@ aggregates (the global mean) enter row expressions as scalar subqueries
 
 from __future__ import annotations
 
-from pyspark.ml.recommendation import ALS
+from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larch.functions import seeded_bucket
-from larch.session import parallelism
+from larch.operators.rowid import ordered_ids
+from larch.session import tasks_for
 
 TRAIN, TEST = "train", "test"
 
@@ -136,40 +137,28 @@ def als(seed: int, rating_col: str = "rating", blocks: int = 10) -> ALS:
 
 
 INT_MAX = 2**31 - 1
-
-
-def _wide_id_columns(train: DataFrame, test: DataFrame) -> list[str]:
-    """Id columns holding values outside INT: one aggregate over both folds."""
-    cols = ("userId", "itemId")
-    both = train.select(*cols).unionByName(test.select(*cols))
-    row = both.agg(*[f(c).alias(f"{n}_{c}") for c in cols
-                     for n, f in (("lo", F.min), ("hi", F.max))]).first()
-    wide = []
-    for c in cols:
-        lo, hi = row[f"lo_{c}"], row[f"hi_{c}"]
-        if lo is not None and (lo < -(2**31) or hi > INT_MAX):
-            wide.append(c)
-    return wide
+#: Ratings of one fitting task, and the most user and item blocks of a fit.
+RATINGS_PER_TASK = 1_000_000
+MOST_BLOCKS = 1024
 
 
 def id_index(ratings: DataFrame, col: str) -> DataFrame:
     """``(col, _ix)``: dense INT ids 0..n-1 for the distinct values of
-    ``col``, numbered in key order without a single-task window."""
-    from larch.operators.rowid import ordered_ids
-    distinct = ratings.select(col).distinct()
-    return ordered_ids(distinct, col, id_col="_ix").select(col, F.col("_ix").cast("int").alias("_ix"))
+    ``col``, numbered in key order without a single-task window.  More than
+    2**31 distinct values are an error: MLlib's ALS has INT ids."""
+    numbered = ordered_ids(ratings.select(col).distinct(), col, id_col="_ix")
+    beyond = F.raise_error(F.lit(f"{col} has more than 2**31 distinct values; ALS ids are INT"))
+    return numbered.select(col, F.when(F.col("_ix") <= INT_MAX, F.col("_ix").cast("int"))
+                           .otherwise(beyond.cast("int")).alias("_ix"))
 
 
 def als_ready(train: DataFrame, test: DataFrame):
-    """ALS needs INT ids.  Ids that fit are cast; otherwise users and items
-    are re-indexed densely (one distinct + one numbering job each) and both
-    folds are joined with the index.  Returns (train, test, restore) where
-    ``restore`` maps predictions back to the original ids."""
-    cols = _wide_id_columns(train, test)
-    if not cols:
-        cast = {c: F.col(c).cast("int") for c in ("userId", "itemId")}
-        return train.withColumns(cast), test.withColumns(cast), (lambda df: df)
-    indexes = {c: id_index(train.select(c).unionByName(test.select(c)), c) for c in cols}
+    """Users and items of both folds numbered densely (one distinct and one
+    numbering job each), whatever their ids.  Returns ``(train, test,
+    restore)``; ``restore`` maps predictions back to the original ids."""
+    cols = ("userId", "itemId")
+    both = train.select(*cols).unionByName(test.select(*cols))
+    indexes = {c: id_index(both, c) for c in cols}
 
     def to_ix(df):
         for c, ix in indexes.items():
@@ -184,19 +173,19 @@ def als_ready(train: DataFrame, test: DataFrame):
     return to_ix(train), to_ix(test), restore
 
 
-def _fit_partitions(train: DataFrame) -> int:
-    # ALS results depend on how ratings are blocked; tie the input
-    # partitions and the block count to the session's parallelism so
-    # repeated runs agree and the fit scales with the cluster.
-    return parallelism(train.sparkSession)
+def fit_als(train: DataFrame, seed: int, rating_col: str = "rating") -> ALSModel:
+    """ALS on numbered ratings.  The number of partitions and blocks follows
+    the number of ratings; rows are dealt out by user and item, so one user's
+    ratings are spread and repeated runs see equal partitions."""
+    n = max(8, tasks_for(train.count(), RATINGS_PER_TASK))
+    blocks = min(n, MOST_BLOCKS)
+    return als(seed, rating_col, blocks).fit(train.repartition(n, "userId", "itemId"))
 
 
 def als_predictions(train: DataFrame, test: DataFrame, seed: int) -> DataFrame:
     """Fit ALS on ``train`` and predict ``test``; cold-start rows are dropped."""
-    n = _fit_partitions(train)
     train, test, restore = als_ready(train, test)
-    model = als(seed, blocks=n).fit(train.repartition(n, "userId"))
-    return restore(model.transform(test))
+    return restore(fit_als(train, seed).transform(test))
 
 
 def als_rmse(train: DataFrame, test: DataFrame, seed: int, digits: int | None = None) -> DataFrame:
@@ -214,9 +203,8 @@ def als_bias_predictions(train: DataFrame, test: DataFrame, seed: int) -> DataFr
     residual = with_means(train, user_mean, item_mean).select(
         "userId", "itemId",
         (F.col("rating") - (F.col("user_mean") + F.col("item_mean") - gm)).alias("interaction"))
-    n = _fit_partitions(train)
     residual, test_ix, restore = als_ready(residual, test)
-    model = als(seed, "interaction", blocks=n).fit(residual.repartition(n, "userId"))
+    model = fit_als(residual, seed, "interaction")
     pred = with_means(restore(model.transform(test_ix)), user_mean, item_mean)
     return pred.select(
         "userId", "itemId", "rating", "user_mean", "item_mean",

@@ -1,88 +1,89 @@
 """Dense 0-based row ids without an unpartitioned window.
 
 ``row_number()`` over a window with no partition key moves every row into
-one task.  Both functions here keep the work spread over all tasks and
-send only small per-bucket counts through the driver.
-
-* :func:`line_ids` numbers the lines of one text file by position.  The
-  id of a line depends only on the file: Spark splits one file into
-  consecutive byte ranges, in order, the same way on every run, so a job
-  that counts lines per split and a second job that numbers them agree,
-  also when a lost task is re-run.
-* :func:`ordered_ids` numbers the rows of a table in the order of a
-  numeric key (the rank minus one; ties broken by ``tie_cols``).  It cuts
-  the key range at approximate quantiles into buckets, counts each bucket,
-  and numbers rows inside their bucket with a window partitioned by the
-  bucket.  Bucket bounds are fixed values computed once, so every id is a
-  pure function of the data.
+one task.  Both functions here keep the work spread over all tasks; only the
+row count of each partition comes to the driver.  The numbered layout is stored
+(:func:`larch.session.stored`), since ids must not change when a task is run
+again; the stored copy belongs to the session.
+
+* :func:`line_ids` numbers the lines of one text file by position.
+* :func:`ordered_ids` numbers the rows of a table in the order of a key.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
+from itertools import accumulate
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from larch.session import stored, tasks_for
 
 _POS_BITS = 33  # monotonically_increasing_id = (partition << 33) + position
 
 
+def _position() -> Column:
+    return F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POS_BITS) - 1))
+
+
+def _numbered(tagged: DataFrame, counts: dict[int, int], id_col: str) -> DataFrame:
+    """Adds the id: rows of earlier partitions, then the position."""
+    last = max(counts, default=-1)
+    sizes = [counts.get(p, 0) for p in range(last + 1)]
+    offsets = [0, *accumulate(sizes)][:-1] or [0]
+    # One folded constant, as long as the number of partitions.
+    table = F.split(F.lit(",".join(map(str, offsets))), ",").cast("array<bigint>")
+    return tagged.withColumn(id_col, F.get(table, F.col("_part")) + F.col("_pos")).drop("_part", "_pos")
+
+
+def _partition_counts(tagged: DataFrame) -> dict[int, int]:
+    return {r["_part"]: r["_n"] for r in
+            tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).collect()}
+
+
 def line_ids(lines: DataFrame, id_col: str = "id") -> DataFrame:
     """Add ``id`` = line number - 1 to ``spark.read.text(one_file)``.
 
-    Several files have no defined line order between them, so input read
-    from more than one file is refused.
+    The file is read once: every line is stored with its split and its place
+    in the split, so the counts and the ids see the same splits however many
+    executors there are.  Several files have no defined line order between
+    them, so input read from more than one file is refused.
     """
     if len(lines.inputFiles()) > 1:
         raise ValueError("line numbers are defined for one file; number each file separately")
-    tagged = lines.select(
-        "*",
-        F.spark_partition_id().alias("_part"),
-        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias("_pos"),
-    )
-    per_part = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per input split: small and bounded by the number of splits.
-    offsets = per_part.select(
-        "_part",
-        (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_offset"),
-    )
-    return (tagged.join(F.broadcast(offsets), "_part")
-            .withColumn(id_col, F.col("_offset") + F.col("_pos"))
-            .drop("_part", "_pos", "_offset"))
+    tagged, _ = stored(lines.select(
+        "*", F.spark_partition_id().alias("_part"), _position().alias("_pos")))
+    return _numbered(tagged, _partition_counts(tagged), id_col)
 
 
 def ordered_ids(df: DataFrame, key: str, tie_cols: Sequence[str] = (),
-                rows_per_bucket: int = 2_000_000, id_col: str = "id",
-                rel_error: float = 1e-3) -> DataFrame:
-    """Add ``id`` = 0-based position of the row in ``(key, *tie_cols)`` order.
+                rows_per_bucket: int = 2_000_000, id_col: str = "id") -> DataFrame:
+    """Add ``id`` = 0-based position of the row in ``(key, *tie_cols)`` order,
+    null keys first.
 
-    ``key`` must be numeric.  Runs one count and one quantile pass over
-    ``key`` before the numbering job; buckets hold about
-    ``rows_per_bucket`` rows each.
+    Rows are range-partitioned by key, tie columns, a hash of the row and its
+    place in the input, so that neither a repeated key nor a repeated row has
+    to stay in one partition.  Partitions hold fewer than twice
+    ``rows_per_bucket`` rows: their counts are checked, and the range is cut
+    finer while one is larger.  Rows equal in key and tie columns are numbered
+    by the hash of all columns.
     """
-    n = df.count()
-    n_buckets = max(1, math.ceil(n / rows_per_bucket))
-    order = [F.col(key)] + [F.col(c) for c in tie_cols]
-    if n_buckets == 1:
-        # At most rows_per_bucket rows: one numbered sort, no offsets.
-        rank = F.row_number().over(Window.orderBy(*order)) - 1
-        return df.withColumn(id_col, rank.cast("bigint"))
-    else:
-        probs = [i / n_buckets for i in range(1, n_buckets)]
-        cuts = sorted(set(df.approxQuantile(key, probs, rel_error)))
-        splits = [-math.inf] + [float(c) for c in cuts] + [math.inf]
-        bucketizer = Bucketizer(splits=splits, inputCol="_key", outputCol="_bucket",
-                                handleInvalid="keep")
-        bucketed = bucketizer.transform(
-            df.withColumn("_key", F.col(key).cast("double"))).drop("_key")
-    per_bucket = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = per_bucket.select(
-        "_bucket",
-        (F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")).alias("_offset"),
-    )
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order)) - 1
-    return (bucketed.join(F.broadcast(offsets), "_bucket")
-            .withColumn(id_col, F.col("_offset") + rank)
-            .drop("_bucket", "_offset"))
+    hashed = [F.col(f"`{f.name}`") for f in df.schema.fields
+              if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    order = ["_key", *[f"_tie{i}" for i in range(len(tie_cols))], "_hash", "_place"]
+    keyed = df.select(
+        "*", F.col(key).alias("_key"), *[F.col(c).alias(f"_tie{i}") for i, c in enumerate(tie_cols)],
+        F.xxhash64(*hashed).alias("_hash"), F.monotonically_increasing_id().alias("_place"))
+    parts = tasks_for(df.count(), rows_per_bucket)
+    while True:
+        tagged, drop = stored(
+            keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+            .withColumn("_part", F.spark_partition_id()).withColumn("_pos", _position())
+            .drop(*order))
+        counts = _partition_counts(tagged)
+        if max(counts.values(), default=0) < 2 * max(2, rows_per_bucket):
+            return _numbered(tagged, counts, id_col)
+        drop()
+        parts *= 2

@@ -51,8 +51,8 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(userId, itemId, rating, n_lines)``: one rating per customer and
     brand, ``ceil(avg(quantity) / 10)``, so ratings are integers 1..5.
 
-    ``userId`` stays BIGINT (customer keys outgrow INT at large scale); the
-    ALS operators cast or re-index ids themselves."""
+    Ids are BIGINT (customer keys outgrow INT at large scale); the ALS
+    operators number them densely themselves."""
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_quantity")
     orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
     part = read_table(spark, sf_dir, "part", "p_partkey", "p_brand")
@@ -60,7 +60,7 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
               .join(part, li.l_partkey == part.p_partkey))
     return (joined.groupBy(
                 F.col("o_custkey").alias("userId"),
-                F.substring("p_brand", 7, 8).cast("int").alias("itemId"))
+                F.expr("substring(p_brand, 7)").cast("bigint").alias("itemId"))
             .agg(F.ceil(F.avg("l_quantity") / 10).cast("double").alias("rating"),
                  F.count(F.lit(1)).alias("n_lines")))
 
@@ -116,3 +116,23 @@ def customer_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(part, li.l_partkey == part.p_partkey)
             .select(F.col("o_custkey").alias("entity"), F.col("p_brand").alias("feature"))
             .distinct())
+
+
+def building_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A given list of centroid candidates: customers of one market segment."""
+    customer = read_table(spark, sf_dir, "customer", "c_custkey", "c_mktsegment")
+    return (customer.where(F.col("c_mktsegment") == "BUILDING")
+            .select(F.col("c_custkey").alias("entity")))
+
+
+def nation_probes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Membership probes ``(entity, feature)``: every part with the nation that
+    its key names in turn, some of them with a nation that does not exist."""
+    part = read_table(spark, sf_dir, "part", "p_partkey")
+    return part.select((F.col("p_partkey") % 30).alias("entity"), F.col("p_partkey").alias("feature"))
+
+
+def neighbour_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs ``(a, b)``: every nation with the next one by key."""
+    nation = read_table(spark, sf_dir, "nation", "n_nationkey")
+    return nation.select(F.col("n_nationkey").alias("a"), (F.col("n_nationkey") + 1).alias("b"))

@@ -20,7 +20,7 @@ def _period(year: int) -> str:
 
 
 RATINGS = ("(SELECT o_custkey AS userId, "
-           "CAST(substr(p_brand, 7) AS INTEGER) AS itemId, "
+           "CAST(substr(p_brand, 7) AS BIGINT) AS itemId, "
            "CAST(ceil(avg(l_quantity) / 10) AS DOUBLE) AS rating, count(*) AS n_lines "
            "FROM lineitem JOIN orders ON l_orderkey = o_orderkey "
            "JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)")
@@ -73,7 +73,11 @@ def itemsets_sql(attr: str, support: float, max_size: int) -> str:
     parts = [f"SELECT {_joined_cols(f'f{k}', list(range(1, k + 1)))} AS items, "
              f"CAST({k} AS INTEGER) AS size, freq FROM f{k}"
              for k in range(1, max_size + 1)]
-    return "WITH " + ", ".join(ctes) + " " + " UNION ALL ".join(parts)
+    every = "WITH " + ", ".join(ctes) + " SELECT * FROM (" + " UNION ALL ".join(parts) + ") s"
+    # The largest size enumerated must be empty, unless it is the vocabulary.
+    return every + (f" WHERE (SELECT CASE WHEN (SELECT count(*) FROM f{max_size}) = 0 "
+                    f"OR (SELECT count(DISTINCT item) FROM b) <= {max_size} THEN true "
+                    "ELSE error('itemset oracle: larger sets may be frequent') END)")
 
 
 def _rules_cte(max_size: int, confidence: float) -> str:
@@ -121,25 +125,24 @@ MEMBERSHIP_SETS = (f"WITH c AS {NATION_PARTS} SELECT entity, count(*) AS n_featu
                    "(SELECT count(DISTINCT feature) FROM c) - count(*) AS n_absent "
                    "FROM c GROUP BY entity")
 
-MEMBERSHIP_CELLS = (f"WITH c AS {CUSTOMER_BRANDS} SELECT e.entity, f.feature, "
-                    "CASE WHEN c.entity IS NULL THEN 0 ELSE 1 END AS present "
-                    "FROM (SELECT DISTINCT entity FROM c) e CROSS JOIN (SELECT DISTINCT feature FROM c) f "
-                    "LEFT JOIN c ON c.entity = e.entity AND c.feature = f.feature")
+MEMBERSHIP_LOOKUP = (f"WITH c AS {NATION_PARTS} SELECT p.entity, p.feature, c.entity IS NOT NULL AS present "
+                     "FROM (SELECT p_partkey % 30 AS entity, p_partkey AS feature FROM part) p "
+                     "LEFT JOIN c ON c.entity = p.entity AND c.feature = p.feature")
 
-PAIRWISE_DISTANCE = (f"WITH c AS {NATION_PARTS}, "
-                     "d AS (SELECT entity, count(*) AS n FROM c GROUP BY entity), "
-                     "o AS (SELECT x.entity AS a, y.entity AS b, count(*) AS overlap FROM c x "
-                     "JOIN c y ON x.feature = y.feature AND x.entity < y.entity GROUP BY 1, 2) "
-                     "SELECT da.entity AS a, db.entity AS b, "
-                     "da.n + db.n - 2 * coalesce(o.overlap, 0) AS distance "
-                     "FROM d da JOIN d db ON da.entity < db.entity "
-                     "LEFT JOIN o ON o.a = da.entity AND o.b = db.entity")
+PAIR_DISTANCES = (f"WITH c AS {NATION_PARTS}, p AS (SELECT n_nationkey AS a, n_nationkey + 1 AS b FROM nation) "
+                  "SELECT p.a, p.b, (SELECT count(*) FROM c WHERE c.entity = p.a) "
+                  "+ (SELECT count(*) FROM c WHERE c.entity = p.b) - 2 * (SELECT count(*) FROM c x JOIN c y "
+                  "ON x.feature = y.feature WHERE x.entity = p.a AND y.entity = p.b) AS distance FROM p")
 
 
-def _init_cte(k: int, seed: int) -> str:
+BUILDING = "SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'"
+
+
+def _init_cte(k: int, seed: int, candidates: str | None = None) -> str:
+    where = f" WHERE entity IN ({candidates})" if candidates else ""
     key = f"md5('{seed}:' || CAST(entity AS VARCHAR))"
     return (f"a0 AS (SELECT CAST(row_number() OVER (ORDER BY {key}, entity) - 1 AS INTEGER) AS cluster, "
-            f"entity FROM (SELECT DISTINCT entity FROM c) e ORDER BY {key}, entity LIMIT {k})")
+            f"entity FROM (SELECT DISTINCT entity FROM c{where}) e ORDER BY {key}, entity LIMIT {k})")
 
 
 def _stats_ctes(r: int) -> list[str]:
@@ -175,10 +178,10 @@ def _assign_cte(r: int) -> str:
             f") z WHERE rk = 1)")
 
 
-def kmeans_ctes(rounds: int, k: int = 4, seed: int = 42) -> list[str]:
+def kmeans_ctes(rounds: int, k: int = 4, seed: int = 42, candidates: str | None = None) -> list[str]:
     ctes = [f"c AS {CUSTOMER_BRANDS}",
             "nx AS (SELECT entity, count(*) AS nx FROM c GROUP BY entity)",
-            _init_cte(k, seed)]
+            _init_cte(k, seed, candidates)]
     ctes += _stats_ctes(0)
     for r in range(1, rounds + 1):
         ctes.append(_assign_cte(r))
@@ -187,24 +190,36 @@ def kmeans_ctes(rounds: int, k: int = 4, seed: int = 42) -> list[str]:
     return ctes
 
 
-def kmeans_sql(rounds: int, k: int = 4, seed: int = 42) -> str:
-    return "WITH " + ", ".join(kmeans_ctes(rounds, k, seed)) + \
-        f" SELECT entity, CAST(cluster AS INTEGER) AS cluster FROM a{rounds}"
+SEEDED_CENTROIDS = "WITH " + ", ".join(kmeans_ctes(0)[:3]) + " SELECT cluster, entity FROM a0"
+LISTED_CENTROIDS = ("WITH " + ", ".join(kmeans_ctes(0, candidates=BUILDING)[:3]) +
+                    " SELECT cluster, entity FROM a0")
 
 
-SEEDED_CENTROIDS = "WITH " + ", ".join(kmeans_ctes(0)[:3]) + " SELECT cluster, entity FROM a0"
+def _nearest(candidates: str | None = None) -> str:
+    return ("WITH " + ", ".join(kmeans_ctes(1, candidates=candidates)) +
+            " SELECT i.entity AS centroid, a1.entity FROM a1 JOIN a0 i USING (cluster)")
 
-NEAREST_CENTROID = ("WITH " + ", ".join(kmeans_ctes(1)) +
-                    " SELECT i.entity AS centroid, a1.entity FROM a1 JOIN a0 i USING (cluster)")
 
-# Rounds unrolled for the converged oracle; Lloyd's assignments are a fixed
-# point once stable, so extra rounds do not change the answer.
+# Rounds unrolled for the converged oracle.  Lloyd's assignments are a fixed
+# point once stable, so extra rounds do not change the answer; the query fails
+# unless its last two rounds agree.
 CONVERGED_ROUNDS = 40
-
+_LAST = f"a{CONVERGED_ROUNDS}"
+KMEANS_CONVERGED = (
+    "WITH " + ", ".join(kmeans_ctes(CONVERGED_ROUNDS)) +
+    f", same AS (SELECT count(*) AS n FROM {_LAST} x JOIN a{CONVERGED_ROUNDS - 1} y USING (entity) "
+    "WHERE x.cluster <> y.cluster) "
+    f"SELECT i.entity AS centroid, z.entity FROM {_LAST} z JOIN a0 i USING (cluster) "
+    "WHERE (SELECT CASE WHEN n = 0 THEN true ELSE error('k-means oracle: not converged') END FROM same)")
 
 VALUE_COUNTS = (f"SELECT label, count(*) AS n FROM {LABELLED} t WHERE {PRESENT} "
                 f"GROUP BY label ORDER BY label")
 
+# ALS scores the test rows whose user and item it was fitted on.
+ALS_SCORED = (f"SELECT (SELECT count(*) FROM {TEST} t) AS n_test, count(*) AS n_scored, true AS finite "
+              f"FROM {TEST} t WHERE userId IN (SELECT userId FROM {TRAIN} u) "
+              f"AND itemId IN (SELECT itemId FROM {TRAIN} i)")
+
 ORACLE: dict[str, str] = {
     "row_count": f"SELECT count(*) AS n FROM {LABELLED} t",
     "present_count": f"SELECT count(*) AS n FROM {LABELLED} t WHERE {PRESENT}",
@@ -218,7 +233,7 @@ ORACLE: dict[str, str] = {
                       f"WHERE c_name IS NOT NULL AND c_name <> '' ORDER BY c_name"),
     "csv_lines": (f"SELECT {_csv_field('label')} || ',' || CAST(n AS VARCHAR) AS line "
                   f"FROM ({VALUE_COUNTS}) v"),
-    "parse_ratings": ("SELECT CAST(p[1] AS INTEGER) AS userId, CAST(p[2] AS INTEGER) AS itemId, "
+    "parse_ratings": ("SELECT CAST(p[1] AS BIGINT) AS userId, CAST(p[2] AS BIGINT) AS itemId, "
                       "CAST(p[3] AS DOUBLE) AS rating FROM (SELECT string_split(value, '::') AS p "
                       f"FROM {RATING_LINES} l) s"),
     # DuckDB sums integers as HUGEINT; the key sums fit BIGINT, as in Spark.
@@ -238,7 +253,10 @@ ORACLE: dict[str, str] = {
         "round(tr.rating - (user_mean + item_mean - g.gm), 6) AS user_item_interaction "
         "FROM tr JOIN im ON tr.itemId = im.itemId JOIN um ON tr.userId = um.userId, g "
         "ORDER BY tr.userId, tr.itemId"),
+    "als_rmse": ALS_SCORED,
+    "als_bias_rmse": ALS_SCORED,
     "baskets": BASKETS,
+    "first_baskets": f"SELECT * FROM ({BASKETS}) t ORDER BY id LIMIT 10",
     # Six part types: every subset size up to six is enumerated.
     "frequent_itemsets": itemsets_sql("p_type", 0.05, 6),
     "association_rules": rules_sql("p_type", 0.05, 0.3, 6),
@@ -247,11 +265,22 @@ ORACLE: dict[str, str] = {
     # by downward closure an empty size ends the enumeration).
     "frequent_pairs": itemsets_sql("p_brand", 0.005, 5),
     "membership_sets": MEMBERSHIP_SETS,
-    "membership_cells": MEMBERSHIP_CELLS,
-    "pairwise_distance": PAIRWISE_DISTANCE,
+    "membership_lookup": MEMBERSHIP_LOOKUP,
+    "pair_distances": PAIR_DISTANCES,
     "seeded_centroids": SEEDED_CENTROIDS,
-    "nearest_centroid": NEAREST_CENTROID,
-    "kmeans_5": kmeans_sql(5),
-    "kmeans_converged": ("SELECT cluster, count(*) AS n FROM (" + kmeans_sql(CONVERGED_ROUNDS) +
-                         ") z GROUP BY cluster"),
+    "listed_centroids": LISTED_CENTROIDS,
+    "nearest_centroid": _nearest(),
+    "nearest_listed_centroid": _nearest(BUILDING),
+    "kmeans_converged": KMEANS_CONVERGED,
+}
+
+_SIZE = "len(string_split({}, ','))"
+ORACLE |= {
+    "first_means": f"SELECT * FROM ({ORACLE['means_interaction']}) t ORDER BY userId, itemId LIMIT 10",
+    "first_itemsets": (f"SELECT * FROM ({ORACLE['frequent_itemsets']}) t "
+                       "ORDER BY size DESC, freq DESC, replace(items, ',', ' ') LIMIT 10"),
+    "first_rules": (f"SELECT * FROM ({ORACLE['association_rules']}) t ORDER BY {_SIZE.format('antecedent')} DESC, "
+                    "confidence DESC, replace(antecedent, ',', ' '), consequent LIMIT 10"),
+    "first_interest": (f"SELECT * FROM ({ORACLE['rule_interest']}) t ORDER BY {_SIZE.format('antecedent')} DESC, "
+                       "interest DESC, replace(antecedent, ',', ' '), consequent LIMIT 10"),
 }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from larch.operators import baskets, clusters, counts, membership, ratings
 from larch.plans import fixtures
+from larch.session import releasing
 from larch.sources import csv_lines, parse_ratings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,18 +59,18 @@ def _ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _folds(spark: SparkSession, sf_dir: str):
-    """Train and test folds over one persisted copy of the rated rows.
+    """Train and test folds over one cached copy of the rated rows.
 
     The rating queries read the folds from several branches (the means,
     the global mean, the model fit).  Their subplans differ in the null
     filters Catalyst infers from each join key, so exchange reuse does not
-    apply; persisting the folded ratings computes the three-way join and
-    the md5 fold once.  A lost block is recomputed from the lineage.
+    apply; caching the folded ratings computes the three-way join and the
+    md5 fold once.  A lost block is recomputed from the lineage.
     """
     folded = ratings.with_fold(_ratings(spark, sf_dir), SEED).persist()
     train = folded.where(F.col("fold") == ratings.TRAIN).drop("fold")
     test = folded.where(F.col("fold") == ratings.TEST).drop("fold")
-    return train, test
+    return folded, train, test
 
 
 def rating_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,29 +83,44 @@ def global_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def global_mean_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = _folds(spark, sf_dir)
-    return ratings.global_mean_rmse(train, test, digits=6)
+    folded, train, test = _folds(spark, sf_dir)
+    return releasing(ratings.global_mean_rmse(train, test, digits=6), folded)
 
 
 def means_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, _ = _folds(spark, sf_dir)
-    return ratings.means_and_interaction(train, digits=6)
+    folded, train, _ = _folds(spark, sf_dir)
+    return releasing(ratings.means_and_interaction(train, digits=6), folded)
+
+
+def first_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folded, train, _ = _folds(spark, sf_dir)
+    return releasing(ratings.means_and_interaction(train, digits=6, n=FIRST), folded)
+
+
+def _scored(rmse: DataFrame) -> DataFrame:
+    """What SQL can state of a fitted model's score: the rows in the test fold,
+    the rows scored, and that the error is a number."""
+    error = F.col("rmse")
+    return rmse.select("n_test", "n_scored", (error.isNotNull() & ~F.isnan(error) & (
+        error < float("inf"))).alias("finite"))
 
 
 def als_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = _folds(spark, sf_dir)
-    return ratings.als_rmse(train, test, SEED)
+    folded, train, test = _folds(spark, sf_dir)
+    return releasing(_scored(ratings.als_rmse(train, test, SEED)), folded)
 
 
 def als_bias_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = _folds(spark, sf_dir)
-    return ratings.als_bias_rmse(train, test, SEED)
+    folded, train, test = _folds(spark, sf_dir)
+    return releasing(_scored(ratings.als_bias_rmse(train, test, SEED)), folded)
 
 
 # FP-Growth thresholds (support, confidence) per basket fixture.
 TYPE_THRESHOLDS = (0.05, 0.3)
 BRAND_THRESHOLDS = (0.005, 0.1)
 ITEM_SEP = ","
+#: Rows of the queries that return the first rows of a report.
+FIRST = 10
 
 
 def _joined(col: str):
@@ -112,9 +128,12 @@ def _joined(col: str):
 
 
 def basket_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Numbering reads the lines twice (a count, then the ids): build once.
-    lines = fixtures.basket_lines(spark, sf_dir, "p_type").persist()
-    b = baskets.basket_table(lines, key="key")
+    b = baskets.basket_table(fixtures.basket_lines(spark, sf_dir, "p_type"), key="key")
+    return b.select("id", "name", _joined("items"))
+
+
+def first_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = baskets.basket_table(fixtures.basket_lines(spark, sf_dir, "p_type"), key="key", n=FIRST)
     return b.select("id", "name", _joined("items"))
 
 
@@ -124,29 +143,53 @@ def _model(spark: SparkSession, sf_dir: str, item_col: str, thresholds):
     return b, baskets.fit(b, *thresholds)
 
 
-def frequent_itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, model = _model(spark, sf_dir, "p_type", TYPE_THRESHOLDS)
-    return baskets.frequent_itemsets(model).select(_joined("items"), "size", "freq")
+def _itemsets(spark: SparkSession, sf_dir: str, item_col: str, thresholds,
+              n: int | None = None) -> DataFrame:
+    b, model = _model(spark, sf_dir, item_col, thresholds)
+    return releasing(baskets.frequent_itemsets(model, n).select(_joined("items"), "size", "freq"), b)
 
 
-def association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, model = _model(spark, sf_dir, "p_type", TYPE_THRESHOLDS)
-    return baskets.association_rules(model).select(
+def _rules(spark: SparkSession, sf_dir: str, n: int | None = None) -> DataFrame:
+    b, model = _model(spark, sf_dir, "p_type", TYPE_THRESHOLDS)
+    return releasing(baskets.association_rules(model, n).select(
         _joined("antecedent"), _joined("consequent"),
-        F.round("confidence", 6).alias("confidence"))
+        F.round("confidence", 6).alias("confidence")), b)
 
 
-def rule_interest(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _interest(spark: SparkSession, sf_dir: str, n: int | None = None) -> DataFrame:
     b, model = _model(spark, sf_dir, "p_type", TYPE_THRESHOLDS)
-    return baskets.rule_interest(model, b).select(
+    return releasing(baskets.rule_interest(model, b, n).select(
         _joined("antecedent"), _joined("consequent"),
         F.round("confidence", 6).alias("confidence"), _joined("items"), "freq",
-        F.round("interest", 6).alias("interest"))
+        F.round("interest", 6).alias("interest")), b)
+
+
+def frequent_itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _itemsets(spark, sf_dir, "p_type", TYPE_THRESHOLDS)
+
+
+def first_itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _itemsets(spark, sf_dir, "p_type", TYPE_THRESHOLDS, FIRST)
+
+
+def association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rules(spark, sf_dir)
+
+
+def first_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rules(spark, sf_dir, FIRST)
+
+
+def rule_interest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _interest(spark, sf_dir)
+
+
+def first_interest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _interest(spark, sf_dir, FIRST)
 
 
 def frequent_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, model = _model(spark, sf_dir, "p_brand", BRAND_THRESHOLDS)
-    return baskets.frequent_itemsets(model).select(_joined("items"), "size", "freq")
+    return _itemsets(spark, sf_dir, "p_brand", BRAND_THRESHOLDS)
 
 
 K = 4  # clusters in the k-means queries
@@ -154,41 +197,46 @@ K = 4  # clusters in the k-means queries
 
 def membership_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The cells feed the domain size and the per-entity counts.
-    return membership.membership_sets(fixtures.nation_parts(spark, sf_dir).persist())
+    cells = fixtures.nation_parts(spark, sf_dir).persist()
+    return releasing(membership.membership_sets(cells), cells)
 
 
-def membership_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The cells feed the entity list, the feature list and the 1-cells.
-    return membership.dense_cells(fixtures.customer_brands(spark, sf_dir).persist())
+def membership_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return membership.lookups(fixtures.nation_parts(spark, sf_dir),
+                              fixtures.nation_probes(spark, sf_dir))
 
 
-def pairwise_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The cells feed the block sizing, the degrees and the block products.
-    return membership.pairwise_distance(fixtures.nation_parts(spark, sf_dir).persist())
+def pair_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return membership.pair_distances(fixtures.nation_parts(spark, sf_dir),
+                                     fixtures.neighbour_nations(spark, sf_dir))
 
 
 def seeded_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.init_centroids(fixtures.customer_brands(spark, sf_dir), K, SEED)
 
 
-def nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The cells feed the centroid choice, their statistics and the assignment.
-    return clusters.first_assignment(fixtures.customer_brands(spark, sf_dir).persist(), K, SEED)
+def listed_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.init_centroids(fixtures.customer_brands(spark, sf_dir), K, SEED,
+                                   fixtures.building_customers(spark, sf_dir))
 
 
-def _cells_cached(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Every k-means round reads the membership cells: build them once.
-    return fixtures.customer_brands(spark, sf_dir).cache()
+def nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The cells feed the centroid choice and both layouts.
+    cells = fixtures.customer_brands(spark, sf_dir).persist()
+    return releasing(clusters.first_assignment(cells, K, SEED), cells)
 
 
-def kmeans_5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = clusters.kmeans(_cells_cached(spark, sf_dir), K, SEED, max_rounds=5)
-    return result.assignment.select("entity", "cluster")
+def nearest_listed_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = fixtures.customer_brands(spark, sf_dir).persist()
+    return releasing(clusters.first_assignment(
+        cells, K, SEED, fixtures.building_customers(spark, sf_dir)), cells)
 
 
 def kmeans_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = clusters.kmeans(_cells_cached(spark, sf_dir), K, SEED, max_rounds=None)
-    return clusters.cluster_sizes(result.assignment)
+    cells = fixtures.customer_brands(spark, sf_dir).persist()
+    result = clusters.kmeans(cells, K, SEED)
+    cells.unpersist()
+    return clusters.members(result.assignment, result.centroids)
 
 
 QUERIES: dict[str, Query] = {
@@ -204,18 +252,24 @@ QUERIES: dict[str, Query] = {
     "global_mean": global_mean,
     "global_mean_rmse": global_mean_rmse,
     "means_interaction": means_interaction,
+    "first_means": first_means,
     "als_rmse": als_rmse,
     "als_bias_rmse": als_bias_rmse,
     "baskets": basket_ids,
+    "first_baskets": first_baskets,
     "frequent_itemsets": frequent_itemsets,
+    "first_itemsets": first_itemsets,
     "association_rules": association_rules,
+    "first_rules": first_rules,
     "rule_interest": rule_interest,
+    "first_interest": first_interest,
     "frequent_pairs": frequent_pairs,
     "membership_sets": membership_sets,
-    "membership_cells": membership_cells,
-    "pairwise_distance": pairwise_distance,
+    "membership_lookup": membership_lookup,
+    "pair_distances": pair_distances,
     "seeded_centroids": seeded_centroids,
+    "listed_centroids": listed_centroids,
     "nearest_centroid": nearest_centroid,
-    "kmeans_5": kmeans_5,
+    "nearest_listed_centroid": nearest_listed_centroid,
     "kmeans_converged": kmeans_converged,
 }

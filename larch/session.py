@@ -1,14 +1,18 @@
-"""Session helpers for tests, the benchmark and scripts.
+"""Session helpers for tests, the benchmark and scripts, and storage for
+intermediate results.
 
 The library itself never builds a session; operators take DataFrames.
 """
 
 from __future__ import annotations
 
+import math
 import os
-import tempfile
+import uuid
+import weakref
+from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int = 8, shuffle_partitions: int | None = None,
@@ -26,54 +30,52 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", os.environ.get("LARCH_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("LARCH_DRIVER_MEMORY", "10g"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder, setting one only where none is set.
+def storage_folder(spark: SparkSession) -> str:
+    """The shared folder that ``spark.checkpoint.dir`` names; where it is unset,
+    as in tests, a folder in the session's warehouse."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return (named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_larch").rstrip("/")
 
-    On a cluster the folder must be shared storage named by
-    ``spark.checkpoint.dir``; it is read from the session.  Only a local
-    master without that setting (tests, single-machine runs) gets a fresh
-    folder of its own.
+
+def stored(df: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
+    """``df`` written as Parquet to the shared folder and read again, and a
+    function that deletes the copy.
+
+    The lineage is cut, and no executor has to survive for the copy.  What an
+    operator stores for its result belongs to the folder's owner; what it no
+    longer needs, it deletes itself.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: the server owns the checkpoint folder
-        return ""
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        try:
-            conf_dir = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # not set in the SQL conf either
-            conf_dir = None
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="larch-ckpt-"))
-        return sc.getCheckpointDir()
-    raise RuntimeError(
-        "spark.checkpoint.dir is not set; point it at a shared folder "
-        "(HDFS, S3, ...) so iterative operators can cut their lineage")
-
-
-def parallelism(spark: SparkSession) -> int:
-    """Task count for operators that choose their own partitioning (ALS
-    blocks, the k-means cells): the configured shuffle partitions, but no
-    more than the cores the cluster offers (``defaultParallelism``), so one
-    wave of tasks covers the data."""
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # Spark Connect: no SparkContext on the client
-        cores = shuffle
-    return max(1, min(shuffle, cores))
+    spark = df.sparkSession
+    path = f"{storage_folder(spark)}/larch-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+
+    def drop() -> None:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+    return spark.read.schema(df.schema).parquet(path), drop
+
+
+def releasing(result: DataFrame, *cached: DataFrame) -> DataFrame:
+    """``result``; the cached frames it reads are uncached when nobody holds it
+    any more.  A frame derived from it still computes, from the lineage."""
+    def release() -> None:
+        for frame in cached:
+            try:
+                frame.unpersist()
+            except Exception:  # the session has ended and taken its frames along
+                return
+    weakref.finalize(result, release).atexit = False
+    return result
+
+
+def tasks_for(rows: int, rows_per_task: int) -> int:
+    """Tasks of about ``rows_per_task`` rows each, however many cores there are."""
+    return max(1, math.ceil(rows / rows_per_task))

@@ -2,10 +2,12 @@
 and tie rule; fixed point, partition and objective invariants."""
 
 import hashlib
+from itertools import islice
 
 import pytest
 from pyspark.sql import functions as F
 
+from larch import session
 from larch.operators import clusters
 from larch.plans import fixtures
 from tests.conftest import SF_SMALL
@@ -75,26 +77,32 @@ def test_first_assignment(spark, cells, cell_list):
     assert got == {e: init[c] for e, c in history[0].items()}
 
 
-@pytest.mark.parametrize("rounds", [1, 3])
-def test_rounds_match_python(spark, cells, cell_list, rounds):
-    _, history = py_kmeans(cell_list, 4, 42, rounds)
-    res = clusters.kmeans(cells, 4, 42, max_rounds=rounds)
-    got = {r.entity: r.cluster for r in res.assignment.collect()}
-    assert got == history[-1]
+def by_round(cells, k, seed, n):
+    layout = clusters.lay_out(cells)
+    init = clusters.init_centroids(cells, k, seed)
+    out = []
+    for kept, _ in islice(clusters.lloyd_rounds(layout, init, k), n):
+        out.append({r.entity: r.cluster for r in kept.collect()})
+    layout.release()
+    return out
+
+
+def test_rounds_match_python(spark, cells, cell_list):
+    _, history = py_kmeans(cell_list, 4, 42, 4)
+    assert by_round(cells, 4, 42, 4) == history
 
 
 def test_converged_fixed_point(spark, cells, cell_list):
     _, history = py_kmeans(cell_list, 4, 42, 200)
-    res = clusters.kmeans(cells, 4, 42, max_rounds=None)
-    assert res.converged
+    res = clusters.kmeans(cells, 4, 42)
     got = {r.entity: r.cluster for r in res.assignment.collect()}
     assert got == history[-1]
     # Every entity exactly once.
     assert res.assignment.count() == res.assignment.select("entity").distinct().count() \
         == cells.select("entity").distinct().count()
     # One more round on the converged result changes nothing.
-    centroids = clusters.centroid_stats(cells, res.assignment, 4)
-    again = clusters.assign(cells, centroids)
+    layout = clusters.lay_out(cells)
+    again = clusters.assign(layout, clusters.centroid_stats(layout, res.assignment, 4))
     diff = again.join(res.assignment.withColumnRenamed("cluster", "c0"), "entity") \
         .where(F.col("cluster") != F.col("c0")).count()
     assert diff == 0
@@ -119,10 +127,7 @@ def test_objective_never_rises(spark, cells, cell_list):
                 total += len(sets[e]) - 2 * dot / len(mem) + sq / len(mem) ** 2
         return total
 
-    values = []
-    for rounds in (1, 2, 3, 4):
-        res = clusters.kmeans(cells, 4, 42, max_rounds=rounds)
-        values.append(objective({r.entity: r.cluster for r in res.assignment.collect()}))
+    values = [objective(a) for a in by_round(cells, 4, 42, 4)]
     assert all(b <= a + 1e-9 for a, b in zip(values, values[1:]))
 
 
@@ -132,24 +137,26 @@ def test_empty_cluster_keeps_centroid(spark):
     cells = spark.createDataFrame(
         [("a", "x"), ("b", "x"), ("c", "y"), ("d", "y"), ("d", "z")],
         "entity string, feature string")
-    res = clusters.kmeans(cells, 4, 1, max_rounds=None)
+    res = clusters.kmeans(cells, 4, 1)
     got = {r.entity: r.cluster for r in res.assignment.collect()}
     _, history = py_kmeans([tuple(r) for r in cells.collect()], 4, 1, 200)
     assert got == history[-1]
 
 
-def test_hot_entity_is_salted(spark):
+def test_hot_entity_is_salted(spark, monkeypatch):
     # One entity holds most cells: it gets several salts, results unchanged.
     rows = [("hot", f"f{i}") for i in range(400)]
     rows += [(f"e{j}", f"f{(j * 37 + i) % 400}") for j in range(40) for i in range(1 + j % 7)]
     cells = spark.createDataFrame(rows, "entity string, feature string")
-    salted, salts = clusters.partition_cells(cells)
-    ns = {r.entity: r._ns for r in salts.collect()}
+    monkeypatch.setattr(clusters, "LEAST_CELLS", 50)
+    layout = clusters.lay_out(cells)
+    ns = {r.entity: r._ns for r in layout.entity_salts.collect()}
     assert ns["hot"] > 1 and max(v for e, v in ns.items() if e != "hot") == 1
-    per_salt = salted.where(F.col("entity") == "hot").groupBy("_salt").count().collect()
+    per_salt = layout.by_entity.where(F.col("entity") == "hot").groupBy("_salt").count().collect()
     assert len(per_salt) == ns["hot"]
+    layout.release()
     _, history = py_kmeans(rows, 3, 9, 200)
-    res = clusters.kmeans(cells, 3, 9, max_rounds=None)
+    res = clusters.kmeans(cells, 3, 9)
     assert {r.entity: r.cluster for r in res.assignment.collect()} == history[-1]
 
 
@@ -168,15 +175,40 @@ def test_k_larger_than_entities(spark):
         clusters.kmeans(cells, 3, 1)
     with pytest.raises(ValueError):
         clusters.first_assignment(cells, 3, 1)
-    res = clusters.kmeans(cells, 2, 1, max_rounds=None)
+    res = clusters.kmeans(cells, 2, 1)
     assert sorted(r.cluster for r in res.assignment.collect()) == [0, 1]
 
 
-def test_release_drops_cached_frames(spark):
-    cells = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "x")], "entity string, feature string")
-    res = clusters.kmeans(cells, 2, 3, max_rounds=None)
-    got = {r.entity: r.cluster for r in res.assignment.collect()}
-    assert all(df.is_cached for df in res.cached)
+def test_nothing_stays_cached_but_the_result(spark):
+    spark.catalog.clearCache()
+    cells = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "x")], "entity string, feature string").persist()
+    cells.count()
+    res = clusters.kmeans(cells, 2, 3)
+    assert cells.is_cached
+    assert sorted(r.cluster for r in res.assignment.collect()) in ([0, 0, 1], [0, 1, 1])
+    cells.unpersist()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+    res.release()
+
+
+def test_a_cycle_is_an_error(spark, monkeypatch):
+    cells = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "x"), ("c", "z")], "entity string, feature string")
+    marks = iter("abcdbe")
+    stats = clusters.centroid_stats
+
+    def marked(*args, **kwargs):
+        out = stats(*args, **kwargs)
+        out.mark = next(marks)
+        return out
+    monkeypatch.setattr(clusters, "centroid_stats", marked)
+    with pytest.raises(RuntimeError):
+        clusters.kmeans(cells, 2, 3)
+
+
+def test_same_result_in_another_folder(spark, cells, monkeypatch):
+    want = {r.entity: r.cluster for r in clusters.kmeans(cells, 4, 42).assignment.collect()}
+    folder = session.storage_folder
+    monkeypatch.setattr(session, "storage_folder", lambda spark: folder(spark) + "/other")
+    res = clusters.kmeans(cells, 4, 42)
+    assert {r.entity: r.cluster for r in res.assignment.collect()} == want
     res.release()
-    assert not any(df.is_cached for df in res.cached)
-    assert {r.entity: r.cluster for r in res.assignment.collect()} == got

@@ -25,9 +25,12 @@ def test_kmeans_figures(spark, cells):
     init = [r.entity for r in clusters.init_centroids(cells, 4, 42).orderBy("cluster").collect()]
     assert init == [897, 1443, 1078, 47]
     sizes = {1: [290, 897, 153, 160], 3: [289, 769, 218, 224], 5: [274, 746, 231, 249]}
-    for rounds, want in sizes.items():
-        res = clusters.kmeans(cells, 4, 42, max_rounds=rounds)
-        got = dict((r.cluster, r.n) for r in clusters.cluster_sizes(res.assignment).collect())
-        assert [got[c] for c in range(4)] == want
-    res = clusters.kmeans(cells, 4, 42, max_rounds=None)
-    assert res.converged and res.rounds == 18
+    layout = clusters.lay_out(cells)
+    rounds = 0
+    for kept, _ in clusters.lloyd_rounds(layout, clusters.init_centroids(cells, 4, 42), 4):
+        rounds += 1
+        if rounds in sizes:
+            got = dict((r.cluster, r.n) for r in clusters.cluster_sizes(kept).collect())
+            assert [got[c] for c in range(4)] == sizes[rounds]
+    layout.release()
+    assert rounds == 18

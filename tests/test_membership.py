@@ -1,4 +1,4 @@
-"""Membership, dense cells and blocked pairwise distances against brute force."""
+"""Membership, lookups and distances of stated pairs against brute force."""
 
 import random
 from itertools import combinations
@@ -27,21 +27,25 @@ def brute_distances(cells):
     return {(a, b): len(sets[a] ^ sets[b]) for a, b in combinations(sorted(sets), 2)}
 
 
-def test_pairwise_distance_blocked(spark):
+def test_pair_distances_of_stated_pairs(spark):
     cells = sample_cells()
     df = spark.createDataFrame(cells, "entity string, feature string")
     want = brute_distances(cells)
-    for epb, fpb in [(512, 4096), (4, 7), (1, 1)]:
-        got = {(r.a, r.b): r.distance
-               for r in membership.pairwise_distance(df, epb, fpb).collect()}
-        assert got == want, (epb, fpb)
+    pairs = spark.createDataFrame(sorted(want) + [("e05", "e01"), ("e02", "e02"), ("e00", "nobody"), ("e00", "nobody")],
+                                  "a string, b string")
+    got = {(r.a, r.b): r.distance for r in membership.pair_distances(df, pairs).collect()}
+    want |= {("e05", "e01"): want["e01", "e05"], ("e02", "e02"): 0,
+             ("e00", "nobody"): sum(e == "e00" for e, _ in cells)}
+    assert got == want
 
 
-def test_pairwise_distance_integer_entities(spark):
-    cells = [(1, 10), (1, 11), (2, 11), (3, 12), (2, 12)]
-    df = spark.createDataFrame(cells, "entity int, feature long")
-    got = {(r.a, r.b): r.distance for r in membership.pairwise_distance(df, 1, 1).collect()}
-    assert got == {(1, 2): 2, (1, 3): 3, (2, 3): 1}
+def test_lookups_of_stated_probes(spark):
+    cells = sample_cells(seed=3)
+    df = spark.createDataFrame(cells, "entity string, feature string")
+    probes = [("e_lonely", "f_unique"), ("e_lonely", "f_hot"), ("nobody", "f_hot"), ("e01", "no feature"), ("e01", "f_hot")]
+    got = {(r.entity, r.feature): r.present for r in membership.lookups(
+        df, spark.createDataFrame(probes, "entity string, feature string")).collect()}
+    assert got == {p: p in set(cells) for p in probes}
 
 
 def test_pair_distance_and_lookup(spark):
@@ -56,20 +60,14 @@ def test_pair_distance_and_lookup(spark):
     assert membership.lookup(df, "nobody", "f_hot").first().present is False
 
 
-def test_membership_sets_and_dense_cells(spark):
+def test_membership_sets(spark):
     cells = sample_cells(seed=5, n_entities=9, n_features=13)
     df = spark.createDataFrame(cells, "entity string, feature string")
-    ents = sorted({e for e, _ in cells})
-    feats = sorted({f for _, f in cells})
+    feats = {f for _, f in cells}
     sets = {(r.entity, r.n_features, r.n_absent) for r in membership.membership_sets(df).collect()}
-    for e in ents:
+    for e in {e for e, _ in cells}:
         n = sum(1 for x, _ in cells if x == e)
         assert (e, n, len(feats) - n) in sets
-    for fpb in (1024, 3):
-        dense = {(r.entity, r.feature): r.present
-                 for r in membership.dense_cells(df, features_per_block=fpb).collect()}
-        assert len(dense) == len(ents) * len(feats)
-        assert {k for k, v in dense.items() if v == 1} == set(cells)
 
 
 def test_membership_from_baskets(spark):

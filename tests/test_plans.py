@@ -1,16 +1,14 @@
 """Physical-plan checks over every registered query: no Cartesian or
-nested-loop joins, no row-at-a-time Python UDFs, Python only where the
-blocked distance kernel runs, and column pruning at the Parquet scans."""
+nested-loop joins, no Python, and column pruning at the Parquet scans."""
 
+import gc
 import re
 
 import pytest
 
-import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
 
-QUERIES = entry.queries()
-PANDAS_ALLOWED = {"pairwise_distance"}
+from larch.plans.queries import QUERIES
 
 
 def executed_plan(df) -> str:
@@ -24,36 +22,60 @@ def test_plan_shape(spark, name):
     plan = executed_plan(df)
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
         assert bad not in plan, f"{name}: {bad}"
-    if name not in PANDAS_ALLOWED:
-        assert "FlatMapGroupsInPandas" not in plan and "ArrowEvalPython" not in plan, name
+    assert "FlatMapGroupsInPandas" not in plan and "ArrowEvalPython" not in plan, name
     # Parquet scans read only the columns the query needs.
     for schema in re.findall(r"ReadSchema: struct<([^>]*)>", plan):
         assert len(schema.split(",")) <= 4, f"{name}: wide scan {schema}"
 
 
-def test_kmeans_round_keeps_cells_in_place(spark):
-    """The per-round join of the cached cells with the assignment must not
-    shuffle the cells, even when nothing is broadcast (large tables)."""
+def join_sides(plan: str, key: str) -> list[list[str]]:
+    """Lines from each sort-merge join on ``key`` down to the cached cells."""
+    lines = plan.split("\n")
+    out = []
+    for i, line in enumerate(lines):
+        if "SortMergeJoin" in line and key in line and "_salt" in line:
+            side = []
+            for below in lines[i + 1:]:
+                side.append(below)
+                if "InMemoryTableScan" in below:
+                    break
+            out.append(side)
+    return out
+
+
+def test_kmeans_rounds_keep_cells_in_place(spark):
+    """Neither join of the cached cells may shuffle them, even when nothing is
+    broadcast (large tables)."""
     from larch.operators import clusters
     from larch.plans import fixtures
 
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        cells, salts = clusters.partition_cells(fixtures.customer_brands(spark, SF_SMALL))
+        cells = fixtures.customer_brands(spark, SF_SMALL)
+        layout = clusters.lay_out(cells)
         init = clusters.init_centroids(cells, 4, 42)
-        weights = clusters.cluster_weights(cells, init, 4, salts)
-        weights.write.format("noop").mode("overwrite").save()
-        plan = weights._jdf.queryExecution().executedPlan().toString()
-        lines = plan.split("\n")
-        join = next(i for i, l in enumerate(lines) if "SortMergeJoin" in l and "_salt" in l)
-        # The cells side: the first child of the join down to the cached scan.
-        cells_side = []
-        for l in lines[join + 1:]:
-            cells_side.append(l)
-            if "InMemoryTableScan" in l:
-                break
-        assert not any("Exchange" in l for l in cells_side), "\n".join(cells_side)
+        centroids = clusters.centroid_stats(layout, init, 4)
+        for df, key in ((clusters.assign(layout, centroids), "feature"),
+                        (clusters.cluster_weights(layout, init, 4), "entity")):
+            sides = join_sides(executed_plan(df), key)
+            assert sides
+            assert any(not any("Exchange" in line for line in side) for side in sides), sides
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.catalog.clearCache()
+
+
+def test_basket_ids_have_no_single_partition(spark):
+    assert "SinglePartition" not in executed_plan(QUERIES["baskets"](spark, SF_SMALL))
+
+
+@pytest.mark.parametrize("name", ["global_mean_rmse", "means_interaction", "frequent_itemsets", "membership_sets"])
+def test_queries_leave_no_cache_behind(spark, name):
+    spark.catalog.clearCache()
+    gc.collect()
+    df = QUERIES[name](spark, SF_SMALL)
+    df.collect()
+    del df
+    gc.collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0

@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,7 +78,7 @@ def test_als_invariants(spark, rated):
     assert math.isfinite(bias.rmse) and bias.n_scored == first.n_scored
 
 
-def test_als_reindexes_wide_ids(spark):
+def test_als_numbers_any_ids(spark):
     import random
     rnd = random.Random(3)
     rows = [(u, i, float(rnd.randint(1, 5))) for u in range(30) for i in range(12)
@@ -86,15 +87,53 @@ def test_als_reindexes_wide_ids(spark):
     train, test = ratings.split(small, 42)
 
     def widen(df):
-        return df.withColumn("userId", F.col("userId") + F.lit(10**10))
-
-    a = ratings.als_rmse(train, test, 42).first()
-    b = ratings.als_rmse(widen(train), widen(test), 42).first()
-    # Dense re-indexing in key order gives back ids 0..29: the same model.
-    assert (a.n_test, a.n_scored) == (b.n_test, b.n_scored)
-    assert b.rmse == pytest.approx(a.rmse, abs=1e-6)
-    pred = ratings.als_predictions(widen(train), widen(test), 42)
-    assert pred.agg(F.min("userId")).first()[0] >= 10**10
+        return df.withColumn("userId", F.col("userId") * 7 + F.lit(3 * 10**9))
+
+    a = {(r.userId, r.itemId): r.prediction for r in ratings.als_predictions(train, test, 42).collect()}
+    b = {((r.userId - 3 * 10**9) // 7, r.itemId): r.prediction
+         for r in ratings.als_predictions(widen(train), widen(test), 42).collect()}
+    # Numbered in key order, both give the same model.
+    assert a.keys() == b.keys() and all(b[k] == pytest.approx(a[k], abs=1e-4) for k in a)
+
+
+def test_als_solves_the_normal_equations(spark, rated):
+    """User factors are the regularised least-squares solution given the item
+    factors: the last step of a fit (the scaled ridge is MLlib's)."""
+    train, test = ratings.split(rated, 42)
+    numbered, _, _ = ratings.als_ready(train, test)
+    # Users are solved last when the roles of users and items are swapped.
+    model = ratings.fit_als(numbered, 42)
+    users = {r.id: np.array(r.features) for r in model.userFactors.collect()}
+    items = {r.id: np.array(r.features) for r in model.itemFactors.collect()}
+    by = {}
+    for r in numbered.collect():
+        by.setdefault(r.itemId, []).append((r.userId, r.rating))
+    worst = min(
+        max(np.abs(_solved(rows, users, ratings.ALS_REG_PARAM) - items[i]).max() for i, rows in by.items()),
+        max(np.abs(_solved(rows, items, ratings.ALS_REG_PARAM) - users[u]).max()
+            for u, rows in _by_user(numbered).items()))
+    assert worst < 1e-3
+
+
+def _by_user(numbered):
+    out = {}
+    for r in numbered.collect():
+        out.setdefault(r.userId, []).append((r.itemId, r.rating))
+    return out
+
+
+def _solved(rows, factors, reg):
+    x = np.array([factors[k] for k, _ in rows])
+    y = np.array([v for _, v in rows])
+    return np.linalg.solve(x.T @ x + reg * len(rows) * np.eye(x.shape[1]), x.T @ y)
+
+
+def test_one_hot_user_is_spread(spark):
+    df = spark.range(100_000).select(
+        F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id") % 5000).cast("int").alias("userId"),
+        (F.col("id") % 997).cast("int").alias("itemId"), F.lit(3.0).alias("rating"))
+    dealt = df.repartition(8, "userId", "itemId").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in dealt) < 2 * 100_000 / 8
 
 
 def test_first_n_and_random_split(spark, rated):
