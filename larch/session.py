@@ -16,10 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int = 8, shuffle_partitions: int | None = None,
-                  app: str = "larch") -> SparkSession:
+                  app: str = "larch", checkpoint_dir: str | None = None) -> SparkSession:
     """A local session configured like the test and benchmark runs."""
     parts = shuffle_partitions or cores
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -31,8 +31,10 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("LARCH_DRIVER_MEMORY", "10g"))
-        .getOrCreate()
     )
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

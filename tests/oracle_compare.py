@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -78,7 +79,7 @@ def main(argv):
     import __spark_entry__ as entry
     from larch.session import local_session
 
-    spark = local_session(8)
+    spark = local_session(8, checkpoint_dir=tempfile.mkdtemp(prefix="larch-compare-"))
     con = duck(sf_dir)
     qs, sqls = entry.queries(), entry.oracle_sql()
     bad = 0

@@ -85,7 +85,7 @@ def test_parse_ratings_drops_bad_lines(spark, tmp_dir):
     got = [tuple(r) for r in parse_ratings(read_lines(spark, path)).collect()]
     assert got == [(0, 2, 3.0), (0, 3, 1.0), (1, 5, 4.5)]
     types = dict(parse_ratings(read_lines(spark, path)).dtypes)
-    assert types == {"userId": "int", "itemId": "int", "rating": "double"}
+    assert types == {"userId": "bigint", "itemId": "bigint", "rating": "double"}
 
 
 def test_parse_ragged_and_line_ids(spark, tmp_dir):
