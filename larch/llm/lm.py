@@ -31,11 +31,13 @@ from larch.llm import fmindex
 from larch.llm.common import fixed_split, written
 from larch.llm.ngram_trie import Trie
 
-CHUNK_TOKENS = 1_500_000
+CHUNK_TOKENS = 1_400_000
 VOCABULARY_ROWS = 2_000_000
-SHARD_TOKENS = 2_500_000
+SHARD_TOKENS = 1_400_000
 #: A context word with more training tokens is split by the word before it.
-HOT_TOKENS = 600_000
+HOT_TOKENS = 350_000
+#: A shard's sum for a document travels in whole steps of this size.
+SUM_STEP = 1e-4
 
 _SPACES = np.arange(1, 257, dtype=np.uint16)
 _SPACES[0x41:0x5B] += 0x20
@@ -188,31 +190,34 @@ def _emit(chunk: pd.DataFrame, vocabulary: pd.DataFrame, shards: int, ends: int,
     docs = len(lengths)
     # Every text's words and then its end.
     last = np.cumsum(lengths + 1) - 1
-    token = np.empty(int(last[-1]) + 1, np.int64)
+    token = np.empty(int(last[-1]) + 1, np.int32)
     word = np.ones(len(token), bool)
     word[last] = False
     token[word] = unpack(row["tokens"])
     token[last] = len(ids) - 1
-    doc = np.repeat(np.arange(docs), lengths + 1)
-    place = np.arange(len(token)) - np.repeat(last - lengths, lengths + 1)
-    c = count[token]
-    one = np.log10((c + 1) / mass)
+    del word
+    doc = np.repeat(np.arange(docs, dtype=np.int32), lengths + 1)
+    place = (np.arange(len(token)) - np.repeat(last - lengths, lengths + 1)).astype(np.int32)
+    one = np.log10((count + 1) / mass)[token]
     base = np.bincount(doc, weights=one, minlength=docs)
-    n_known = np.bincount(doc, weights=c > 0, minlength=docs)
+    n_known = np.bincount(doc, weights=(count > 0)[token], minlength=docs)
     before = np.concatenate(([0], token[:-1]))
     two = np.concatenate(([0, 0], token[:-2]))[:len(token)]
-    split_by = np.where(count[before] > hot, -(-count[before] // hot), 1)
+    split_by = np.where(count > hot, -(-count // hot), 1).astype(np.int32)[before]
     context = (place >= 1) & ((place >= 2) | (split_by == 1))
     start = np.bincount(doc[~context], weights=one[~context], minlength=docs)
     doc, w3, w2, split_by = doc[context], token[context], before[context], split_by[context]
-    w1 = np.where(place[context] >= 2, two[context], -1)
+    w1 = np.where(place[context] >= 2, two[context], -1).astype(np.int32)
+    del token, place, one, before, two, context
     bucket = (_mix(ids[w1]) % split_by.astype(np.uint64)).astype(np.int64)
-    shard = (_mix(ids[w2] * np.int64(31) + bucket) % np.uint64(shards)).astype(np.int64)
+    shard = (_mix(ids[w2] * np.int64(31) + bucket) % np.uint64(shards)).astype(np.int32)
+    del bucket, split_by
     wide = np.int64(len(ids) + 1)
-    order = np.argsort((shard * wide + w2) * wide + w1 + 1, kind="stable")
+    order = np.argsort((shard.astype(np.int64) * wide + w2) * wide + w1 + 1, kind="stable")
     doc, w1, w2, w3, shard = doc[order], w1[order], w2[order], w3[order], shard[order]
+    del order
     cuts = np.searchsorted(shard, np.arange(shards + 1))
-    new = np.zeros(len(ids), np.int64)
+    new = np.zeros(len(ids), np.int32)
     out = [(int(row["chunk"]) % shards, join([pack(base), pack(n_known.astype(np.int64)), pack(-start)]), b"")]
     trained = pack(train)
     for s in range(shards):
@@ -232,6 +237,16 @@ def _emit(chunk: pd.DataFrame, vocabulary: pd.DataFrame, shards: int, ends: int,
                          "plain": [p for _, p, _ in out], "grams": [g for _, _, g in out]})
 
 
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values and the place of each value among them."""
+    order = np.argsort(values)
+    ordered = values[order]
+    new = np.concatenate(([True], ordered[1:] != ordered[:-1])) if len(values) else np.zeros(0, bool)
+    place = np.empty(len(values), np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - 1
+    return ordered[new], place
+
+
 def _score(pdf: pd.DataFrame, mass: int, hot: int) -> pd.DataFrame:
     """Sums of log10 probabilities per document of each chunk in this shard."""
     plain = pdf[pdf["plain"].str.len() > 0]
@@ -249,28 +264,32 @@ def _score(pdf: pd.DataFrame, mass: int, hot: int) -> pd.DataFrame:
     cuts = np.cumsum([len(b[0]) for b in blobs])
     maps = np.split(place, cuts[:-1])
     docs = np.cumsum([0] + [len(b[2]) for b in blobs])
+    maps = [m.astype(np.int32) for m in maps]
     w2 = np.concatenate([m[b[5].astype(np.int64)] for m, b in zip(maps, blobs)])
     w3 = np.concatenate([m[b[6]] for m, b in zip(maps, blobs)])
-    w1 = np.concatenate([np.concatenate(([-1], m))[b[4]] for m, b in zip(maps, blobs)])
-    doc = np.concatenate([b[3].astype(np.int64) + d for b, d in zip(blobs, docs)])
+    w1 = np.concatenate([np.concatenate((np.array([-1], np.int32), m))[b[4]] for m, b in zip(maps, blobs)])
+    doc = np.concatenate([(b[3] + d).astype(np.int32) for b, d in zip(blobs, docs)])
     train = np.concatenate([b[2] for b in blobs]).astype(bool)[doc]
     del blobs, maps, place
     words = np.int64(len(ids))
     parts = np.where(count > hot, -(-count // hot), 1)
     bucket = (_mix(np.concatenate((ids, [_NONE]))[w1]) % parts[w2].astype(np.uint64)).astype(np.int64)
-    contexts, context = np.unique(w2 * np.int64(parts.max()) + bucket, return_inverse=True)
-    del bucket, w2
+    contexts, context = _distinct(w2 * np.int64(parts.max()) + bucket)
+    contexts = len(contexts)
+    del bucket, w2, parts, ids
     unigram = (count + 1) / mass
-    pairs, pair = np.unique(context * words + w3, return_inverse=True)
+    pairs, pair = _distinct(context * words + w3)
     pair_count = np.bincount(pair, weights=train, minlength=len(pairs)).astype(np.int64)
-    far = np.flatnonzero(w1 >= 0)
-    longer, which = np.unique(context[far] * words + w1[far], return_inverse=True)
+    far = np.flatnonzero(w1 >= 0).astype(np.int32)
+    longer, which = _distinct(context[far] * words + w1[far])
+    del w1
     longer_count = np.bincount(which, weights=train[far], minlength=len(longer)).astype(np.int64)
-    triples, triple = np.unique(which * words + w3[far], return_inverse=True)
+    triples, triple = _distinct(which * words + w3[far])
+    del w3, which
     triple_count = np.bincount(triple, weights=train[far], minlength=len(triples)).astype(np.int64)
     rename = np.cumsum(longer_count > 0) - 1
     seen = triple_count > 0
-    trie = Trie(len(contexts), int(words), pairs[pair_count > 0], pair_count[pair_count > 0],
+    trie = Trie(contexts, int(words), pairs[pair_count > 0], pair_count[pair_count > 0],
                 longer[longer_count > 0], rename[triples[seen] // words] * words + triples[seen] % words,
                 triple_count[seen], unigram)
     pair_node, longer_node = trie.pair_nodes(pairs), trie.longer_nodes(longer)
@@ -278,14 +297,18 @@ def _score(pdf: pd.DataFrame, mass: int, hot: int) -> pd.DataFrame:
     two = trie.log10(none, none, pairs // words, pair_node, unigram[pairs % words])
     value = two[pair]
     # One token stands for all of its triple.
-    one = np.empty(len(triples), np.int64)
+    one = np.empty(len(triples), np.int32)
     one[triple] = far
+    del train, seen, rename, pair_count, triple_count, longer_count
     of = triples // words
     node = trie.triple_nodes(longer_node[of], context[one], pair_node[pair[one]])
     three = trie.log10(node, longer_node[of], context[one], pair_node[pair[one]], unigram[triples % words])
     value[far] = three[triple]
     sums = np.bincount(doc, weights=value, minlength=int(docs[-1]))
-    shard = [pack(-sums[a:b]) for a, b in zip(docs[:-1], docs[1:])]
+    # Only documents with tokens here, in whole steps.
+    steps = np.round(-sums / SUM_STEP).astype(np.int64)
+    shard = [join([pack_sorted(np.flatnonzero(part)), pack(part[part > 0])])
+             for part in (steps[a:b] for a, b in zip(docs[:-1], docs[1:]))]
     return pd.concat([out, pd.DataFrame({"chunk": chunks, "shard": 0, "plain": shard})])
 
 
@@ -293,10 +316,11 @@ def _finish(docs: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
     row = docs.iloc[0]
     plain = split(parts[parts["shard"] < 0]["plain"].iloc[0])
     score = -unpack(plain[2])
-    sums = [unpack(p) for p in parts[parts["shard"] >= 0]["plain"]]
-    # The same order of additions, whatever order the shards come in.
-    for p in sorted(sums, key=lambda a: a.tobytes()):
-        score = score - p
+    steps = np.zeros(len(score), np.int64)
+    for part in parts[parts["shard"] >= 0]["plain"]:
+        at, n = split(part)
+        steps[unpack_sorted(at).astype(np.int64)] += unpack(n).astype(np.int64)
+    score = score - steps * SUM_STEP
     lengths = unpack(row["lengths"]).astype(np.int64)
     return pd.DataFrame({"id": list(row["ids"]), "train": unpack(row["train"]) > 0,
                          "n_tokens": lengths + 1, "n_known": unpack(plain[1]).astype(np.int64),

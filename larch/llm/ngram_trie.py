@@ -184,7 +184,9 @@ class Trie:
         self.successors = EliasFano(pairs, contexts * words)
         self.first = EliasFano(start, len(pairs) + 1)
         self.predecessors = EliasFano(longer, contexts * words)
+        del group, word, node
         self.thirds = EliasFano(of * self.fan + relative, max(1, len(longer)) * self.fan)
+        del of, relative
         log = lambda p: np.log10(np.maximum(p, 1e-30))
         self.p2, self.p3 = Quantised(log(p2)), Quantised(log(p3))
         # A context never seen passes its whole weight on.
