@@ -73,7 +73,10 @@ def search(texts: list[bytes], phrases: Phrases) -> list[tuple[int, np.ndarray,
             pieces.append(symbols[at:at + PIECE_WORDS + window - 1])
             owner.append(i)
             offset.append(at)
-    covers = [np.zeros(len(s) + 1, np.int32) for s in texts_symbols]
+    # Where windows begin and end, over the words of all texts one after another.
+    word_at = np.concatenate(([0], np.cumsum([len(s) + 1 for s in texts_symbols]))).astype(np.int64)
+    cover = np.zeros(int(word_at[-1]) + 1, np.int32)
+    owner_of, offset_of = np.array(owner, np.int64), np.array(offset, np.int64)
     pairs = []
     if len(phrases.lengths):
         begin = np.concatenate(([0], np.cumsum([len(p) + 1 for p in pieces])))
@@ -91,12 +94,10 @@ def search(texts: list[bytes], phrases: Phrases) -> list[tuple[int, np.ndarray,
                 places = index.locate(rows) + begin[first]
                 phrase = hit[which]
                 piece = np.searchsorted(begin, places, side="right") - 1
-                text = np.array(owner)[piece]
-                word = places - begin[piece] + np.array(offset)[piece]
-                for t in np.unique(text):
-                    mine = text == t
-                    np.add.at(covers[t], word[mine], 1)
-                    np.add.at(covers[t], word[mine] + phrases.lengths[phrase[mine]], -1)
+                text = owner_of[piece]
+                word = word_at[text] + places - begin[piece] + offset_of[piece]
+                np.add.at(cover, word, 1)
+                np.add.at(cover, word + phrases.lengths[phrase], -1)
                 pairs.append(np.unique(text * np.int64(len(phrases.lengths)) + phrase))
     items: dict[int, set[int]] = {}
     for pair in np.unique(np.concatenate(pairs)) if pairs else ():
@@ -108,7 +109,8 @@ def search(texts: list[bytes], phrases: Phrases) -> list[tuple[int, np.ndarray,
         if i not in items:
             out.append((len(symbols), np.zeros((0, 2), np.int64), []))
             continue
-        hit = np.concatenate(([False], np.cumsum(covers[i][:-1]) > 0, [False]))
+        own = cover[word_at[i]:word_at[i + 1] - 1]
+        hit = np.concatenate(([False], np.cumsum(own) > 0, [False]))
         turns = np.flatnonzero(hit[1:] != hit[:-1])
         out.append((len(symbols), turns.reshape(-1, 2), sorted(phrases.names[x] for x in items[i])))
     return out
