@@ -46,6 +46,6 @@ def tasks_for(rows: int, rows_per_task: int, least: int = 1) -> int:
     return max(least, math.ceil(rows / rows_per_task))
 
 
-def fixed_split(text_col: str = "text") -> Column:
+def text_or_empty(text_col: str = "text") -> Column:
     """A null text counts as the empty text."""
     return F.coalesce(F.col(text_col), F.lit(""))

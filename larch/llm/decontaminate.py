@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larch.llm import fmindex
-from larch.llm.common import fixed_split
+from larch.llm.common import text_or_empty
 
 WINDOW = 10
 #: Text bytes indexed together, words of a longer text in one piece, benchmark
@@ -172,13 +172,13 @@ def find_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text",
     side are fine.
     """
     names = [c for c in (docs.columns if keep is None else keep) if c not in ADDED]
-    size = items.agg(F.sum(F.octet_length(fixed_split(item_text_col)) + 1)).first()[0] or 0
+    size = items.agg(F.sum(F.octet_length(text_or_empty(item_text_col)) + 1)).first()[0] or 0
     batches = max(1, math.ceil(size / phrase_bytes))
     listed = items.select(
         F.coalesce(F.col(item_id_col).cast("string"), F.lit("")).alias("i"),
-        fixed_split(item_text_col).cast("binary").alias("t")).withColumn(
+        text_or_empty(item_text_col).cast("binary").alias("t")).withColumn(
         "b", F.pmod(F.xxhash64("i", "t"), F.lit(batches)))
-    state = docs.select(*names, fixed_split(text_col).cast("binary").alias("_text"))
+    state = docs.select(*names, text_or_empty(text_col).cast("binary").alias("_text"))
     for batch in range(batches):
         # At most about phrase_bytes of item text.
         phrases = Phrases([(r["i"], bytes(r["t"])) for r in

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larch.llm import fmindex
-from larch.llm.common import fixed_split, written
+from larch.llm.common import text_or_empty, written
 from larch.llm.ngram_trie import Trie
 
 CHUNK_TOKENS = 1_400_000
@@ -340,7 +340,7 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id",
     has the base probability.  Repeated rows and null ids are rows of their own;
     other columns are not read; an empty table gives an empty result.
     """
-    rows = docs.select(F.col(id_col).alias("id"), fixed_split(text_col).cast("binary").alias("text"),
+    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).cast("binary").alias("text"),
                        F.coalesce(train, F.lit(False)).alias("train"))
     kind = rows.select("id").schema[0].dataType.simpleString()
     chunks = written(rows.mapInArrow(

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larch.llm.common import fixed_split, let, written
+from larch.llm.common import text_or_empty, let, written
 
 BUCKETS = 16_384
 #: About so many labelled documents of each domain are learnt from.
@@ -71,7 +71,7 @@ def learn(docs: DataFrame, labels: DataFrame, domain: Column, id_col: str = "doc
     for name in names:
         share = F.when(F.col("_domain") == name, math.ceil(1e6 * sample_docs / sizes[name])).otherwise(share)
     # About sample_docs ids and names per domain: a proven bound.
-    chosen = docs.select(F.col(id_col).alias("_id"), fixed_split(text_col).alias("_text")).join(
+    chosen = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text")).join(
         F.broadcast(known.where(point < share)), "_id")
     buckets = chosen.select("_domain", F.explode(_words(F.col("_text"))).alias("w")).where(
         "w <> ''").select("_domain", _bucket(F.col("w")).alias("b"))
@@ -90,7 +90,7 @@ def with_posteriors(docs: DataFrame, model: Classifier, text_col: str = "text")
     """Adds ``n_tokens`` (words between white space) and ``posterior``, one
     probability per domain of the model."""
     if not model.domains:
-        words = F.size(F.filter(_words(fixed_split(text_col)), lambda w: w != ""))
+        words = F.size(F.filter(_words(text_or_empty(text_col)), lambda w: w != ""))
         return docs.withColumn("n_tokens", words.cast("long")).withColumn(
             "posterior", F.array().cast("array<double>"))
 
@@ -111,7 +111,7 @@ def with_posteriors(docs: DataFrame, model: Classifier, text_col: str = "text")
                 lambda z: F.transform(w, lambda x: x / z)))
         return F.struct(n.cast("long").alias("n"), let(F.array(*scores), normal).alias("p"))
 
-    words = _words(fixed_split(text_col))
+    words = _words(text_or_empty(text_col))
     buckets = let(words, lambda ws: F.when(F.get(ws, F.lit(0)) == "", F.array().cast("array<int>"))
                   .otherwise(F.transform(ws, _bucket)))
     return docs.withColumn("_told", let(buckets, told)).withColumn(

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larch.llm.common import fixed_split, let
+from larch.llm.common import text_or_empty, let
 from larch.llm.spans import matches, of_kind
 
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -95,7 +95,7 @@ def find_pii(docs: DataFrame, text_col: str = "text", threshold: float = 0.5,
     Null and empty texts get an empty array.  Repeated rows, extra columns and
     null keys pass through unchanged.  An empty table gives an empty result.
     """
-    text = fixed_split(text_col)
+    text = text_or_empty(text_col)
     ctx = context_chars
     email = matches(text, EMAIL, text.contains("@"), context=ctx)
     ip = matches(text, IP, text.rlike(r"[0-9]\.[0-9]+\.[0-9]+\.[0-9]"), context=ctx)

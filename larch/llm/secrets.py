@@ -10,7 +10,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larch.llm.common import fixed_split, let
+from larch.llm.common import text_or_empty, let
 from larch.llm.spans import matches, of_kind
 
 BASE_KINDS = ("assign", "access", "hex")
@@ -74,7 +74,7 @@ def labelled_samples(docs: DataFrame, text_col: str = "text", id_col: str = "doc
     share = 1.0 if total <= sample_docs else sample_docs / total
     chosen = docs.where(
         F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("secrets")), F.lit(1_000_000))
-        < F.lit(math.ceil(share * 1_000_000))).select(fixed_split(text_col).alias("t"))
+        < F.lit(math.ceil(share * 1_000_000))).select(text_or_empty(text_col).alias("t"))
     text = F.col("t")
     rlike = text.rlike(r"(?i:password|passwd|secret|token|api_?key)")
     values = F.concat(
@@ -142,7 +142,7 @@ def find_secrets(docs: DataFrame, model: list[float] | None, text_col: str = "te
     Null and empty texts get empty arrays.  Repeated rows, extra columns and
     null keys pass through unchanged.  An empty table gives an empty result.
     """
-    text = fixed_split(text_col)
+    text = text_or_empty(text_col)
     with_base = docs.withColumn("base", base_spans(text))
     if model is None:
         return with_base.withColumn("secrets", F.col("base"))

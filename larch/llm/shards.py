@@ -8,7 +8,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larch.llm.common import fixed_split, written
+from larch.llm.common import text_or_empty, written
 
 #: How far a shard may exceed the even share while labels move.
 SLACK = 0.03
@@ -188,7 +188,7 @@ def keyed_rows(docs: DataFrame, *columns: str, text_col: str = "text") -> DataFr
     """The named columns of every row with ``size`` (UTF-8 bytes of the text
     plus 1), ``text_crc32``, the group of equal texts and a unique ``node``,
     written once so that the numbers stay."""
-    text = fixed_split(text_col)
+    text = text_or_empty(text_col)
     return written(docs.select(
         *columns, (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"), F.sha2(text, 256).alias("group"),

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larch.llm.common import fixed_split, tasks_for, written
+from larch.llm.common import text_or_empty, tasks_for, written
 from larch.llm.graph import components
 
 SHINGLE = 3
@@ -56,7 +56,7 @@ def with_fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = SH
         values = np.array([fingerprint(t, shingle, seed) for t in texts], np.uint64)
         return pd.Series(values.view(np.int64))
 
-    return docs.withColumn(out_col, simhash(fixed_split(text_col).cast("binary")))
+    return docs.withColumn(out_col, simhash(text_or_empty(text_col).cast("binary")))
 
 
 def bit_planes(values: np.ndarray) -> np.ndarray:
@@ -213,7 +213,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = written(with_fingerprints(docs.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"),
-        F.xxhash64(fixed_split(text_col)).alias("text_key"))).drop("text"), "fingerprints")
+        F.xxhash64(text_or_empty(text_col)).alias("text_key"))).drop("text"), "fingerprints")
     distinct = written(rows.groupBy("fingerprint").agg(
         F.min(F.struct("id", "text_key")).alias("first"), F.min("id").alias("least")), "distinct")
     linked = components(near_edges(distinct.select("fingerprint"), radius))
@@ -235,7 +235,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     group; columns as in ``docs``."""
     groups = near_duplicates(docs, id_col, text_col, shingle, radius)
     stay = groups.select(F.col("keep_id").alias("_id"), F.col("keep_key").alias("_key")).distinct()
-    keyed = docs.withColumn("_key_of_text", F.xxhash64(fixed_split(text_col)))
+    keyed = docs.withColumn("_key_of_text", F.xxhash64(text_or_empty(text_col)))
     kept = keyed.join(stay, keyed[id_col].eqNullSafe(stay["_id"])
                       & (keyed["_key_of_text"] == stay["_key"]), "left_semi")
     return kept.dropDuplicates([id_col, "_key_of_text"]).select(*docs.columns)

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larch.llm.common import fixed_split
+from larch.llm.common import text_or_empty
 
 #: About so many labelled documents of each class are used for fitting; three
 #: in five choose the dictionaries, the others calibrate.
@@ -151,7 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         F.col("_toxic"), point < math.ceil(1e6 * sample_docs / counts[True]))
         .otherwise(point < math.ceil(1e6 * sample_docs / counts[False])))
     # About two times sample_docs rows of an id and a flag: a proven bound.
-    sample = docs.select(F.col(id_col).alias("_id"), fixed_split(text_col).alias("_text")).join(
+    sample = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text")).join(
         F.broadcast(chosen), "_id").dropDuplicates(["_text"])
     sample = sample.withColumn("_fit", F.pmod(F.xxhash64("_id", F.lit("part")), F.lit(5)) < 3)
     sample = sample.persist()
@@ -224,7 +224,7 @@ def with_scores(docs: DataFrame, model: Model, text_col: str = "text",
             z = np.c_[(rows - mean) / scale, np.ones(len(rows))] @ w
             yield pd.Series(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
-    return docs.withColumn(out_col, score(fixed_split(text_col).cast("binary")))
+    return docs.withColumn(out_col, score(text_or_empty(text_col).cast("binary")))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
