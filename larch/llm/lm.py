@@ -33,11 +33,13 @@ from larch.llm.ngram_trie import Trie
 
 CHUNK_TOKENS = 1_400_000
 VOCABULARY_ROWS = 2_000_000
-SHARD_TOKENS = 1_400_000
+SHARD_TOKENS = 1_100_000
 #: A context word with more training tokens is split by the word before it.
-HOT_TOKENS = 350_000
+HOT_TOKENS = 280_000
 #: A shard's sum for a document travels in whole steps of this size.
 SUM_STEP = 1e-4
+#: Packed lists up to this size are not worth a compressed frame.
+PLAIN_BYTES = 256
 
 _SPACES = np.arange(1, 257, dtype=np.uint16)
 _SPACES[0x41:0x5B] += 0x20
@@ -46,23 +48,26 @@ _END, _NONE = np.int64(1) << 62, np.int64(-1)
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Numbers in the fewest bytes each, byte planes compressed."""
+    """Numbers in the fewest bytes each; byte planes are compressed where there
+    are enough of them.  A small list costs its bytes and one more."""
     if values.dtype.kind == "f":
-        kind, wide = b"f", np.ascontiguousarray(values, "<f8")
+        kind, wide = 0, np.ascontiguousarray(values, "<f8")
     else:
         top = int(values.max()) if len(values) else 0
-        size = next(s for s in (1, 2, 4, 8) if top < 1 << (8 * s))
-        kind, wide = bytes([size]), np.ascontiguousarray(values, f"<u{size}")
-    planes = wide.view(np.uint8).reshape(len(wide), wide.itemsize).T
-    return kind + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+        kind = next(s for s in (1, 2, 4, 8) if top < 1 << (8 * s))
+        wide = np.ascontiguousarray(values, f"<u{kind}")
+    planes = wide.view(np.uint8).reshape(len(wide), wide.itemsize).T.tobytes()
+    if len(planes) <= PLAIN_BYTES:
+        return bytes([kind | 16]) + planes
+    return bytes([kind]) + zstandard.ZstdCompressor(level=1).compress(planes)
 
 
 def unpack(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint8)
-    if data[:1] == b"f":
-        return np.ascontiguousarray(raw.reshape(8, len(raw) // 8).T).view("<f8").ravel()
-    size = data[0]
-    return np.ascontiguousarray(raw.reshape(size, len(raw) // size).T).view(f"<u{size}").ravel()
+    kind = data[0] & 15
+    planes = data[1:] if data[0] & 16 else zstandard.ZstdDecompressor().decompress(data[1:])
+    size = kind or 8
+    raw = np.frombuffer(planes, np.uint8).reshape(size, len(planes) // size)
+    return np.ascontiguousarray(raw.T).view(f"<u{kind}" if kind else "<f8").ravel()
 
 
 def pack_sorted(values: np.ndarray) -> bytes:
@@ -74,18 +79,22 @@ def unpack_sorted(data: bytes) -> np.ndarray:
 
 
 def join(parts: list[bytes]) -> bytes:
-    return b"".join(len(p).to_bytes(8, "little") + p for p in parts)
+    return b"".join(len(p).to_bytes(4, "little") + p for p in parts)
 
 
 def split(data: bytes) -> list[bytes]:
     out, at = [], 0
     while at < len(data):
-        n = int.from_bytes(data[at:at + 8], "little")
-        out.append(data[at + 8:at + 8 + n])
-        at += 8 + n
+        n = int.from_bytes(data[at:at + 4], "little")
+        out.append(data[at + 4:at + 4 + n])
+        at += 4 + n
     return out
 
 
+def _by_count(counts: np.ndarray) -> np.ndarray:
+    return np.argsort(-counts, kind="stable")
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = x.astype(np.uint64)
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
@@ -104,12 +113,16 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         train = np.concatenate([t for _, t, _ in held])
         lengths = np.array([len(h) for h in hashes], np.int64)
         vocabulary, tokens = np.unique(np.concatenate(hashes), return_inverse=True)
-        counts = np.bincount(tokens, weights=np.repeat(train, lengths), minlength=len(vocabulary))
+        counts = np.bincount(tokens, weights=np.repeat(train, lengths),
+                             minlength=len(vocabulary)).astype(np.int64)
+        # Frequent words get small numbers, which pack better.
+        rank = np.empty(len(counts), np.int64)
+        rank[_by_count(counts)] = np.arange(len(counts))
         columns = [pa.array([base + made], pa.int64()),
                    pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
                    *[pa.array([b], pa.binary()) for b in (
                        pack(lengths), pack(train.astype(np.int64)), pack_sorted(vocabulary),
-                       pack(counts.astype(np.int64)), pack(tokens))],
+                       pack(counts), pack(rank[tokens]))],
                    *[pa.array([int(n)], pa.int64()) for n in (
                        len(vocabulary), train.sum(), lengths[train].sum(), lengths.sum())]]
         return pa.RecordBatch.from_arrays(columns, names=[
@@ -193,7 +206,7 @@ def _emit(chunk: pd.DataFrame, vocabulary: pd.DataFrame, shards: int, ends: int,
     token = np.empty(int(last[-1]) + 1, np.int32)
     word = np.ones(len(token), bool)
     word[last] = False
-    token[word] = unpack(row["tokens"])
+    token[word] = _by_count(unpack(row["counts"]).astype(np.int64))[unpack(row["tokens"])]
     token[last] = len(ids) - 1
     del word
     doc = np.repeat(np.arange(docs, dtype=np.int32), lengths + 1)
@@ -219,18 +232,14 @@ def _emit(chunk: pd.DataFrame, vocabulary: pd.DataFrame, shards: int, ends: int,
     cuts = np.searchsorted(shard, np.arange(shards + 1))
     new = np.zeros(len(ids), np.int32)
     out = [(int(row["chunk"]) % shards, join([pack(base), pack(n_known.astype(np.int64)), pack(-start)]), b"")]
-    trained = pack(train)
-    for s in range(shards):
+    doc = doc * 2 + train[doc].astype(np.int32)
+    for s in np.flatnonzero(np.diff(cuts)).tolist():
         part = slice(cuts[s], cuts[s + 1])
-        if cuts[s] == cuts[s + 1]:
-            continue
-        used = np.zeros(len(ids) + 1, bool)  # the last entry takes the absent words
-        for w in (w1, w2, w3):
-            used[w[part]] = True
-        own = np.flatnonzero(used[:-1])
+        own = np.unique(np.concatenate((w1[part], w2[part], w3[part])))
+        own = own[own >= 0]
         new[own] = np.arange(len(own))
         out.append((s, b"", join([
-            pack_sorted(ids[own]), pack(count[own]), trained, pack(doc[part]),
+            pack_sorted(ids[own]), pack(count[own]), pack(doc[part]),
             pack(np.where(w1[part] >= 0, new[w1[part]] + 1, 0)), pack_sorted(new[w2[part]]),
             pack(new[w3[part]])])))
     return pd.DataFrame({"shard": [s for s, _, _ in out], "chunk": int(row["chunk"]),
@@ -254,8 +263,8 @@ def _score(pdf: pd.DataFrame, mass: int, hot: int) -> pd.DataFrame:
     pdf = pdf[pdf["grams"].str.len() > 0].sort_values("chunk")
     if not len(pdf):
         return out
-    blobs = [[unpack_sorted(p[0]).astype(np.int64), unpack(p[1]), unpack(p[2]), unpack(p[3]),
-              unpack(p[4]), unpack_sorted(p[5]), unpack(p[6])] for p in map(split, pdf["grams"])]
+    blobs = [[unpack_sorted(p[0]).astype(np.int64), unpack(p[1]), unpack(p[2]).astype(np.int32),
+              unpack(p[3]), unpack_sorted(p[4]), unpack(p[5])] for p in map(split, pdf["grams"])]
     chunks = pdf["chunk"].tolist()
     del pdf
     ids, place = np.unique(np.concatenate([b[0] for b in blobs]), return_inverse=True)
@@ -263,13 +272,14 @@ def _score(pdf: pd.DataFrame, mass: int, hot: int) -> pd.DataFrame:
     count[place] = np.concatenate([b[1] for b in blobs])
     cuts = np.cumsum([len(b[0]) for b in blobs])
     maps = np.split(place, cuts[:-1])
-    docs = np.cumsum([0] + [len(b[2]) for b in blobs])
+    # Documents of a chunk up to the last one with tokens here.
+    docs = np.cumsum([0] + [(int(b[2].max()) >> 1) + 1 for b in blobs])
     maps = [m.astype(np.int32) for m in maps]
-    w2 = np.concatenate([m[b[5].astype(np.int64)] for m, b in zip(maps, blobs)])
-    w3 = np.concatenate([m[b[6]] for m, b in zip(maps, blobs)])
-    w1 = np.concatenate([np.concatenate((np.array([-1], np.int32), m))[b[4]] for m, b in zip(maps, blobs)])
-    doc = np.concatenate([(b[3] + d).astype(np.int32) for b, d in zip(blobs, docs)])
-    train = np.concatenate([b[2] for b in blobs]).astype(bool)[doc]
+    w2 = np.concatenate([m[b[4].astype(np.int64)] for m, b in zip(maps, blobs)])
+    w3 = np.concatenate([m[b[5]] for m, b in zip(maps, blobs)])
+    w1 = np.concatenate([np.concatenate((np.array([-1], np.int32), m))[b[3]] for m, b in zip(maps, blobs)])
+    doc = np.concatenate([((b[2] >> 1) + d).astype(np.int32) for b, d in zip(blobs, docs)])
+    train = np.concatenate([b[2] & 1 for b in blobs]).astype(bool)
     del blobs, maps, place
     words = np.int64(len(ids))
     parts = np.where(count > hot, -(-count // hot), 1)
@@ -362,7 +372,7 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id",
     def score(pdf: pd.DataFrame) -> pd.DataFrame:
         return _score(pdf, mass, hot)
 
-    sent = chunks.select("chunk", "lengths", "train", "tokens").groupBy("chunk").cogroup(
+    sent = chunks.select("chunk", "lengths", "train", "counts", "tokens").groupBy("chunk").cogroup(
         vocabulary.select("chunk", "part", "numbers", "counts").groupBy("chunk")).applyInPandas(
         emit, "shard int, chunk long, plain binary, grams binary")
     parts = sent.groupBy("shard").applyInPandas(score, "chunk long, shard int, plain binary")
