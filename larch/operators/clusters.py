@@ -65,8 +65,8 @@ class Centroids:
 class Layout:
     """The cells in both layouts, and the salts of entities and features."""
 
-    by_entity: DataFrame        # (entity, feature, _salt), cached
-    by_feature: DataFrame
+    by_entity: DataFrame        # (entity, feature, _salt, _size), cached
+    by_feature: DataFrame       # (entity, feature, _salt), cached
     entity_salts: DataFrame     # (entity, _ns), cached
     feature_salts: DataFrame
 
@@ -88,11 +88,16 @@ def _laid_out(cells: DataFrame, key: str, other: str, tasks: int, total: int):
     salts = cells.groupBy(key).agg(F.count(F.lit(1)).alias("_deg")).select(key, F.greatest(
         F.lit(1), F.ceil(F.col("_deg") * tasks / total).cast("int")).alias("_ns")).persist()
     hot = salts.where(F.col("_ns") > 1)
+    rows = (cells.join(F.broadcast(hot), key, "left")
+            .withColumn("_ns", F.coalesce(F.col("_ns"), F.lit(1)))
+            .select("entity", "feature", F.pmod(F.xxhash64(other), F.col("_ns")).cast("int").alias("_salt")))
+    if key == "entity":
+        # One more row per entity counts it once, whatever features it has.
+        once = salts.select("entity", F.lit(None).cast(cells.schema["feature"].dataType).alias("feature"),
+                            F.lit(0).alias("_salt"), F.lit(True).alias("_size"))
+        rows = rows.withColumn("_size", F.lit(False)).unionByName(once)
     # A cached layout is used as it is: the numbers of its partitions stay.
-    out = (cells.join(F.broadcast(hot), key, "left")
-           .withColumn("_ns", F.coalesce(F.col("_ns"), F.lit(1)))
-           .select("entity", "feature", F.pmod(F.xxhash64(other), F.col("_ns")).cast("int").alias("_salt"))
-           .repartition(tasks, key, "_salt").sortWithinPartitions(key, "_salt").persist())
+    out = rows.repartition(tasks, key, "_salt").sortWithinPartitions(key, "_salt").persist()
     out.count()
     return out, salts
 
@@ -120,12 +125,7 @@ def cluster_weights(layout: Layout, assignment: DataFrame, k: int) -> DataFrame:
     feature, and one more row (``_size`` true) with the cluster sizes.  Only the
     assignment and partial sums per feature move."""
     moved = _salted(assignment.select("entity", "cluster"), layout.entity_salts, "entity")
-    held = layout.by_entity.join(moved, ["entity", "_salt"]).select(
-        "feature", "cluster", F.lit(False).alias("_size"))
-    feature_type = layout.by_entity.schema["feature"].dataType
-    members = assignment.select(F.lit(None).cast(feature_type).alias("feature"), "cluster",
-                                F.lit(True).alias("_size"))
-    return held.unionAll(members).groupBy("feature", "_size").agg(
+    return layout.by_entity.join(moved, ["entity", "_salt"]).groupBy("feature", "_size").agg(
         *[F.count_if(F.col("cluster") == c).alias(col) for c, col in enumerate(_weight_cols(k))])
 
 
@@ -222,7 +222,8 @@ class KMeansResult:
 
 def lloyd_rounds(layout: Layout, init: DataFrame, k: int
                  ) -> Iterator[tuple[DataFrame, Callable[[], None]]]:
-    """The stored assignment of each round, and what drops it, until it is stable.
+    """The assignment of each round, to be used before the next one is asked
+    for, until it is stable; the last one stays until its drop is called.
 
     An assignment follows from the weights and sizes before it, so equal ones
     in two rounds running mean a fixed point.  Equal ones further apart would
@@ -231,13 +232,13 @@ def lloyd_rounds(layout: Layout, init: DataFrame, k: int
     centroids = centroid_stats(layout, init, k)
     seen = set()
     while True:
-        assignment, drop = stored(assign(layout, centroids))
-        yield assignment, drop
+        assignment = assign(layout, centroids)
+        yield assignment, centroids.drop
         old, centroids = centroids, centroid_stats(layout, assignment, k, centroids)
-        old.drop()
         if centroids.mark == old.mark and seen:
             centroids.drop()
             return
+        old.drop()
         if centroids.mark in seen:
             raise RuntimeError("k-means came back to an earlier state: it cycles")
         seen.add(centroids.mark)
@@ -246,18 +247,17 @@ def lloyd_rounds(layout: Layout, init: DataFrame, k: int
 def kmeans(cells: DataFrame, k: int, seed: int, candidates: DataFrame | None = None) -> KMeansResult:
     """Lloyd iterations from seeded centroids until assignments are stable.
 
-    A round is one job for the assignment with the next weights and sizes, and
-    one over the stored weights (one row per feature).  The layouts are released
-    at the end; ``release()`` on the result drops the assignment.
+    A round is one job from the weights to the next weights and sizes, which are
+    stored, and one over those (one row per feature).  The last assignment is
+    stored and the layouts are released; ``release()`` on the result drops it.
     """
     init = _chosen_centroids(cells, k, seed, candidates)
     layout = lay_out(cells)
-    rounds, kept, drop = 0, None, None
-    for assignment, forget in lloyd_rounds(layout, init, k):
-        if drop is not None:
-            drop()
-        kept, drop = assignment, forget
+    rounds = 0
+    for assignment, drop_weights in lloyd_rounds(layout, init, k):
         rounds += 1
+    kept, drop = stored(assignment)
+    drop_weights()
     layout.release()
     return KMeansResult(kept, rounds, init, drop)
 
