@@ -4,14 +4,14 @@
    as places among them; written once.
 2. The words of all chunks meet by hash range, get numbers and counts, and the
    counts return to the chunks.
-3. Every token goes with its two previous words to the shard of the word before
-   it, packed and pre-sorted per chunk.  A shard holds all n-grams of its
-   context words: it builds their trie from the training texts, scores every
-   token by it and sums per document.
-4. The sums of a document's tokens meet by chunk.
-
-A context word with more training tokens than a shard should hold is several
-contexts, one for each hash bucket of the word before it.
+3. A chunk's distinct n-grams go with their training counts to the shard of their
+   context word (the last but one), packed and sorted.  A context word with more
+   training tokens than a shard should hold is dealt by the word after it, so a
+   shard has whole counts of its pairs and triples; what it cannot know alone,
+   the sums over a context's successors, the shards of such a word exchange by
+   way of an owner per context.  Counts of counts are summed over all shards.
+4. A shard builds the trie of its n-grams and returns the probability of every
+   n-gram to the chunk, which sums them per document.
 """
 
 from __future__ import annotations
@@ -29,15 +29,19 @@ from pyspark.sql import functions as F
 
 from larch.llm import fmindex
 from larch.llm.common import text_or_empty, written
-from larch.llm.ngram_trie import Trie
+from larch.llm.ngram_trie import Trie, discounts_of
 
 CHUNK_TOKENS = 1_400_000
 VOCABULARY_ROWS = 2_000_000
 SHARD_TOKENS = 1_100_000
-#: A context word with more training tokens is split by the word before it.
+#: A context word with more training tokens is split by the word after it.
 HOT_TOKENS = 280_000
-#: A shard's sum for a document travels in whole steps of this size.
-SUM_STEP = 1e-4
+#: A shard unpacks about so many n-grams of chunks at a time.
+BATCH_GRAMS = 2_000_000
+#: and looks up so many probabilities at a time.
+VALUE_GRAMS = 250_000
+#: An n-gram's log10 probability travels in whole steps of this size.
+SUM_STEP = 1e-5
 #: Packed lists up to this size are not worth a compressed frame.
 PLAIN_BYTES = 256
 
@@ -188,10 +192,55 @@ def _numbered(chunks: DataFrame) -> DataFrame:
 
 # --- n-grams ---------------------------------------------------------------------
 
+def _parts(count: np.ndarray, hot: int) -> np.ndarray:
+    return np.where(count > hot, -(-count // hot), 1)
+
+
+def _shard_of(w2: np.ndarray, other: np.ndarray, parts: np.ndarray, shards: int) -> np.ndarray:
+    """Shard of a context word (its id) and the other word's bucket among the context's."""
+    bucket = (_mix(other) % parts.astype(np.uint64)).astype(np.int64)
+    return (_mix(w2 * np.int64(31) + bucket) % np.uint64(shards)).astype(np.int32)
+
+
+def _tokens(row: pd.Series, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every text's words and then its end (as ``words``), with document and place."""
+    lengths = unpack(row["lengths"]).astype(np.int64)
+    last = np.cumsum(lengths + 1) - 1
+    token = np.empty(int(last[-1]) + 1, np.int32)
+    word = np.ones(len(token), bool)
+    word[last] = False
+    token[word] = _by_count(unpack(row["counts"]).astype(np.int64))[unpack(row["tokens"])]
+    token[last] = words
+    doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths + 1)
+    place = (np.arange(len(token)) - np.repeat(last - lengths, lengths + 1)).astype(np.int32)
+    return token, doc, place
+
+
+class _Grams:
+    """Distinct n-grams of a chunk, by shard, and the n-gram of every token that
+    has a word before it; ``w1`` is -1 where there is one word only."""
+
+    def __init__(self, token: np.ndarray, doc: np.ndarray, place: np.ndarray, ids: np.ndarray,
+                 parts: np.ndarray, shards: int):
+        at = np.flatnonzero(place >= 1)
+        self.doc = doc[at]
+        wide = np.int64(len(ids) + 1)
+        w1 = np.where(place[at] >= 2, token[np.maximum(at - 2, 0)], -1)
+        longer, which = _distinct(token[at - 1] * wide + w1 + 1)
+        grams, self.gram = _distinct(which * wide + token[at])
+        del at, w1, which
+        of, self.w3 = np.divmod(grams, wide)
+        self.w2, self.w1 = np.divmod(longer[of], wide)
+        self.w1 -= 1
+        shard = _shard_of(ids[self.w2], ids[self.w3], parts[self.w2], shards)
+        self.order = np.argsort(shard, kind="stable")
+        self.cuts = np.searchsorted(shard[self.order], np.arange(shards + 1))
+
+
 def _emit(chunk: pd.DataFrame, vocabulary: pd.DataFrame, shards: int, ends: int, mass: int,
           hot: int) -> pd.DataFrame:
-    """The chunk's tokens by shard, and what needs no context: base scores,
-    known tokens and the first tokens' scores."""
+    """The chunk's distinct n-grams with training counts by shard, and what needs
+    no context: base scores, known tokens, the first tokens' scores."""
     row = chunk.iloc[0]
     vocabulary = vocabulary.sort_values("part")
     ids = [(np.int64(p) << 40) + unpack_sorted(n).astype(np.int64)
@@ -199,51 +248,32 @@ def _emit(chunk: pd.DataFrame, vocabulary: pd.DataFrame, shards: int, ends: int,
     known = [unpack(c).astype(np.int64) for c in vocabulary["counts"]]
     ids = np.concatenate([*ids, [_END]])
     count = np.concatenate([*known, [ends]])
-    lengths, train = unpack(row["lengths"]).astype(np.int64), unpack(row["train"]).astype(np.int64)
-    docs = len(lengths)
-    # Every text's words and then its end.
-    last = np.cumsum(lengths + 1) - 1
-    token = np.empty(int(last[-1]) + 1, np.int32)
-    word = np.ones(len(token), bool)
-    word[last] = False
-    token[word] = _by_count(unpack(row["counts"]).astype(np.int64))[unpack(row["tokens"])]
-    token[last] = len(ids) - 1
-    del word
-    doc = np.repeat(np.arange(docs, dtype=np.int32), lengths + 1)
-    place = (np.arange(len(token)) - np.repeat(last - lengths, lengths + 1)).astype(np.int32)
+    parts = _parts(count, hot)
+    train = unpack(row["train"]).astype(np.int64)
+    docs = len(train)
+    token, doc, place = _tokens(row, len(ids) - 1)
     one = np.log10((count + 1) / mass)[token]
     base = np.bincount(doc, weights=one, minlength=docs)
     n_known = np.bincount(doc, weights=(count > 0)[token], minlength=docs)
-    before = np.concatenate(([0], token[:-1]))
-    two = np.concatenate(([0, 0], token[:-2]))[:len(token)]
-    split_by = np.where(count > hot, -(-count // hot), 1).astype(np.int32)[before]
-    context = (place >= 1) & ((place >= 2) | (split_by == 1))
-    start = np.bincount(doc[~context], weights=one[~context], minlength=docs)
-    doc, w3, w2, split_by = doc[context], token[context], before[context], split_by[context]
-    w1 = np.where(place[context] >= 2, two[context], -1).astype(np.int32)
-    del token, place, one, before, two, context
-    bucket = (_mix(ids[w1]) % split_by.astype(np.uint64)).astype(np.int64)
-    shard = (_mix(ids[w2] * np.int64(31) + bucket) % np.uint64(shards)).astype(np.int32)
-    del bucket, split_by
-    wide = np.int64(len(ids) + 1)
-    order = np.argsort((shard.astype(np.int64) * wide + w2) * wide + w1 + 1, kind="stable")
-    doc, w1, w2, w3, shard = doc[order], w1[order], w2[order], w3[order], shard[order]
-    del order
-    cuts = np.searchsorted(shard, np.arange(shards + 1))
+    start = np.bincount(doc[place == 0], weights=one[place == 0], minlength=docs)
+    grams = _Grams(token, doc, place, ids, parts, shards)
+    del token, doc, place, one
+    learnt = np.bincount(grams.gram, weights=train[grams.doc], minlength=len(grams.w3)).astype(np.int64)
     new = np.zeros(len(ids), np.int32)
-    out = [(int(row["chunk"]) % shards, join([pack(base), pack(n_known.astype(np.int64)), pack(-start)]), b"")]
-    doc = doc * 2 + train[doc].astype(np.int32)
-    for s in np.flatnonzero(np.diff(cuts)).tolist():
-        part = slice(cuts[s], cuts[s + 1])
-        own = np.unique(np.concatenate((w1[part], w2[part], w3[part])))
+    out = [(int(row["chunk"]) % shards, 0, join([
+        pack(base), pack(n_known.astype(np.int64)), pack(-start), pack_sorted(ids), pack(parts)]), b"")]
+    for s in np.flatnonzero(np.diff(grams.cuts)).tolist():
+        at = grams.order[grams.cuts[s]:grams.cuts[s + 1]]
+        w1, w2, w3 = grams.w1[at], grams.w2[at], grams.w3[at]
+        own = np.unique(np.concatenate((w1, w2, w3)))
         own = own[own >= 0]
         new[own] = np.arange(len(own))
-        out.append((s, b"", join([
-            pack_sorted(ids[own]), pack(count[own]), pack(doc[part]),
-            pack(np.where(w1[part] >= 0, new[w1[part]] + 1, 0)), pack_sorted(new[w2[part]]),
-            pack(new[w3[part]])])))
-    return pd.DataFrame({"shard": [s for s, _, _ in out], "chunk": int(row["chunk"]),
-                         "plain": [p for _, p, _ in out], "grams": [g for _, _, g in out]})
+        out.append((s, len(at), b"", join([
+            pack_sorted(ids[own]), pack(count[own]), pack(learnt[at]),
+            pack(np.where(w1 >= 0, new[w1] + 1, 0)), pack_sorted(new[w2]), pack(new[w3])])))
+    return pd.DataFrame({"shard": [s for s, _, _, _ in out], "chunk": int(row["chunk"]),
+                         "n": [n for _, n, _, _ in out], "plain": [p for _, _, p, _ in out],
+                         "grams": [g for _, _, _, g in out]})
 
 
 def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -256,85 +286,198 @@ def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ordered[new], place
 
 
-def _score(pdf: pd.DataFrame, mass: int, hot: int) -> pd.DataFrame:
-    """Sums of log10 probabilities per document of each chunk in this shard."""
-    plain = pdf[pdf["plain"].str.len() > 0]
+class _Shard:
+    """The n-grams of a shard with their training counts.
+
+    What the chunks sent is unpacked ``BATCH_GRAMS`` at a time and folded into
+    distinct n-grams, so an n-gram of every chunk is held once.
+    """
+
+    def __init__(self, pdf: pd.DataFrame, hot: int, shards: int):
+        self.sent, self.n = pdf["grams"].tolist(), pdf["n"].to_numpy(np.int64)
+        step = np.cumsum(self.n) // BATCH_GRAMS
+        batches = np.split(np.arange(len(self.sent)), np.flatnonzero(np.diff(step)) + 1)
+        self.ids, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for batch in batches:
+            own = [split(self.sent[i])[:2] for i in batch]
+            ids, first = np.unique(np.concatenate([self.ids, *(
+                unpack_sorted(o).astype(np.int64) for o, _ in own)]), return_index=True)
+            self.count = np.concatenate([self.count, *(unpack(c).astype(np.int64) for _, c in own)])[first]
+            self.ids = ids
+        words = self.words = np.int64(len(self.ids))
+        self.longer = np.zeros(0, np.int64)  # context * (words + 1) + previous word + 1
+        self.grams, self.learnt = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.place = None  # of every n-gram sent, where all fit a batch
+        if len(batches) == 1:
+            longer, w3, learnt = self.unpacked(batches[0])
+            self.longer, which = _distinct(longer)
+            del longer
+            self.grams, self.place = _distinct(which * words + w3)
+            self.learnt = np.bincount(self.place, weights=learnt, minlength=len(self.grams)).astype(np.int32)
+            del which, w3, learnt
+        else:
+            for batch in batches:
+                self.longer = np.unique(np.concatenate([self.longer, self.unpacked(batch)[0]]))
+            for batch in batches:
+                longer, w3, learnt = self.unpacked(batch)
+                self.grams, place = _distinct(np.concatenate([self.grams, self.key(longer, w3)]))
+                self.learnt = np.bincount(place, weights=np.concatenate([self.learnt, learnt]),
+                                          minlength=len(self.grams)).astype(np.int64)
+                del longer, w3, learnt, place
+        self.of = (self.grams // words).astype(np.int32)
+        self.w3 = (self.grams - self.of * words).astype(np.int32)
+        self.w2 = self.longer // (words + 1)
+        self.w1 = self.longer - self.w2 * (words + 1) - 1
+        self.contexts, context = _distinct(self.w2)
+        self.context = context.astype(np.int64)  # of every longer one
+        self.pairs, self.pair = _distinct(self.context[self.of] * words + self.w3)
+        self.pair_learnt = np.bincount(self.pair, weights=self.learnt, minlength=len(self.pairs)).astype(np.int64)
+        self.far = self.w1[self.of] >= 0
+        # Sums over a context's successors: tokens, then successors seen once, twice, more often.
+        self.of_longer = _sums(self.learnt, self.of, len(self.longer))
+        self.of_context = _sums(self.pair_learnt, self.pairs // words, len(self.contexts))
+        # The contexts that other shards hold a part of.
+        parts = _parts(self.count, hot)
+        self.hot_longer = np.flatnonzero((parts[self.w2] > 1) & (self.w1 >= 0))
+        self.hot_context = np.flatnonzero(parts[self.contexts] > 1)
+        w2 = np.concatenate([self.w2[self.hot_longer], self.contexts[self.hot_context]])
+        w1 = np.concatenate([self.w1[self.hot_longer], np.full(len(self.hot_context), -1)])
+        self.hot_w2 = self.ids[w2]
+        self.hot_w1 = np.concatenate([self.ids, [_NONE]])[w1]
+        owner = _shard_of(self.hot_w2, self.hot_w1, parts[w2], shards)
+        self.order = np.argsort(owner, kind="stable")
+        self.owners, self.starts = np.unique(owner[self.order], return_index=True)
+
+    def unpacked(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Longer contexts (as in ``longer``), words and training counts of n-grams sent."""
+        longer, third, learnt = [], [], []
+        for i in which:
+            own, _, c, w1, w2, w3 = split(self.sent[i])
+            at = np.searchsorted(self.ids, unpack_sorted(own).astype(np.int64))
+            longer.append(at[unpack_sorted(w2).astype(np.int64)] * (self.words + 1)
+                          + np.concatenate(([0], at + 1))[unpack(w1)])
+            third.append(at[unpack(w3)].astype(np.int32))
+            learnt.append(unpack(c).astype(np.int32))
+        return np.concatenate(longer), np.concatenate(third), np.concatenate(learnt)
+
+    def key(self, longer: np.ndarray, w3: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.longer, longer) * self.words + w3
+
+    def answers(self, steps: np.ndarray) -> Iterator[bytes]:
+        """Each message's n-grams' steps, packed."""
+        cuts = np.cumsum(self.n)
+        for i in range(len(self.sent)):
+            if self.place is not None:
+                at = self.place[cuts[i] - self.n[i]:cuts[i]]
+            else:
+                at = np.searchsorted(self.grams, self.key(*self.unpacked([i])[:2]))
+            yield pack(steps[at])
+
+    def tally(self) -> np.ndarray:
+        """Counts of counts of pairs and of triples."""
+        return np.concatenate([np.bincount(np.minimum(c, 5), minlength=6)
+                               for c in (self.pair_learnt, self.learnt[self.far])]).astype(np.int64)
+
+
+def _sums(counts: np.ndarray, group: np.ndarray, groups: int) -> np.ndarray:
+    kind = np.minimum(counts, 3)
+    return np.stack([np.bincount(group, weights=counts if k == 0 else kind == k, minlength=groups)
+                     for k in range(4)]).astype(np.int64)
+
+
+def _told(pdf: pd.DataFrame, shards: int, hot: int) -> pd.DataFrame:
+    """What a shard tells the owners of the contexts that it shares with others."""
+    shard = int(pdf["shard"].iloc[0])
+    pdf = pdf[pdf["n"] > 0].sort_values("chunk")
+    out = []
+    if len(pdf):
+        held = _Shard(pdf, hot, shards)
+        sums = np.concatenate([held.of_longer[:, held.hot_longer], held.of_context[:, held.hot_context]], axis=1)
+        for o, at in zip(held.owners.tolist(), np.split(held.order, held.starts[1:])):
+            out.append((o, b"", join([pack(held.hot_w2[at]), pack(held.hot_w1[at] + 1),
+                                      *map(pack, sums[:, at])])))
+        out.append((0, pack(held.tally()), b""))
+    return pd.DataFrame({"owner": [o for o, _, _ in out], "shard": shard,
+                         "tally": [t for _, t, _ in out], "sums": [m for _, _, m in out]})
+
+
+def _summed(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The owner's sums over all shards, to each of them in its order."""
+    owner = int(pdf["owner"].iloc[0])
+    pdf = pdf.sort_values("shard")
+    tallies, asked = pdf[pdf["tally"].str.len() > 0], pdf[pdf["sums"].str.len() > 0]
+    out = []
+    if len(tallies):
+        tally = pack(np.sum([unpack(t).astype(np.int64) for t in tallies["tally"]], axis=0))
+        out += [(s, -1, tally, b"") for s in tallies["shard"]]
+    if len(asked):
+        lists = [[unpack(x).astype(np.int64) for x in split(m)] for m in asked["sums"]]
+        w2, w1 = (np.concatenate([x[k] for x in lists]) for k in (0, 1))
+        words, first = np.unique(w1, return_inverse=True)
+        _, place = _distinct(np.unique(w2, return_inverse=True)[1] * np.int64(len(words)) + first)
+        sums = [np.bincount(place, weights=np.concatenate([x[k] for x in lists])).astype(np.int64)[place]
+                for k in range(2, 6)]
+        cuts = np.cumsum([len(x[0]) for x in lists])[:-1]
+        for s, *four in zip(asked["shard"], *(np.split(x, cuts) for x in sums)):
+            out.append((s, owner, b"", join([pack(x) for x in four])))
+    return pd.DataFrame({"shard": [s for s, _, _, _ in out], "owner": [o for _, o, _, _ in out],
+                         "tally": [t for _, _, t, _ in out], "sums": [m for _, _, _, m in out]})
+
+
+def _score(pdf: pd.DataFrame, sums: pd.DataFrame, mass: int, hot: int, shards: int) -> pd.DataFrame:
+    """log10 probabilities of each chunk's n-grams of this shard, in steps."""
+    if not len(pdf):
+        return pd.DataFrame({"chunk": [], "shard": [], "plain": []})
+    shard, plain = int(pdf["shard"].iloc[0]), pdf[pdf["n"] == 0]
     out = pd.DataFrame({"chunk": plain["chunk"], "shard": -1, "plain": plain["plain"]})
-    pdf = pdf[pdf["grams"].str.len() > 0].sort_values("chunk")
+    pdf = pdf[pdf["n"] > 0].sort_values("chunk")
     if not len(pdf):
         return out
-    blobs = [[unpack_sorted(p[0]).astype(np.int64), unpack(p[1]), unpack(p[2]).astype(np.int32),
-              unpack(p[3]), unpack_sorted(p[4]), unpack(p[5])] for p in map(split, pdf["grams"])]
+    held = _Shard(pdf, hot, shards)
     chunks = pdf["chunk"].tolist()
     del pdf
-    ids, place = np.unique(np.concatenate([b[0] for b in blobs]), return_inverse=True)
-    count = np.empty(len(ids), np.int64)
-    count[place] = np.concatenate([b[1] for b in blobs])
-    cuts = np.cumsum([len(b[0]) for b in blobs])
-    maps = np.split(place, cuts[:-1])
-    # Documents of a chunk up to the last one with tokens here.
-    docs = np.cumsum([0] + [(int(b[2].max()) >> 1) + 1 for b in blobs])
-    maps = [m.astype(np.int32) for m in maps]
-    w2 = np.concatenate([m[b[4].astype(np.int64)] for m, b in zip(maps, blobs)])
-    w3 = np.concatenate([m[b[5]] for m, b in zip(maps, blobs)])
-    w1 = np.concatenate([np.concatenate((np.array([-1], np.int32), m))[b[3]] for m, b in zip(maps, blobs)])
-    doc = np.concatenate([((b[2] >> 1) + d).astype(np.int32) for b, d in zip(blobs, docs)])
-    train = np.concatenate([b[2] & 1 for b in blobs]).astype(bool)
-    del blobs, maps, place
-    words = np.int64(len(ids))
-    parts = np.where(count > hot, -(-count // hot), 1)
-    bucket = (_mix(np.concatenate((ids, [_NONE]))[w1]) % parts[w2].astype(np.uint64)).astype(np.int64)
-    contexts, context = _distinct(w2 * np.int64(parts.max()) + bucket)
-    contexts = len(contexts)
-    del bucket, w2, parts, ids
-    unigram = (count + 1) / mass
-    pairs, pair = _distinct(context * words + w3)
-    pair_count = np.bincount(pair, weights=train, minlength=len(pairs)).astype(np.int64)
-    far = np.flatnonzero(w1 >= 0).astype(np.int32)
-    longer, which = _distinct(context[far] * words + w1[far])
-    del w1
-    longer_count = np.bincount(which, weights=train[far], minlength=len(longer)).astype(np.int64)
-    triples, triple = _distinct(which * words + w3[far])
-    del w3, which
-    triple_count = np.bincount(triple, weights=train[far], minlength=len(triples)).astype(np.int64)
-    rename = np.cumsum(longer_count > 0) - 1
-    seen = triple_count > 0
-    trie = Trie(contexts, int(words), pairs[pair_count > 0], pair_count[pair_count > 0],
-                longer[longer_count > 0], rename[triples[seen] // words] * words + triples[seen] % words,
-                triple_count[seen], unigram)
-    pair_node, longer_node = trie.pair_nodes(pairs), trie.longer_nodes(longer)
-    none = np.full(len(pairs), -1)
-    two = trie.log10(none, none, pairs // words, pair_node, unigram[pairs % words])
-    value = two[pair]
-    # One token stands for all of its triple.
-    one = np.empty(len(triples), np.int32)
-    one[triple] = far
-    del train, seen, rename, pair_count, triple_count, longer_count
-    of = triples // words
-    node = trie.triple_nodes(longer_node[of], context[one], pair_node[pair[one]])
-    three = trie.log10(node, longer_node[of], context[one], pair_node[pair[one]], unigram[triples % words])
-    value[far] = three[triple]
-    sums = np.bincount(doc, weights=value, minlength=int(docs[-1]))
-    # Only documents with tokens here, in whole steps.
-    steps = np.round(-sums / SUM_STEP).astype(np.int64)
-    shard = [join([pack_sorted(np.flatnonzero(part)), pack(part[part > 0])])
-             for part in (steps[a:b] for a, b in zip(docs[:-1], docs[1:]))]
-    return pd.concat([out, pd.DataFrame({"chunk": chunks, "shard": 0, "plain": shard})])
-
-
-def _finish(docs: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
+    sums = sums.sort_values("owner")
+    tally = unpack(sums["tally"].iloc[0]).astype(np.int64).reshape(2, 6)
+    whole = np.zeros((4, len(held.order)), np.int64)
+    if len(held.order):
+        whole[:, held.order] = np.concatenate(
+            [np.stack([unpack(x).astype(np.int64) for x in split(m)]) for m in sums["sums"].iloc[1:]], axis=1)
+    held.of_longer[:, held.hot_longer] = whole[:, :len(held.hot_longer)]
+    held.of_context[:, held.hot_context] = whole[:, len(held.hot_longer):]
+    words, context = held.words, held.context
+    unigram = (held.count + 1) / mass
+    known = held.pair_learnt > 0
+    real = (held.of_longer[0] > 0) & (held.w1 >= 0)
+    rename = np.cumsum(real) - 1
+    seen = (held.learnt > 0) & held.far
+    trie = Trie(len(held.contexts), int(words), held.pairs[known], held.pair_learnt[known],
+                (context * words + held.w1)[real], rename[held.of[seen]] * words + held.w3[seen],
+                held.learnt[seen], unigram, discounts_of(tally[0]), discounts_of(tally[1]),
+                held.of_context, held.of_longer[:, real])
+    pair_nodes, longer_nodes = trie.pair_nodes(held.pairs), np.where(real, rename, -1)
+    steps = np.empty(len(held.grams), np.int64)
+    for at in range(0, len(steps), VALUE_GRAMS):
+        part = slice(at, at + VALUE_GRAMS)
+        of, longer, pair = context[held.of[part]], longer_nodes[held.of[part]], pair_nodes[held.pair[part]]
+        value = trie.log10(trie.triple_nodes(longer, of, pair), longer, of, pair, unigram[held.w3[part]])
+        steps[part] = np.round(value / -SUM_STEP)
+    return pd.concat([out, pd.DataFrame({"chunk": chunks, "shard": shard, "plain": list(held.answers(steps))})])
+
+
+def _finish(docs: pd.DataFrame, parts: pd.DataFrame, shards: int) -> pd.DataFrame:
     row = docs.iloc[0]
-    plain = split(parts[parts["shard"] < 0]["plain"].iloc[0])
-    score = -unpack(plain[2])
-    steps = np.zeros(len(score), np.int64)
-    for part in parts[parts["shard"] >= 0]["plain"]:
-        at, n = split(part)
-        steps[unpack_sorted(at).astype(np.int64)] += unpack(n).astype(np.int64)
-    score = score - steps * SUM_STEP
+    parts = parts.sort_values("shard")
+    base, n_known, start, ids, split_by = map(unpack, split(parts["plain"].iloc[0]))
+    ids = np.cumsum(ids, dtype=np.uint64).astype(np.int64)
+    grams = _Grams(*_tokens(row, len(ids) - 1), ids, split_by.astype(np.int64), shards)
+    steps = np.zeros(len(grams.w3), np.int64)
+    if len(steps):
+        steps[grams.order] = np.concatenate([unpack(p).astype(np.int64) for p in parts["plain"].iloc[1:]])
+    total = np.bincount(grams.doc, weights=steps[grams.gram], minlength=len(start))
     lengths = unpack(row["lengths"]).astype(np.int64)
     return pd.DataFrame({"id": list(row["ids"]), "train": unpack(row["train"]) > 0,
-                         "n_tokens": lengths + 1, "n_known": unpack(plain[1]).astype(np.int64),
-                         "base_score": unpack(plain[0]), "score": score})
+                         "n_tokens": lengths + 1, "n_known": n_known.astype(np.int64),
+                         "base_score": base, "score": -start - total * SUM_STEP})
 
 
 def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id",
@@ -369,15 +512,26 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id",
     def emit(chunk: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
         return _emit(chunk, words, shards, ends, mass, hot)
 
-    def score(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _score(pdf, mass, hot)
+    def told(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _told(pdf, shards, hot)
+
+    def score(pdf: pd.DataFrame, sums: pd.DataFrame) -> pd.DataFrame:
+        return _score(pdf, sums, mass, hot, shards)
+
+    def finish(docs: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
+        return _finish(docs, parts, shards)
 
-    sent = chunks.select("chunk", "lengths", "train", "counts", "tokens").groupBy("chunk").cogroup(
+    # Both are read twice; equal exchanges are made once.
+    texts = chunks.select("chunk", "ids", "lengths", "train", "counts", "tokens")
+    sent = texts.groupBy("chunk").cogroup(
         vocabulary.select("chunk", "part", "numbers", "counts").groupBy("chunk")).applyInPandas(
-        emit, "shard int, chunk long, plain binary, grams binary")
-    parts = sent.groupBy("shard").applyInPandas(score, "chunk long, shard int, plain binary")
-    out = chunks.select("chunk", "ids", "lengths", "train").groupBy("chunk").cogroup(
-        parts.groupBy("chunk")).applyInPandas(
-        _finish, f"id {kind}, train boolean, n_tokens long, n_known long, base_score double, score double")
+        emit, "shard int, chunk long, n int, plain binary, grams binary")
+    sums = sent.groupBy("shard").applyInPandas(
+        told, "owner int, shard int, tally binary, sums binary").groupBy("owner").applyInPandas(
+        _summed, "shard int, owner int, tally binary, sums binary")
+    parts = sent.groupBy("shard").cogroup(sums.groupBy("shard")).applyInPandas(
+        score, "chunk long, shard int, plain binary")
+    out = texts.groupBy("chunk").cogroup(parts.groupBy("chunk")).applyInPandas(
+        finish, f"id {kind}, train boolean, n_tokens long, n_known long, base_score double, score double")
     return out.select(F.col("id").alias(id_col), "train", "n_tokens", "n_known",
                       F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

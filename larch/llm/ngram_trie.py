@@ -142,7 +142,12 @@ class Quantised:
 
 def discounts(counts: np.ndarray) -> np.ndarray:
     """Absolute discounts of counts one, two and more, from counts of counts."""
-    n = np.bincount(np.minimum(counts, 5), minlength=6).astype(float)
+    return discounts_of(np.bincount(np.minimum(counts, 5), minlength=6))
+
+
+def discounts_of(n: np.ndarray) -> np.ndarray:
+    """Discounts from the numbers of n-grams seen once, twice, ... (5: or more)."""
+    n = n.astype(float)
     out = np.array([0.0, 0.75, 0.75, 0.75])
     if n[1] and n[2]:
         y = n[1] / (n[1] + 2 * n[2])
@@ -152,12 +157,13 @@ def discounts(counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def _smoothed(counts: np.ndarray, group: np.ndarray, groups: int, lower: np.ndarray):
-    """Interpolated probabilities of the nodes and the groups' backoff weights."""
-    total = np.bincount(group, weights=counts, minlength=groups)
-    off = discounts(counts)[np.minimum(counts, 3)]
-    weight = np.bincount(group, weights=off, minlength=groups) / np.maximum(total, 1)
-    return (counts - off) / total[group] + weight[group] * lower, weight
+def _smoothed(counts: np.ndarray, group: np.ndarray, off: np.ndarray, sums: np.ndarray,
+              lower: np.ndarray):
+    """Interpolated probabilities of the nodes and the groups' backoff weights.
+    ``sums`` has each group's tokens and successors seen once, twice, more often."""
+    total = sums[0]
+    weight = (off[1:, None] * sums[1:]).sum(axis=0) / np.maximum(total, 1)
+    return (counts - off[np.minimum(counts, 3)]) / total[group] + weight[group] * lower, weight
 
 
 class Trie:
@@ -166,20 +172,23 @@ class Trie:
     ``pairs`` are ``context * words + word`` with ``pair_counts``; ``longer`` are
     ``context * words + previous word``; ``triples`` are ``place in longer *
     words + word`` with ``triple_counts``; ``unigram`` has a probability for
-    every word.
+    every word.  Discounts ``off2``, ``off3`` and the contexts' sums over all of
+    their successors (``sums2`` per context, ``sums3`` per longer one) are given,
+    as a shard may hold a part of the successors.
     """
 
     def __init__(self, contexts: int, words: int, pairs: np.ndarray, pair_counts: np.ndarray,
                  longer: np.ndarray, triples: np.ndarray, triple_counts: np.ndarray,
-                 unigram: np.ndarray, file=None):
+                 unigram: np.ndarray, off2: np.ndarray, off3: np.ndarray, sums2: np.ndarray,
+                 sums3: np.ndarray, file=None):
         self.words, self.contexts = words, contexts
         group = pairs // words
         start = np.searchsorted(group, np.arange(contexts + 1))
-        p2, g2 = _smoothed(pair_counts, group, contexts, unigram[pairs % words])
+        p2, g2 = _smoothed(pair_counts, group, off2, sums2, unigram[pairs % words])
         of, word = np.divmod(triples, words)
         node = np.searchsorted(pairs, longer[of] // words * words + word)
         relative = node - start[longer[of] // words]
-        p3, g3 = _smoothed(triple_counts, of, len(longer), p2[node])
+        p3, g3 = _smoothed(triple_counts, of, off3, sums3, p2[node])
         self.fan = int(np.diff(start).max(initial=0)) + 1
         self.successors = EliasFano(pairs, contexts * words)
         self.first = EliasFano(start, len(pairs) + 1)

@@ -96,6 +96,29 @@ def test_odd_rows_and_many_shards(spark, monkeypatch):
     assert all(r.score == pytest.approx(r.base_score) and r.n_known == 0 for r in none)
 
 
+@pytest.mark.parametrize("hot,batch", [(3, 2_000_000), (20, 50), (10**9, 2_000_000)])
+def test_scores_do_not_depend_on_hot_words_or_shards(spark, monkeypatch, hot, batch):
+    """Shared contexts have whole counts and backoff weights, also of unseen pairs."""
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(rng.choice(words, 12, p=1 / np.arange(1, 41) / (1 / np.arange(1, 41)).sum())),
+             i % 4 > 0) for i in range(150)]
+    rows += [(200, "w0 w1", False), (201, "w0 w39 w38 w0 new w0", False), (202, "w0 " * 400, True),
+             (203, "w0", True), (204, "the of the x", False), (205, "w0 w1 w0 the of", True)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, learn boolean").repartition(3)
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 200)
+    monkeypatch.setattr(lm, "CHUNK_TOKENS", 300)
+    monkeypatch.setattr(lm, "VOCABULARY_ROWS", 10)
+    monkeypatch.setattr(lm, "HOT_TOKENS", hot)
+    monkeypatch.setattr(lm, "BATCH_GRAMS", batch)
+    got = {r.doc_id: r for r in lm.score_texts(df, df["learn"]).collect()}
+    assert len(got) == len(rows)
+    for r, want in zip(rows, brute([(t, k) for _, t, k in rows])):
+        g = got[r[0]]
+        assert (g.n_tokens, g.n_known, g.train_tokens) == want[:3]
+        assert g.score == pytest.approx(want[4], rel=2e-4, abs=2e-3)
+
+
 def test_elias_fano_round_trip_and_search():
     rng = np.random.default_rng(2)
     for n, u in ((0, 10), (1, 1), (5, 5), (3000, 3000), (20000, 10**12), (7000, 7100)):
