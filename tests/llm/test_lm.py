@@ -119,6 +119,13 @@ def test_scores_do_not_depend_on_hot_words_or_shards(spark, monkeypatch, hot, ba
         assert g.score == pytest.approx(want[4], rel=2e-4, abs=2e-3)
 
 
+def test_a_repeated_pair_is_one_gram_of_its_chunk():
+    tokens, doc = np.zeros(9000, np.int32), np.zeros(9000, np.int32)
+    grams = lm._Grams(tokens, doc, np.arange(9000), np.array([5, 1 << 62]), np.array([7, 1]), 4)
+    assert (grams.w1.tolist(), grams.w2.tolist(), grams.w3.tolist()) == ([-1, 0], [0, 0], [0, 0])
+    assert np.bincount(grams.gram).tolist() == [1, 8998]
+
+
 def test_elias_fano_round_trip_and_search():
     rng = np.random.default_rng(2)
     for n, u in ((0, 10), (1, 1), (5, 5), (3000, 3000), (20000, 10**12), (7000, 7100)):
