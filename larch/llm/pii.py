@@ -12,15 +12,31 @@ from larch.llm.spans import matches, of_kind
 BASE_KINDS = ("email", "ip", "card", "phone")
 METHOD_KINDS = ("iban", "national_id")
 
-# Leftmost non-overlapping matches equal those of the plain patterns of the
-# contract: possessive quantifiers and look-behinds only spare the search
+# Leftmost non-overlapping matches of the base kinds equal those of the plain
+# patterns of the contract: possessive quantifiers and look-behinds only spare the search
 # starts inside a run that its first character already failed for.
 EMAIL = (r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@"
          r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9])++"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])"
+#: Length of a country's account numbers.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+    32: "LC", 33: "RU"}
+_COUNTRIES = "|".join(c for names in IBAN_LENGTHS.values() for c in names.split())
+# The match is the number's first four characters, so that one that fails hides
+# none that begins within it; group 1 is the number: as long as its country's, and
+# for other codes as long as it can be.
+IBAN = (r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2})(?=((?:"
+        + "|".join(r"(?:%s)[0-9]{2}(?: ?[A-Z0-9]){%d}" % (names.replace(" ", "|"), n - 4)
+                   for n, names in IBAN_LENGTHS.items())
+        + r"|(?!%s)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9])))[A-Z]{2}[0-9]{2}" % _COUNTRIES)
+#: Characters of a number after the first four, with spaces.
+IBAN_REST = 60
 NATIONAL_ID = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 
 CONTEXT_CHARS = 40
@@ -65,6 +81,26 @@ def mod97_valid(value: Column) -> Column:
     return F.length(plain).between(15, 34) & (rest == 1)
 
 
+def iban_matches(text: Column, context: int) -> Column:
+    """Account numbers with a valid checksum, as :func:`matches` gives them.  A
+    number of a country without a known length is the longest part of whole
+    groups that is valid."""
+    found = matches(text, IBAN, text.rlike(r"[A-Z]{2}[0-9]{2} ?[A-Z0-9]"), value_group=1,
+                    context=context + IBAN_REST)
+
+    def valid(value: Column) -> Column:
+        parts = let(F.split(value, " "), lambda w: F.transform(
+            F.sequence(F.size(w), F.lit(1), F.lit(-1)), lambda n: F.array_join(F.slice(w, F.lit(1), n), " ")))
+        tried = F.when(value.rlike("^(?:%s)" % _COUNTRIES), F.array(value)).otherwise(parts)
+        return F.get(F.filter(tried, mod97_valid), F.lit(0))
+
+    told = F.transform(found, lambda m: let(valid(m["value"]), lambda v: F.struct(
+        m["start"].alias("start"), (m["start"] + F.length(v)).alias("end"), v.alias("value"),
+        F.right(m["before"], F.lit(context)).alias("before"),
+        F.substring(m["after"], F.length(v) - 3, F.lit(context)).alias("after"))))
+    return F.filter(told, lambda m: m["value"].isNotNull())
+
+
 def octets_valid(value: Column) -> Column:
     return F.forall(F.split(value, r"\."), lambda part: let(
         F.regexp_replace(part, "^0+(?=.)", ""),
@@ -101,7 +137,7 @@ def find_pii(docs: DataFrame, text_col: str = "text", threshold: float = 0.5,
     ip = matches(text, IP, text.rlike(r"[0-9]\.[0-9]+\.[0-9]+\.[0-9]"), context=ctx)
     card = matches(text, CARD, text.rlike(r"[0-9](?:[ -]?[0-9]){12}"), context=ctx)
     phone = matches(text, PHONE, text.rlike(r"\+[0-9]"), context=ctx)
-    iban = matches(text, IBAN, text.rlike(r"[A-Z]{2}[0-9]{2} ?[A-Z0-9]"), context=ctx)
+    iban = iban_matches(text, ctx)
     nid = matches(text, NATIONAL_ID, text.rlike(r"[0-9]{3}-[0-9]{2}-[0-9]{4}"), context=ctx)
     n_digits = lambda m: F.length(digits(m["value"]))
     parts = [
@@ -109,7 +145,7 @@ def find_pii(docs: DataFrame, text_col: str = "text", threshold: float = 0.5,
         of_kind("ip", ip, _score("ip", False), lambda m: octets_valid(m["value"])),
         of_kind("card", card, _score("card", True), lambda m: luhn_valid(m["value"])),
         of_kind("phone", phone, _score("phone", False), lambda m: n_digits(m).between(9, 15)),
-        F.filter(of_kind("iban", iban, _score("iban", True), lambda m: mod97_valid(m["value"])),
+        F.filter(of_kind("iban", iban, _score("iban", True)),
                  lambda s: s["score"] >= threshold),
         F.filter(of_kind("national_id", nid, _score("national_id", False)),
                  lambda s: s["score"] >= threshold),

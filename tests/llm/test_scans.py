@@ -80,6 +80,30 @@ def test_pii_checksums_and_context(odd):
     assert "iban" in spans["iban DE89370400440532013000"]
 
 
+def test_iban_before_other_words(spark):
+    texts = {
+        "IBAN DE89 3704 0044 0532 0130 00 Please pay": [(5, 32)],
+        "IBAN DE89370400440532013000 Bank": [(5, 27)],
+        "DE89 3704 0044 0532 0130 00 BIC COBADEFF": [(0, 27)],
+        "GB82 WEST 1234 5698 7654 32 GB82WEST12345698765432 7 times": [(0, 27), (28, 50)],
+        "AD12 DE89 3704 0044 0532 0130 00 XY": [(5, 32)],
+        "QQ12 DE89 3704 0044 0532 0130 00 TOTAL 12": [(5, 32)],
+        "DE89 3704 0044 0532 0130 01 Please": [], "DE893704004405320130001": [], "XDE89370400440532013000": [],
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for r in pii.find_pii(df).collect():
+        assert [(s.start, s.end) for s in r.pii if s.kind == "iban"] == texts[r.text], r.text
+
+
+def test_iban_of_other_codes_is_the_valid_part(spark):
+    def number(code, rest):
+        at = "".join(str(int(c, 36)) for c in rest + code + "00")
+        return f"{code}{98 - int(at) % 97:02d}{rest}"
+    iban = number("QQ", "0123456789ABCDEF")
+    df = spark.createDataFrame([(f"account {iban} TOTAL 12",)], "text string")
+    assert [(s.start, s.end) for s in pii.find_pii(df).first().pii if s.kind == "iban"] == [(8, 8 + len(iban))]
+
+
 def test_secrets_odd_texts(odd):
     for r in secrets.find_secrets(odd.drop("base"), None).collect():
         assert [(s.kind, s.start, s.end) for s in r.base] == brute_secrets(r.text), (r.text or "")[:60]
