@@ -20,7 +20,7 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{16,}"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
 SIZE = len(ALPHABET) + 1  # class 0: any other character
-#: About so many documents give the labelled samples.
+#: About so many documents give the ordinary identifiers.
 SAMPLE_DOCS = 20_000
 #: Strength, in transitions, of the order-zero distribution within a row.
 PRIOR_WEIGHT = 20.0
@@ -66,9 +66,9 @@ def _classes(string: Column) -> Column:
 
 def labelled_samples(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                      sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """``(random boolean, sample string)`` from about ``sample_docs`` documents
-    chosen by a hash of their id: values that the base patterns name are random
-    strings, other words of letters and joining signs are ordinary identifiers.
+    """``(random boolean, sample string)``: values that the base patterns name in
+    any document are random strings; words of letters and joining signs of about
+    ``sample_docs`` documents, chosen by a hash of their id, are ordinary identifiers.
     """
     total = docs.count()
     share = 1.0 if total <= sample_docs else sample_docs / total
@@ -80,7 +80,7 @@ def labelled_samples(docs: DataFrame, text_col: str = "text", id_col: str = "doc
     values = F.concat(
         F.transform(matches(text, ASSIGN, rlike, value_group=1), lambda m: m["value"]),
         F.transform(matches(text, ACCESS, text.contains("AKIA")), lambda m: m["value"]))
-    secret = chosen.select(F.explode(values).alias("sample")).where(F.length("sample") >= 12)
+    secret = docs.select(text_or_empty(text_col).alias("t")).select(F.explode(values).alias("sample")).where(F.length("sample") >= 12)
     plain = (chosen.select(F.explode(F.split(text, r"[^A-Za-z_.-]+")).alias("sample"))
              .where(F.length("sample").between(4, 64)))
     return (secret.select(F.lit(True).alias("random"), "sample")

@@ -104,6 +104,13 @@ def test_iban_of_other_codes_is_the_valid_part(spark):
     assert [(s.start, s.end) for s in pii.find_pii(df).first().pii if s.kind == "iban"] == [(8, 8 + len(iban))]
 
 
+def test_rare_secrets_are_learnt_from(spark):
+    docs = spark.range(500).selectExpr(
+        "id AS doc_id", "IF(id = 77, 'token = Zx8Qp2Lk9Vw3Rt7Yh5Nb', 'ordinary words of a reader') AS text")
+    got = secrets.labelled_samples(docs, sample_docs=1).where("random").collect()
+    assert [r.sample for r in got] == ["Zx8Qp2Lk9Vw3Rt7Yh5Nb"]
+
+
 def test_secrets_odd_texts(odd):
     for r in secrets.find_secrets(odd.drop("base"), None).collect():
         assert [(s.kind, s.start, s.end) for s in r.base] == brute_secrets(r.text), (r.text or "")[:60]
