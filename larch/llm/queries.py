@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larch.llm import decontaminate, lm, mixing, pii, secrets, shards, simhash, toxicity, vectors, warc
+from larch.llm import (
+    decontaminate, lm, mixing, pieces, pii, secrets, shards, simhash, toxicity, vectors, warc)
 from larch.llm.common import scratch_dir, table, written
 from larch.llm.spans import rendered
 
@@ -98,6 +99,28 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         rendered(F.col("pii")).alias("spans"))
 
 
+#: The file of the tokenizer's pieces; None for the installed public vocabulary.
+PIECE_MODEL: str | None = None
+
+
+def _piece_model() -> str:
+    if PIECE_MODEL:
+        return PIECE_MODEL
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    codec = pieces.read_codec(_piece_model())
+    told = pieces.with_decoded(pieces.with_ids(docs, codec), codec)
+    return told.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_lm_score": op1_lm_score,
     "op2_decontamination": op2_decontamination,
@@ -109,6 +132,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_warc": op9_warc,
     "op10_pii": op10_pii,
+    "op13_sentencepiece": op13_sentencepiece,
 }
 
 #: DuckDB SQL where it can state the result.
