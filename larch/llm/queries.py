@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larch.llm import (
-    decontaminate, lm, mixing, pieces, pii, secrets, shards, simhash, toxicity, vectors, warc)
-from larch.llm.common import scratch_dir, table, written
+    decontaminate, lm, mixing, pieces, pii, runs, secrets, shards, simhash, toxicity, vectors, warc)
+from larch.llm.common import let, scratch_dir, table, text_or_empty, written
 from larch.llm.spans import rendered
 
 
@@ -99,6 +99,45 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         rendered(F.col("pii")).alias("spans"))
 
 
+def _with_repeats(docs: DataFrame) -> DataFrame:
+    """The contract's texts: in a tenth of the documents, chosen by their ids' checksum,
+    the words from a place on repeat with a period; other texts stay."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        return F.when(n > 0, F.array_join(F.transform(
+            F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
+            lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p))), " ")
+        ).otherwise("")
+
+    words = F.filter(F.split(text_or_empty(), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    return docs.withColumn("text", F.when(h % 10 == 0, let(words, repeated)).otherwise(F.col("text")))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _with_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = runs.with_runs(docs)
+    # Runs come by start and period; a later one must be more of its period to win.
+    best = F.reduce(
+        "runs", F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>"),
+        lambda top, run: F.when(
+            top.isNull() | (run["length"] * top["period"] > top["length"] * run["period"]), run
+        ).otherwise(top))
+    lines = F.transform("runs", lambda run: F.concat(
+        run["start"].cast("string"), F.lit(","), run["length"].cast("string"), F.lit(","),
+        run["period"].cast("string"), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"))
+
+
 #: The file of the tokenizer's pieces; None for the installed public vocabulary.
 PIECE_MODEL: str | None = None
 
@@ -132,6 +171,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_warc": op9_warc,
     "op10_pii": op10_pii,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_sentencepiece": op13_sentencepiece,
 }
 
