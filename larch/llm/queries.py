@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from larch.llm import (
     decontaminate, lm, mixing, pieces, pii, runs, secrets, shards, simhash, toxicity, vectors, warc)
-from larch.llm.common import let, scratch_dir, table, text_or_empty, written
+from larch.llm.common import scratch_dir, table, text_or_empty, written
 from larch.llm.spans import rendered
 
 
@@ -103,19 +103,17 @@ def _with_repeats(docs: DataFrame) -> DataFrame:
     """The contract's texts: in a tenth of the documents, chosen by their ids' checksum,
     the words from a place on repeat with a period; other texts stay."""
     h = F.crc32(F.col("doc_id").cast("string"))
-    g = F.floor(h / 10)
-
-    def repeated(words: Column) -> Column:
-        n = F.size(words)
-        a = (g % n).cast("int")
-        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
-        return F.when(n > 0, F.array_join(F.transform(
-            F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
-            lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p))), " ")
-        ).otherwise("")
-
     words = F.filter(F.split(text_or_empty(), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-    return docs.withColumn("text", F.when(h % 10 == 0, let(words, repeated)).otherwise(F.col("text")))
+    n, g = F.size("_words"), F.floor(h / 10)
+    numbered = (docs.withColumn("_words", F.when(h % 10 == 0, words))
+                .withColumn("_from", F.when(n > 0, g % n).cast("int"))
+                .withColumn("_period", (1 + F.floor((n - F.col("_from")) / (3 + g % 8))).cast("int")))
+    place = F.transform(
+        F.sequence(F.lit(0), n - 1),
+        lambda i: F.get("_words", F.when(i < F.col("_from"), i).otherwise(
+            F.col("_from") + (i - F.col("_from")) % F.col("_period"))))
+    text = F.when(n > 0, F.array_join(place, " ")).otherwise(F.col("text"))
+    return numbered.withColumn("text", text).drop("_words", "_from", "_period")
 
 
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from larch.llm import runs
-from larch.llm.queries import op12_periodic_runs
+from larch.llm.queries import _with_repeats, op12_periodic_runs
 
 from tests.conftest import SF_CHECK
 
@@ -83,6 +83,14 @@ def test_odd_rows(spark):
     assert runs.with_runs(docs.limit(0)).count() == 0
 
 
+def test_repeated_texts_of_the_query(spark):
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 10 == 0][:3]
+    docs = spark.createDataFrame(
+        [(ids[0], None), (ids[1], " \n"), (ids[2], "only"), (None, "a  b")], "doc_id long, text string")
+    got = {r["doc_id"]: r["collapsed"] for r in runs.with_runs(_with_repeats(docs)).collect()}
+    assert got == {ids[0]: "", ids[1]: "", ids[2]: "only", None: "a b"}
+
+
 def test_query_equals_brute_force(spark):
     def sha(text):
         return hashlib.sha256(text).hexdigest()
