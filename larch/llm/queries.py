@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larch.llm import (
-    decontaminate, lm, mixing, pieces, pii, runs, secrets, shards, simhash, toxicity, vectors, warc)
+    decontaminate, lm, mixing, negatives, pieces, pii, runs, secrets, shards, simhash, toxicity,
+    vectors, warc)
 from larch.llm.common import scratch_dir, table, text_or_empty, written
 from larch.llm.spans import rendered
 
@@ -99,6 +100,13 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         rendered(F.col("pii")).alias("spans"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select(
+        "vec_id", "embedding", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
+        .otherwise(F.col("label")).alias("label"))
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 def _with_repeats(docs: DataFrame) -> DataFrame:
     """The contract's texts: in a tenth of the documents, chosen by their ids' checksum,
     the words from a place on repeat with a period; other texts stay."""
@@ -169,9 +177,34 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_warc": op9_warc,
     "op10_pii": op10_pii,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_sentencepiece": op13_sentencepiece,
 }
 
 #: DuckDB SQL where it can state the result.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op11_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS c
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id AS other_id, a.label = v.label AS alike,
+         CAST(list_inner_product(a.c, v.c) AS BIGINT) AS score
+  FROM v AS a, v WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score
+  FROM s WHERE alike AND other_id <> anchor_id
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id
+                               ORDER BY s.score DESC, s.other_id) AS INTEGER) AS rank,
+       s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.alike
+ AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+QUALIFY rank <= 10
+""",
+}
