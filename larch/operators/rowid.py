@@ -6,7 +6,7 @@ row count of each partition comes to the driver.  The numbered layout is stored
 (:func:`larch.session.stored`), since ids must not change when a task is run
 again; the stored copy belongs to the session.
 
-* :func:`line_ids` numbers the lines of one text file by position.
+* :func:`line_ids` numbers the lines of text files by position.
 * :func:`ordered_ids` numbers the rows of a table in the order of a key.
 """
 
@@ -24,7 +24,8 @@ from larch.session import stored, tasks_for
 _POS_BITS = 33  # monotonically_increasing_id = (partition << 33) + position
 
 
-def _position() -> Column:
+def position() -> Column:
+    """The place of a row within its partition."""
     return F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POS_BITS) - 1))
 
 
@@ -43,19 +44,37 @@ def _partition_counts(tagged: DataFrame) -> dict[int, int]:
             tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).collect()}
 
 
+def block_columns(lines: DataFrame) -> list[Column]:
+    """``_file`` and ``_block``: the file and the first byte of the split that a line of
+    ``spark.read.text(path)`` comes from.  A task's splits follow one another."""
+    return [F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block")]
+
+
 def line_ids(lines: DataFrame, id_col: str = "id") -> DataFrame:
-    """Add ``id`` = line number - 1 to ``spark.read.text(one_file)``.
+    """Add ``id`` = line number - 1 to ``spark.read.text(path)``, a file or a folder.
 
-    The file is read once: every line is stored with its split and its place
-    in the split, so the counts and the ids see the same splits however many
-    executors there are.  Several files have no defined line order between
-    them, so input read from more than one file is refused.
+    Several files are numbered one after another in the order of their paths,
+    as if they were one.  The files are read once: every line is stored with its
+    split and its place, so the counts and the ids see the same splits however many
+    executors there are.  The driver adds up one row per split.  Lines that do
+    not come from files are numbered by partition.
     """
-    if len(lines.inputFiles()) > 1:
-        raise ValueError("line numbers are defined for one file; number each file separately")
-    tagged, _ = stored(lines.select(
-        "*", F.spark_partition_id().alias("_part"), _position().alias("_pos")))
-    return _numbered(tagged, _partition_counts(tagged), id_col)
+    if not lines.inputFiles():
+        tagged, _ = stored(lines.select(
+            "*", F.spark_partition_id().alias("_part"), position().alias("_pos")))
+        return _numbered(tagged, _partition_counts(tagged), id_col)
+    tagged, _ = stored(lines.select("*", *block_columns(lines), position().alias("_pos")))
+    splits = (tagged.groupBy("_file", "_block")
+              .agg(F.count(F.lit(1)).alias("n"), F.min("_pos").alias("first"))
+              .orderBy("_file", "_block").collect())
+    before = [0, *accumulate(s["n"] for s in splits)]
+    starts = lines.sparkSession.createDataFrame(
+        [(s["_file"], s["_block"], at - s["first"]) for s, at in zip(splits, before)],
+        "_file string, _block bigint, _start bigint")
+    return (tagged.join(starts, ["_file", "_block"])
+            .withColumn(id_col, F.col("_start") + F.col("_pos"))
+            .drop("_file", "_block", "_start", "_pos"))
 
 
 def ordered_ids(df: DataFrame, key: str, tie_cols: Sequence[str] = (),
@@ -80,7 +99,7 @@ def ordered_ids(df: DataFrame, key: str, tie_cols: Sequence[str] = (),
     while True:
         tagged, drop = stored(
             keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-            .withColumn("_part", F.spark_partition_id()).withColumn("_pos", _position())
+            .withColumn("_part", F.spark_partition_id()).withColumn("_pos", position())
             .drop(*order))
         counts = _partition_counts(tagged)
         if max(counts.values(), default=0) < 2 * max(2, rows_per_bucket):

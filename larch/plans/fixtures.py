@@ -14,8 +14,10 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from larch.sources import read_table
+from larch.session import new_folder, tasks_for
+from larch.sources import csv_field, read_table
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,3 +138,50 @@ def neighbour_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs ``(a, b)``: every nation with the next one by key."""
     nation = read_table(spark, sf_dir, "nation", "n_nationkey")
     return nation.select(F.col("n_nationkey").alias("a"), (F.col("n_nationkey") + 1).alias("b"))
+
+
+def basket_files(spark: SparkSession, sf_dir: str, item_col: str = "p_type") -> str:
+    """A folder of text files with the basket lines, in the order of their keys."""
+    path = new_folder(spark, "lines")
+    basket_lines(spark, sf_dir, item_col).orderBy("key").select("value").write.text(path)
+    return path
+
+
+#: Rows of one CSV file.
+FILE_ROWS = 500_000
+
+
+def _csv_files(table: DataFrame, key: str, damage=None) -> str:
+    """A folder of CSV files with headers that holds the rows of ``table``, each
+    rendered as one record (``damage`` changes its text); returns the pattern of their
+    paths."""
+    spark, names = table.sparkSession, table.columns
+    path = new_folder(spark, "csv")
+    files = tasks_for(table.count(), FILE_ROWS)
+    value = F.concat_ws(",", *[csv_field(n) for n in names])
+    rows = table.select(F.pmod(F.xxhash64(key), F.lit(files)).alias("file"), F.lit(1).alias("place"),
+                        (damage(value) if damage else value).alias("value"))
+    heads = spark.range(files).select(F.col("id").alias("file"), F.lit(0).alias("place"),
+                                      F.lit(",".join(names)).alias("value"))
+    (heads.unionAll(rows).repartition(files, "file").sortWithinPartitions("file", "place")
+     .select("file", "value").write.partitionBy("file").text(path))
+    return f"{path}/*"
+
+
+def part_files(spark: SparkSession, sf_dir: str) -> str:
+    """CSV files of the parts.  Every tenth part has a field too many, every tenth
+    from the fifth on a field too few."""
+    part = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_size")
+    rest = F.col("p_partkey") % 10
+    return _csv_files(part, "p_partkey", lambda line: F.when(rest == 0, F.concat(line, F.lit(",x")))
+                      .when(rest == 5, F.regexp_replace(line, ",[^,]*$", "")).otherwise(line))
+
+
+PART_FIELDS = T.StructType([
+    T.StructField("p_partkey", T.LongType()), T.StructField("p_name", T.StringType()),
+    T.StructField("p_brand", T.StringType()), T.StructField("p_size", T.IntegerType())])
+
+
+def document_files(spark: SparkSession, sf_dir: str) -> str:
+    """CSV files of the documents, whose texts have quotes and line breaks."""
+    return _csv_files(read_table(spark, sf_dir, "documents", "doc_id", "lang", "text"), "doc_id")

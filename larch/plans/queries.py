@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from larch.operators import baskets, clusters, counts, membership, ratings
 from larch.plans import fixtures
 from larch.session import releasing
-from larch.sources import csv_lines, parse_ratings
+from larch.sources import (account, csv_lines, kept, parse_ratings, read_csv_records, read_csv_table,
+                           read_lines)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,6 +55,27 @@ def parse_rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_ratings(fixtures.rating_lines(spark, sf_dir))
 
 
+def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = read_csv_table(spark, fixtures.part_files(spark, sf_dir), fixtures.PART_FIELDS)
+    return parts.groupBy("p_brand").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("p_size").alias("size"), F.max("p_name").alias("last_name"))
+
+
+def csv_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return account(read_csv_records(spark, fixtures.part_files(spark, sf_dir), fixtures.PART_FIELDS))
+
+
+def csv_quoted_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = kept(read_csv_records(spark, fixtures.document_files(spark, sf_dir)))
+    return records.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang",
+                          F.length("text").cast("bigint").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
+def file_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = read_lines(spark, fixtures.basket_files(spark, sf_dir))
+    return baskets.basket_table(lines).select("id", "name", _joined("items"))
+
+
 def _ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.ratings(spark, sf_dir).select("userId", "itemId", "rating")
 
@@ -97,22 +119,14 @@ def first_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     return releasing(ratings.means_and_interaction(train, digits=6, n=FIRST), folded)
 
 
-def _scored(rmse: DataFrame) -> DataFrame:
-    """What SQL can state of a fitted model's score: the rows in the test fold,
-    the rows scored, and that the error is a number."""
-    error = F.col("rmse")
-    return rmse.select("n_test", "n_scored", (error.isNotNull() & ~F.isnan(error) & (
-        error < float("inf"))).alias("finite"))
-
-
 def als_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
     folded, train, test = _folds(spark, sf_dir)
-    return releasing(_scored(ratings.als_rmse(train, test, SEED)), folded)
+    return releasing(ratings.als_rmse(train, test, SEED), folded)
 
 
 def als_bias_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
     folded, train, test = _folds(spark, sf_dir)
-    return releasing(_scored(ratings.als_bias_rmse(train, test, SEED)), folded)
+    return releasing(ratings.als_bias_rmse(train, test, SEED), folded)
 
 
 # FP-Growth thresholds (support, confidence) per basket fixture.
@@ -248,6 +262,10 @@ QUERIES: dict[str, Query] = {
     "common_values": common_values,
     "csv_lines": csv_line_rendering,
     "parse_ratings": parse_rating_lines,
+    "csv_scan": csv_scan,
+    "csv_account": csv_account,
+    "csv_quoted_records": csv_quoted_records,
+    "file_baskets": file_baskets,
     "rating_split": rating_split,
     "global_mean": global_mean,
     "global_mean_rmse": global_mean_rmse,

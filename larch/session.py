@@ -40,12 +40,20 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
 
 
 def storage_folder(spark: SparkSession) -> str:
-    """The shared folder that ``spark.checkpoint.dir`` names; where it is unset,
-    as in tests, a folder in the session's warehouse."""
+    """The shared folder that ``spark.checkpoint.dir`` names.  Where it is unset, a
+    local session (as in tests) uses a folder in its warehouse; a session on several
+    machines has no folder that all of them surely see, which is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return (named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_larch").rstrip("/")
 
 
+def new_folder(spark: SparkSession, name: str = "data") -> str:
+    """A new folder name in the shared folder."""
+    return f"{storage_folder(spark)}/larch-{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
     """``df`` written as Parquet to the shared folder and read again, and a
     function that deletes the copy.
@@ -55,7 +63,7 @@ def stored(df: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
     longer needs, it deletes itself.
     """
     spark = df.sparkSession
-    path = f"{storage_folder(spark)}/larch-{uuid.uuid4().hex}"
+    path = new_folder(spark)
     df.write.parquet(path)
 
     def drop() -> None:

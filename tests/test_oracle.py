@@ -16,8 +16,9 @@ def con():
 
 
 def test_every_query_registered():
-    assert set(ORACLE) == set(QUERIES)
-    assert len(QUERIES) == 32
+    # A fitted model's error has no SQL; the rating tests check these.
+    assert set(QUERIES) - set(ORACLE) == {"als_rmse", "als_bias_rmse"}
+    assert set(ORACLE) <= set(QUERIES)
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 

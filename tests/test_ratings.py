@@ -160,3 +160,30 @@ def test_rmse_and_recomposition(spark, rated):
     plain = ratings.als_predictions(train, test, 42).collect()
     want_plain = math.sqrt(sum((r.rating - r.prediction) ** 2 for r in plain) / len(plain))
     assert ratings.als_rmse(train, test, 42).first().rmse == pytest.approx(want_plain, abs=1e-6)
+
+
+def test_als_query_returns_the_error_of_the_normal_equations(spark):
+    """The registered query's RMSE against predictions from item factors and users
+    solved here, on the same folds."""
+    from larch.plans import oracle, queries
+    from tests.oracle_compare import duck
+    got = queries.als_rmse(spark, SF_SMALL).first()
+    _, train, test = queries._folds(spark, SF_SMALL)
+    assert tuple(got)[:2] == duck(SF_SMALL).sql(oracle.ALS_SCORED).fetchone()
+    numbered, wanted, _ = ratings.als_ready(train, test)
+    model = ratings.fit_als(numbered, queries.SEED)
+    factors = {r.id: np.array(r.features) for r in model.itemFactors.collect()}
+    users = {r.id: np.array(r.features) for r in model.userFactors.collect()}
+    solved = {u: _solved(rows, factors, ratings.ALS_REG_PARAM) for u, rows in _by_user(numbered).items()}
+    items = dict(factors)
+    if max(np.abs(solved[u] - users[u]).max() for u in solved) > 1e-2:  # items were solved last
+        solved, by = users, {}
+        for r in numbered.collect():
+            by.setdefault(r.itemId, []).append((r.userId, r.rating))
+        items = {i: _solved(rows, users, ratings.ALS_REG_PARAM) for i, rows in by.items()}
+    errors = [(r.rating - solved[r.userId] @ items[r.itemId]) ** 2 for r in wanted.collect()
+              if r.userId in solved and r.itemId in items]
+    assert len(errors) == got.n_scored
+    assert got.rmse == pytest.approx(math.sqrt(sum(errors) / len(errors)), abs=5e-3)
+    bias = queries.als_bias_rmse(spark, SF_SMALL).first()
+    assert tuple(bias)[:2] == tuple(got)[:2] and math.isfinite(bias.rmse)

@@ -132,15 +132,23 @@ def test_write_csv_roundtrip(spark, tmp_dir):
     assert sorted(tuple(r) for r in back.collect()) == [("a,b", 1), ("c", 2)]
 
 
-def test_line_ids_refuses_several_files(spark, tmp_dir):
-    import pytest
-    folder = os.path.join(tmp_dir, "two")
+def test_line_ids_of_a_folder_equal_its_concatenation(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "many")
     os.makedirs(folder)
-    for name in ("a.txt", "b.txt"):
-        with open(os.path.join(folder, name), "w") as f:
-            f.write("x\ny\n")
-    with pytest.raises(ValueError):
-        line_ids(read_lines(spark, folder))
+    lines = []
+    for f, n in enumerate((300, 0, 1, 77)):
+        own = [f"{f}:{i}" for i in range(n)]
+        lines += own
+        with open(os.path.join(folder, f"f{f}.txt"), "w") as out:
+            out.write("".join(line + "\n" for line in own))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    try:
+        ids = line_ids(read_lines(spark, folder)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert [r.value for r in sorted(ids, key=lambda r: r.id)] == lines
+    assert sorted(r.id for r in ids) == list(range(len(lines)))
 
 
 def test_rating_ids_beyond_int_stay(spark):
