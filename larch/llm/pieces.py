@@ -11,7 +11,7 @@ import codecs
 import heapq
 import re
 import struct
-from itertools import chain
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -106,8 +106,8 @@ class Codec:
                 byte_ids[int(pieces[i][1:-1], 16)] = i
         self.byte_ids = byte_ids
         chars = {c: number.get(c, _CHARS + ord(c)) for i in plain for c in pieces[i]}
-        self.known = np.array(sorted(ord(c) for c in chars), np.int64)
-        self.known_symbol = np.array([chars[chr(c)] for c in self.known], np.int32)
+        self.char_symbol = np.arange(_CHARS, _CHARS + 0x110000, dtype=np.int32)
+        self.char_symbol[[ord(c) for c in chars]] = list(chars.values())
         pairs = {}
         for i in plain:
             p = pieces[i]
@@ -150,10 +150,7 @@ class Codec:
     def _merged(self, words: list[str]):
         """``(symbols, first symbol of each word, a rank fell)`` after all merges."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
-        points = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)
-        at = np.minimum(np.searchsorted(self.known, points), len(self.known) - 1)
-        symbols = np.where(self.known[at] == points, self.known_symbol[at],
-                           _CHARS + points).astype(np.int32)
+        symbols = self.char_symbol[np.frombuffer("".join(words).encode("utf-32-le"), "<u4")]
         word = np.repeat(np.arange(len(words)), sizes)
         done_symbols, done_words, fell = [], [], False
         rank, piece = self._pairs(symbols, np.append(symbols[1:], 0))
@@ -161,19 +158,19 @@ class Codec:
             rank[np.append(word[1:] != word[:-1], True)] = _NONE
         while len(symbols):
             first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
-            count = np.diff(np.append(first, len(word)))
+            size = np.diff(np.append(first, len(word)))
             least = np.minimum.reduceat(rank, first)
             tied = (least != _NONE) & self.shared[np.where(least == _NONE, 0, least)]
             for w in np.flatnonzero(tied).tolist():
-                found = self._one_by_one(symbols[first[w]:first[w] + count[w]].tolist())
+                found = self._one_by_one(symbols[first[w]:first[w] + size[w]].tolist())
                 done_symbols.append(np.array(found, np.int32))
                 done_words.append(np.full(len(found), word[first[w]]))
-            going = np.repeat((least != _NONE) & ~tied, count)
-            whole = np.repeat(least == _NONE, count)
+            going = np.repeat((least != _NONE) & ~tied, size)
+            whole = np.repeat(least == _NONE, size)
             done_symbols.append(symbols[whole])
             done_words.append(word[whole])
             symbols, word, rank, piece = symbols[going], word[going], rank[going], piece[going]
-            least = np.repeat(least, count)[going]
+            least = np.repeat(least, size)[going]
             if not len(symbols):
                 break
             here = np.flatnonzero(rank == least)
@@ -258,15 +255,23 @@ class Codec:
         if not cache:
             self._ids = np.zeros(0, np.int32)
             self._first = np.zeros(1, np.int64)
-        fresh = [w for w in dict.fromkeys(chain.from_iterable(lists)) if w not in cache]
-        if fresh:
-            cache.update(zip(fresh, range(len(cache), len(cache) + len(fresh))))
+        words = list(chain.from_iterable(lists))
+        known = len(cache)
+        # A word seen first here gets its place as a number, then the next free one.
+        word = np.fromiter(map(cache.setdefault, words, count(known)), np.int64, len(words))
+        fresh = np.flatnonzero(word == np.arange(known, known + len(words)))
+        if len(fresh):
+            number = np.zeros(len(words), np.int64)
+            number[fresh] = np.arange(known, known + len(fresh))
+            late = word >= known
+            word[late] = number[word[late] - known]
+            fresh = [words[i] for i in fresh.tolist()]
+            cache.update(zip(fresh, range(known, known + len(fresh))))
             symbols, first, _ = self._merged([w.replace(" ", SPACE) for w in fresh])
             ids, first = self._spelled(symbols, first)
             self._first = np.append(self._first, first[1:] + len(self._ids))
             self._ids = np.append(self._ids, ids)
         sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        word = np.fromiter(map(cache.__getitem__, chain.from_iterable(lists)), np.int64, int(sizes.sum()))
         starts, counts = self._first[word], self._first[word + 1] - self._first[word]
         ends = np.append(0, np.cumsum(counts))[np.append(0, np.cumsum(sizes))]
         return self._ids[_ranges(starts, counts)], np.diff(ends)
