@@ -169,7 +169,7 @@ def test_als_query_returns_the_error_of_the_normal_equations(spark):
     from tests.oracle_compare import duck
     got = queries.als_rmse(spark, SF_SMALL).first()
     _, train, test = queries._folds(spark, SF_SMALL)
-    assert tuple(got)[:2] == duck(SF_SMALL).sql(oracle.ALS_SCORED).fetchone()
+    assert tuple(got)[:2] == duck(SF_SMALL).sql(oracle.ALS_SCORED).fetchall()[0]
     numbered, wanted, _ = ratings.als_ready(train, test)
     model = ratings.fit_als(numbered, queries.SEED)
     factors = {r.id: np.array(r.features) for r in model.itemFactors.collect()}
