@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding by vectorised merge rounds.
 
-The merges of a byte-fallback BPE model run on flat symbol arrays: in every round
-each word finds the least rank among its neighbouring pairs, all its pairs of
+The merges of a byte-fallback BPE model run on flat symbol arrays of the distinct words
+of a slice of texts: in every round each word finds the least rank among its neighbouring pairs, all its pairs of
 that rank merge from the left, and the arrays are compacted until no pair remains.
 """
 
@@ -9,9 +9,7 @@ from __future__ import annotations
 
 import codecs
 import heapq
-import re
 import struct
-from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -21,15 +19,14 @@ from pyspark.sql import functions as F
 from larch.llm.common import text_or_empty
 
 SPACE = "▁"
-#: Text that is encoded at a time, and words that a worker remembers.
+#: Text that is encoded at a time (a longer text is encoded alone).
 SLICE_CHARS = 2_000_000
-CACHE_WORDS = 300_000
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 _NONE = np.int32(np.iinfo(np.int32).max)
 #: Symbols of characters without a piece are numbered from here.
 _CHARS = 1 << 24
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = range(1, 7)
 UNKNOWN_SURFACE = " ⁇ ".encode()
-_PLACE = re.compile(" *[^ ]+| +")
 
 
 def _fields(buffer: bytes):
@@ -68,6 +65,10 @@ def _replace_each(error: UnicodeError):
 codecs.register_error("larch.each_byte", _replace_each)
 
 
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), "<u4")
+
+
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The places ``start .. start + size`` of all rows, one after another."""
     ends = np.cumsum(sizes)
@@ -108,6 +109,7 @@ class Codec:
         chars = {c: number.get(c, _CHARS + ord(c)) for i in plain for c in pieces[i]}
         self.char_symbol = np.arange(_CHARS, _CHARS + 0x110000, dtype=np.int32)
         self.char_symbol[[ord(c) for c in chars]] = list(chars.values())
+        self.char_symbol[ord(" ")] = self.char_symbol[ord(SPACE)]
         pairs = {}
         for i in plain:
             p = pieces[i]
@@ -117,8 +119,7 @@ class Codec:
                 b = chars[right] if cut == len(p) - 1 else number.get(right)
                 if a is not None and b is not None:
                     pairs[a << 32 | b] = i
-        self.pair_keys = np.array(sorted(pairs), np.int64)
-        self.pair_piece = np.array([pairs[k] for k in self.pair_keys.tolist()], np.int32)
+        self._pair_table(np.array(list(pairs), np.int64), np.array(list(pairs.values()), np.int32))
         levels, rank = np.unique(-scores, return_inverse=True)
         self.rank = rank.astype(np.int32)
         uses = np.bincount(rank[plain], minlength=len(levels))
@@ -136,22 +137,47 @@ class Codec:
         # All pairs of one rank may merge in one round only if a merge never
         # makes a pair of lesser rank; whether one does shows in the pieces.
         self.one_merge = True
-        self.one_merge = self._merged([pieces[i] for i in plain])[2]
-        self._cache: dict[str, int] = {}
+        own = [pieces[i] for i in plain]
+        self.one_merge = self._merged(self.char_symbol[_points("".join(own))],
+                                      np.array([len(p) for p in own]))[2]
+
+    def _pair_table(self, keys: np.ndarray, pieces: np.ndarray) -> None:
+        """An open hash table of the pairs that some piece joins."""
+        bits = max(4, int(4 * len(keys)).bit_length())
+        self.pair_shift, size = np.uint64(64 - bits), 1 << bits
+        self.slot_key, self.slot_piece = np.full(size, -1, np.int64), np.full(size, -1, np.int32)
+        at = self._slots(keys)
+        while len(keys):
+            free = np.flatnonzero(self.slot_key[at] < 0)
+            taken, first = np.unique(at[free], return_index=True)
+            self.slot_key[taken], self.slot_piece[taken] = keys[free[first]], pieces[free[first]]
+            left = self.slot_key[at] != keys
+            keys, pieces, at = keys[left], pieces[left], (at[left] + 1) & (size - 1)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * _MIX) >> self.pair_shift).astype(np.int64)
 
     def _pairs(self, left: np.ndarray, right: np.ndarray):
         """Rank and piece of the pairs; no rank where none joins."""
         keys = left.astype(np.int64) << 32 | right
-        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-        found = self.pair_keys[at] == keys
-        piece = np.where(found, self.pair_piece[at], -1)
-        return np.where(found, self.rank[piece], _NONE), piece
-
-    def _merged(self, words: list[str]):
-        """``(symbols, first symbol of each word, a rank fell)`` after all merges."""
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        symbols = self.char_symbol[np.frombuffer("".join(words).encode("utf-32-le"), "<u4")]
-        word = np.repeat(np.arange(len(words)), sizes)
+        at = self._slots(keys)
+        piece = self.slot_piece[at]
+        held = self.slot_key[at]
+        open_ = np.flatnonzero((held != keys) & (held >= 0))
+        piece[held != keys] = -1
+        while len(open_):
+            at[open_] = (at[open_] + 1) & (len(self.slot_key) - 1)
+            held = self.slot_key[at[open_]]
+            found = held == keys[open_]
+            piece[open_[found]] = self.slot_piece[at[open_[found]]]
+            open_ = open_[~found & (held >= 0)]
+        return np.where(piece >= 0, self.rank[piece], _NONE), piece
+
+    def _merged(self, symbols: np.ndarray, sizes: np.ndarray):
+        """``(symbols, first symbol of each word, a rank fell)`` after all merges of
+        words of ``sizes`` symbols."""
+        words = len(sizes)
+        word = np.repeat(np.arange(words, dtype=np.int32), sizes)
         done_symbols, done_words, fell = [], [], False
         rank, piece = self._pairs(symbols, np.append(symbols[1:], 0))
         if len(rank):
@@ -164,7 +190,7 @@ class Codec:
             for w in np.flatnonzero(tied).tolist():
                 found = self._one_by_one(symbols[first[w]:first[w] + size[w]].tolist())
                 done_symbols.append(np.array(found, np.int32))
-                done_words.append(np.full(len(found), word[first[w]]))
+                done_words.append(np.full(len(found), word[first[w]], np.int32))
             going = np.repeat((least != _NONE) & ~tied, size)
             whole = np.repeat(least == _NONE, size)
             done_symbols.append(symbols[whole])
@@ -195,10 +221,16 @@ class Codec:
             new_rank[(after == touched) | (word[after] != word[touched])] = _NONE
             fell |= bool((new_rank < least[touched]).any())
             rank[touched] = new_rank
-        symbols = np.concatenate(done_symbols) if done_symbols else np.zeros(0, np.int32)
-        order = np.concatenate(done_words) if done_words else np.zeros(0, np.int64)
-        by_word = np.argsort(order, kind="stable")
-        return symbols[by_word], np.searchsorted(order[by_word], np.arange(len(words) + 1)), fell
+        if not done_symbols:
+            return np.zeros(0, np.int32), np.zeros(words + 1, np.int64), fell
+        symbols, order = np.concatenate(done_symbols), np.concatenate(done_words)
+        places = np.append(0, np.cumsum(np.bincount(order, minlength=words)))
+        # A word is done as a whole: its symbols follow one another here.
+        first = np.flatnonzero(np.append(True, order[1:] != order[:-1]))
+        size = np.diff(np.append(first, len(order)))
+        out = np.empty_like(symbols)
+        out[_ranges(places[order[first]], size)] = symbols
+        return out, places, fell
 
     def _one_by_one(self, symbols: list[int]) -> list[int]:
         """The merges of one word in which pieces of equal score compete: the
@@ -241,40 +273,49 @@ class Codec:
         ids[_ranges(start[odd], extra[odd] + 1)] = np.concatenate(spelt)
         return ids, np.append(start, len(ids))[first]
 
+    def _distinct(self, symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
+        """``(places of the distinct words, number of each word)``."""
+        place = (np.arange(len(symbols)) - np.repeat(starts, sizes)).astype(np.int32)
+        with np.errstate(over="ignore"):
+            powers = np.cumprod(np.full(int(sizes.max()), _MIX))
+            terms = (symbols.astype(np.uint64) + np.uint64(1)) * powers[place]
+            hashes = np.add.reduceat(terms ^ terms >> np.uint64(31), starts)
+        del terms
+        order = np.argsort(hashes, kind="stable")
+        fresh = np.append(True, hashes[order][1:] != hashes[order][:-1])
+        like = np.empty(len(starts), np.int64)
+        like[order] = order[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
+        # Equal words have equal hashes; words that differ all the same stand alone.
+        equal = sizes[like] == sizes
+        there = np.repeat(starts[like], sizes) + place
+        same = symbols == symbols[np.minimum(there, len(symbols) - 1)]
+        equal &= np.logical_and.reduceat(same, starts)
+        like = np.where(equal, like, np.arange(len(starts)))
+        return np.unique(like, return_inverse=True)
+
     def _encode_slice(self, texts: list[str]):
         """Ids of all texts one after another, and the number of each."""
-        lists = []
-        for text in texts:
-            text = text.replace(SPACE, " ")
-            if text and self.dummy_prefix:
-                text = " " + text
-            lists.append(_PLACE.findall(text) if self.cuts else [text] if text else [])
-        cache = self._cache
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
-        if not cache:
-            self._ids = np.zeros(0, np.int32)
-            self._first = np.zeros(1, np.int64)
-        words = list(chain.from_iterable(lists))
-        known = len(cache)
-        # A word seen first here gets its place as a number, then the next free one.
-        word = np.fromiter(map(cache.setdefault, words, count(known)), np.int64, len(words))
-        fresh = np.flatnonzero(word == np.arange(known, known + len(words)))
-        if len(fresh):
-            number = np.zeros(len(words), np.int64)
-            number[fresh] = np.arange(known, known + len(fresh))
-            late = word >= known
-            word[late] = number[word[late] - known]
-            fresh = [words[i] for i in fresh.tolist()]
-            cache.update(zip(fresh, range(known, known + len(fresh))))
-            symbols, first, _ = self._merged([w.replace(" ", SPACE) for w in fresh])
-            ids, first = self._spelled(symbols, first)
-            self._first = np.append(self._first, first[1:] + len(self._ids))
-            self._ids = np.append(self._ids, ids)
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        starts, counts = self._first[word], self._first[word + 1] - self._first[word]
-        ends = np.append(0, np.cumsum(counts))[np.append(0, np.cumsum(sizes))]
-        return self._ids[_ranges(starts, counts)], np.diff(ends)
+        if self.dummy_prefix:
+            texts = [" " + text if text else text for text in texts]
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        points = _points("".join(texts))
+        if not len(points):
+            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
+        symbols = self.char_symbol[points]
+        first = np.append(0, np.cumsum(lengths))
+        begin = np.zeros(len(points), bool)
+        if self.cuts:
+            space = symbols == self.char_symbol[ord(SPACE)]
+            begin[1:] = space[1:] & ~space[:-1]
+        begin[first[:-1][lengths > 0]] = True
+        starts = np.flatnonzero(begin)
+        sizes = np.diff(np.append(starts, len(points)))
+        own, word = self._distinct(symbols, starts, sizes)
+        merged, places, _ = self._merged(symbols[_ranges(starts[own], sizes[own])], sizes[own])
+        ids, places = self._spelled(merged, places)
+        counts = np.diff(places)[word]
+        ends = np.append(0, np.cumsum(counts))[np.searchsorted(starts, first)]
+        return ids[_ranges(places[word], counts)], np.diff(ends)
 
     def encode(self, texts: list[str]):
         """``(ids, number of each text's ids)``."""

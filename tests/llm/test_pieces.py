@@ -65,8 +65,7 @@ def test_any_ids_decode_as_in_the_library(codec, library):
         codec.decode(np.array([32000]), np.array([1]))
 
 
-def test_forgotten_words_are_encoded_again(monkeypatch, library):
-    monkeypatch.setattr(pieces, "CACHE_WORDS", 3)
+def test_slices_of_texts_change_nothing(monkeypatch, library):
     monkeypatch.setattr(pieces, "SLICE_CHARS", 10)
     texts = ["one two", "two three four", "one five six", "", "seven one two"] * 3
     assert _lists(*pieces.read_codec(MODEL).encode(texts)) == library.encode(texts)
