@@ -247,19 +247,17 @@ def lloyd_rounds(layout: Layout, init: DataFrame, k: int
 def kmeans(cells: DataFrame, k: int, seed: int, candidates: DataFrame | None = None) -> KMeansResult:
     """Lloyd iterations from seeded centroids until assignments are stable.
 
-    A round is one job from the weights to the next weights and sizes, which are
-    stored, and one over those (one row per feature).  The last assignment is
-    stored and the layouts are released; ``release()`` on the result drops it.
+    Rounds are those of :mod:`larch.operators.bounded`, which give the assignments of
+    :func:`lloyd_rounds` and read only what changed.  The last assignment stays stored
+    and the layouts are released; ``release()`` on the result drops it.
     """
+    from larch.operators import bounded
+
     init = _chosen_centroids(cells, k, seed, candidates)
     layout = lay_out(cells)
-    rounds = 0
-    for assignment, drop_weights in lloyd_rounds(layout, init, k):
-        rounds += 1
-    kept, drop = stored(assignment)
-    drop_weights()
+    assignment, rounds, drop = bounded.converged(layout, init, k)
     layout.release()
-    return KMeansResult(kept, rounds, init, drop)
+    return KMeansResult(assignment, rounds, init, drop)
 
 
 def members(assignment: DataFrame, init: DataFrame) -> DataFrame:

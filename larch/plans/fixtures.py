@@ -109,6 +109,12 @@ def nation_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
             .distinct())
 
 
+def order_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Membership ``(entity, feature)``: order x part bought."""
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey")
+    return li.select(F.col("l_orderkey").alias("entity"), F.col("l_partkey").alias("feature")).distinct()
+
+
 def customer_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Membership ``(entity, feature)``: customer x brand bought."""
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey")

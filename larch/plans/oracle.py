@@ -216,6 +216,15 @@ VALUE_COUNTS = (f"SELECT label, count(*) AS n FROM {LABELLED} t WHERE {PRESENT}
                 f"GROUP BY label ORDER BY label")
 
 # ALS scores the test rows whose user and item it was fitted on.
+#: Orders as sets of parts, the orders with an equal set, and pairs that differ in one
+#: part at most (such sets share a part).
+NEAR = """c AS (SELECT DISTINCT l_orderkey AS e, l_partkey AS f FROM lineitem),
+n AS (SELECT e, count(*) AS n, list_sort(list(f)) AS fs FROM c GROUP BY e),
+k AS (SELECT e, min(e) OVER (PARTITION BY fs) AS class FROM n),
+o AS (SELECT x.e AS a, y.e AS b, count(*) AS k FROM c x JOIN c y ON x.f = y.f AND x.e < y.e GROUP BY 1, 2),
+p AS (SELECT a, b, x.n + y.n - 2 * o.k AS distance FROM o JOIN n x ON x.e = a JOIN n y ON y.e = b
+      WHERE x.n + y.n - 2 * o.k <= 1)"""
+
 #: Rows in the test fold and rows that ALS scores.  Its factors, and so its error,
 #: have no SQL: the tests compare the error with the normal equations.
 ALS_SCORED = (f"SELECT (SELECT count(*) FROM {TEST} t) AS n_test, count(*) AS n_scored "
@@ -247,6 +256,10 @@ ORACLE: dict[str, str] = {
     "csv_quoted_records": ("SELECT doc_id, nullif(lang, '') AS lang, CAST(length(t) AS BIGINT) AS n_chars, "
                            "md5(t) AS text_md5 FROM (SELECT *, nullif(text, '') AS t FROM documents) d"),
     "file_baskets": BASKETS,
+    "near_entities": (f"WITH {NEAR} SELECT k.e AS entity, class, count(z.e) AS n_near FROM k LEFT JOIN "
+                      "(SELECT a AS e FROM p UNION ALL SELECT b FROM p) z ON z.e = k.e GROUP BY 1, 2"),
+    "near_pairs": (f"WITH {NEAR} SELECT a, b, distance FROM p "
+                   "JOIN k x ON x.e = a AND x.class = a JOIN k y ON y.e = b AND y.class = b"),
     # DuckDB sums integers as HUGEINT; the key sums fit BIGINT, as in Spark.
     "rating_split": ("SELECT fold, count(*) AS n, CAST(sum(userId) AS BIGINT) AS sum_user, "
                      "CAST(sum(itemId) AS BIGINT) AS sum_item "

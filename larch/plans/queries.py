@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larch.operators import baskets, clusters, counts, membership, ratings
+from larch.operators import baskets, clusters, counts, membership, near_sets, ratings
 from larch.plans import fixtures
 from larch.session import releasing
 from larch.sources import (account, csv_lines, kept, parse_ratings, read_csv_records, read_csv_table,
@@ -225,6 +225,18 @@ def pair_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      fixtures.neighbour_nations(spark, sf_dir))
 
 
+#: Features in which near sets differ at most, in the queries.
+RADIUS = 1
+
+
+def near_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_sets.near_counts(near_sets.within_distance(fixtures.order_parts(spark, sf_dir), RADIUS))
+
+
+def near_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_sets.within_distance(fixtures.order_parts(spark, sf_dir), RADIUS).pairs
+
+
 def seeded_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.init_centroids(fixtures.customer_brands(spark, sf_dir), K, SEED)
 
@@ -285,6 +297,8 @@ QUERIES: dict[str, Query] = {
     "membership_sets": membership_sets,
     "membership_lookup": membership_lookup,
     "pair_distances": pair_distances,
+    "near_entities": near_entities,
+    "near_pairs": near_pairs,
     "seeded_centroids": seeded_centroids,
     "listed_centroids": listed_centroids,
     "nearest_centroid": nearest_centroid,

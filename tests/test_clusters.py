@@ -2,13 +2,15 @@
 and tie rule; fixed point, partition and objective invariants."""
 
 import hashlib
+import math
+import random
 from itertools import islice
 
 import pytest
 from pyspark.sql import functions as F
 
 from larch import session
-from larch.operators import clusters
+from larch.operators import bounded, clusters
 from larch.plans import fixtures
 from tests.conftest import SF_SMALL
 
@@ -195,17 +197,51 @@ def test_nothing_stays_cached_but_the_result(spark):
 def test_a_cycle_is_an_error(spark, monkeypatch):
     cells = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "x"), ("c", "z")], "entity string, feature string")
     marks = iter("abcdbe")
-    stats = clusters.centroid_stats
+    means = bounded.next_means
 
-    def marked(*args, **kwargs):
-        out = stats(*args, **kwargs)
-        out.mark = next(marks)
+    def marked(*args):
+        out = means(*args)
+        out.mark, out.moved = next(marks), 1
         return out
-    monkeypatch.setattr(clusters, "centroid_stats", marked)
+    monkeypatch.setattr(bounded, "next_means", marked)
     with pytest.raises(RuntimeError):
         clusters.kmeans(cells, 2, 3)
 
 
+def test_bounds_hold_and_most_entities_are_not_read(spark):
+    """Two far groups: after the first rounds no bounds meet, and the bounds of every
+    round enclose the true distances."""
+    rng = random.Random(4)
+    rows = {(f"{g}{e}", f"{g}{rng.randrange(12)}") for g in "ab" for e in range(40) for _ in range(6)}
+    rows |= {(f"{g}{e}", f"all{g}{i}") for g in "ab" for e in range(40) for i in range(8)}
+    cells = spark.createDataFrame(sorted(rows), "entity string, feature string")
+    layout, k = clusters.lay_out(cells), 2
+    init = spark.createDataFrame([(0, "a1"), (1, "b1")], "cluster int, entity string")
+    means = bounded.first_means(layout, init, k)
+    for _ in range(5):
+        old, means = means, bounded.next_means(layout, means)
+        if not old.rounds:
+            continue
+        state = means.state()
+        sets = {}
+        for e, f in rows:
+            sets.setdefault(e, set()).add(f)
+        got = state.collect()
+        groups = [[r.entity for r in got if r.before == c] for c in range(k)]
+        centres = [{f: sum(f in sets[e] for e in g) / len(g) for f in {f for e in g for f in sets[e]}}
+                   for g in groups]
+
+        def far(e, c):
+            return math.sqrt(sum(((f in sets[e]) - c.get(f, 0)) ** 2 for f in sets[e] | set(c)))
+        for r in got:
+            assert far(r.entity, centres[r.cluster]) <= r.upper + 1e-6
+            assert min(far(r.entity, c) for i, c in enumerate(centres) if i != r.cluster) >= r.lower - 1e-6
+    still = state.where((F.col("upper") * (1 + bounded.SLACK) + bounded.SLACK) >= F.col("lower"))
+    assert state.count() == 80 and still.count() == 0
+    assert means.moved == 0
+    layout.release()
+
+
 def test_same_result_in_another_folder(spark, cells, monkeypatch):
     want = {r.entity: r.cluster for r in clusters.kmeans(cells, 4, 42).assignment.collect()}
     folder = session.storage_folder
