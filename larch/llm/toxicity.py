@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larch.llm.common import text_or_empty
+from larch.llm.common import text_or_empty, written
 
 #: About so many labelled documents of each class are used for fitting; three
 #: in five choose the dictionaries, the others calibrate.
@@ -135,7 +135,8 @@ def held_out(id_col: str = "doc_id") -> Column:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", sample_docs: int = SAMPLE_DOCS) -> Model:
     """Dictionaries and calibration from labelled documents that are not held
-    out: about ``sample_docs`` of each class, chosen by a hash of their id.
+    out: about ``sample_docs`` of each class, chosen by a hash of their id.  Repeated
+    texts count once.
 
     Without labelled documents of both classes every text gets the same score:
     1 when only toxic ones are known, else 0.
@@ -150,15 +151,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen = known.where(F.when(
         F.col("_toxic"), point < math.ceil(1e6 * sample_docs / counts[True]))
         .otherwise(point < math.ceil(1e6 * sample_docs / counts[False])))
-    # About two times sample_docs rows of an id and a flag: a proven bound.
+    # About two times sample_docs rows of an id and a flag: a proven bound.  Equal
+    # texts are one row, toxic if any of them is, whose part follows from the text
+    # alone: the model does not depend on the order of rows.
     sample = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text")).join(
-        F.broadcast(chosen), "_id").dropDuplicates(["_text"])
-    sample = sample.withColumn("_fit", F.pmod(F.xxhash64("_id", F.lit("part")), F.lit(5)) < 3)
-    sample = sample.persist()
-    try:
-        return _fit(sample)
-    finally:
-        sample.unpersist()
+        F.broadcast(chosen), "_id").groupBy("_text").agg(F.max("_toxic").alias("_toxic"))
+    sample = sample.withColumn("_fit", F.pmod(F.xxhash64("_text", F.lit("part")), F.lit(5)) < 3)
+    return _fit(written(sample, "toxicity-sample"))
 
 
 def _fit(sample: DataFrame) -> Model:
@@ -196,7 +195,8 @@ def _fit(sample: DataFrame) -> Model:
 
     # At most about four fifths of sample_docs rows of a few numbers.
     held = sample.where(~F.col("_fit")).select(
-        "_id", "_toxic", measured(F.col("_text").cast("binary")).alias("f")).orderBy("_id").collect()
+        "_toxic", measured(F.col("_text").cast("binary")).alias("f"),
+        F.sha2("_text", 256).alias("_order")).orderBy("_order").collect()
     rows, marks = [list(r["f"]) for r in held], [float(r["_toxic"]) for r in held]
     if len(set(marks)) < 2:
         return Model(toxic, ordinary, (), (), (), float(marks[0]) if marks else 0.0)

@@ -11,14 +11,28 @@ def test_held_out_accuracy(spark):
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     rows = queries.QUERIES["op5_toxicity"](spark, SF).collect()
     assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
-    right = seen = 0
+    right = {0: 0, 1: 0}
+    seen = {0: 0, 1: 0}
     for r in rows:
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
         assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
         if r.held_out and r.doc_id in labels:
-            seen += 1
-            right += r.predicted == labels[r.doc_id]
-    assert seen > 50 and right / seen >= 0.9
+            seen[labels[r.doc_id]] += 1
+            right[labels[r.doc_id]] += r.predicted == labels[r.doc_id]
+    # Toxic recall and clean documents apart; few toxic ones are labelled at this scale.
+    assert seen[0] > 50 and right[0] / seen[0] >= 0.98
+    assert seen[1] >= 5 and right[1] / seen[1] >= 0.5
+
+
+def test_the_model_does_not_depend_on_the_order_of_rows(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    # Every text twice, under another id and another label.
+    docs = docs.unionAll(docs.select(docs.doc_id + 1_000_000, "text"))
+    labels = labels.select("doc_id", "toxic").unionAll(labels.select(labels.doc_id + 1_000_000, 1 - labels.toxic))
+    models = [toxicity.fit(docs.repartition(n).sortWithinPartitions("text", ascending=n == 3), labels)
+              for n in (3, 7)]
+    assert models[0] == models[1] and models[0].constant is None
 
 
 def test_edge_rows(spark):
