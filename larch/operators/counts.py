@@ -57,3 +57,17 @@ def common_values(left: DataFrame, right: DataFrame, col: str) -> DataFrame:
     return (present_values(left, col)
             .intersect(present_values(right, col))
             .orderBy(col))
+
+
+def grouping_sets(df: DataFrame, sets: list[list[str]], measures: list) -> DataFrame:
+    """The ``measures`` by each of several sets of columns, in one pass: columns that a
+    set lacks are null, and ``grouping`` tells such nulls from values (one bit for each
+    column, the first one highest, set where the column is left out)."""
+    columns = list(dict.fromkeys(c for s in sets for c in s))
+    grouped = df.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in columns])
+    return grouped.agg(F.grouping_id().cast("bigint").alias("grouping"), *measures).select(
+        *columns, "grouping", *[F.col(c) for c in _names(df, measures)])
+
+
+def _names(df: DataFrame, measures: list) -> list[str]:
+    return df.agg(*measures).columns

@@ -191,3 +191,12 @@ PART_FIELDS = T.StructType([
 def document_files(spark: SparkSession, sf_dir: str) -> str:
     """CSV files of the documents, whose texts have quotes and line breaks."""
     return _csv_files(read_table(spark, sf_dir, "documents", "doc_id", "lang", "text"), "doc_id")
+
+
+def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with their value in cents; every third user is user 0, who so has a third
+    of all rows."""
+    events = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
+    return events.select(
+        "event_id", "ts", F.when(F.col("user_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")).cast("bigint")
+        .alias("user_id"), "event_type", F.round(F.col("value") * 100).cast("bigint").alias("cents"))

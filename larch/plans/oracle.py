@@ -231,7 +231,27 @@ ALS_SCORED = (f"SELECT (SELECT count(*) FROM {TEST} t) AS n_test, count(*) AS n_
               f"FROM {TEST} t WHERE userId IN (SELECT userId FROM {TRAIN} u) "
               f"AND itemId IN (SELECT itemId FROM {TRAIN} i)")
 
+EVENTS = """(SELECT event_id, ts, CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS user_id, event_type,
+CAST(round(value * 100) AS BIGINT) AS cents FROM events)"""
+BY_USER = "OVER (PARTITION BY user_id ORDER BY ts, event_id)"
+
 ORACLE: dict[str, str] = {
+    "event_asof": (f"SELECT p.event_id, p.user_id, v.event_id AS view_id, v.cents AS view_cents "
+                   f"FROM (SELECT * FROM {EVENTS} e WHERE event_type = 'purchase') p ASOF LEFT JOIN "
+                   f"(SELECT * FROM {EVENTS} e WHERE event_type = 'view') v "
+                   "ON p.user_id = v.user_id AND p.ts >= v.ts"),
+    "event_windows": (f"SELECT event_id, user_id, row_number() {BY_USER} AS nth, "
+                      f"CAST(sum(cents) {BY_USER} AS BIGINT) AS total, lag(event_type) {BY_USER} AS last_type, "
+                      f"lead(event_id) {BY_USER} AS next_id FROM {EVENTS} e"),
+    "event_sessions": (f"SELECT user_id, CAST(session AS BIGINT) AS session, count(*) AS n, "
+                       "min(event_id) AS first_id, CAST(sum(cents) AS BIGINT) AS cents FROM (SELECT *, "
+                       f"sum(CASE WHEN late THEN 1 ELSE 0 END) {BY_USER} AS session FROM (SELECT *, "
+                       f"coalesce(ts - lag(ts) {BY_USER} > INTERVAL 6 HOUR, true) AS late FROM {EVENTS} e) l) s "
+                       "GROUP BY 1, 2"),
+    "order_rollup": ("SELECT o_orderstatus, o_orderpriority, "
+                     "CAST(grouping(o_orderstatus, o_orderpriority) AS BIGINT) AS grouping, count(*) AS n, "
+                     "max(o_custkey) AS last_customer FROM orders GROUP BY GROUPING SETS "
+                     "((o_orderstatus, o_orderpriority), (o_orderstatus), (o_orderpriority), ())"),
     "row_count": f"SELECT count(*) AS n FROM {LABELLED} t",
     "present_count": f"SELECT count(*) AS n FROM {LABELLED} t WHERE {PRESENT}",
     "distinct_values": f"SELECT DISTINCT label FROM {LABELLED} t WHERE {PRESENT} ORDER BY label",

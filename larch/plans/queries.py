@@ -9,11 +9,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larch.operators import baskets, clusters, counts, membership, near_sets, ratings
+from larch.operators import baskets, clusters, counts, membership, near_sets, ordered, ratings
 from larch.plans import fixtures
 from larch.session import releasing
 from larch.sources import (account, csv_lines, kept, parse_ratings, read_csv_records, read_csv_table,
-                           read_lines)
+                           read_lines, read_table)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -265,6 +265,42 @@ def kmeans_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.members(result.assignment, result.centroids)
 
 
+#: Seconds without an event that end a session.
+SESSION_GAP = 6 * 3600
+
+
+def event_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = fixtures.user_events(spark, sf_dir)
+    views = events.where("event_type = 'view'").select(
+        "user_id", "ts", F.col("event_id").alias("view_id"), F.col("cents").alias("view_cents"))
+    bought = events.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    found = ordered.asof_join(bought, views, ["user_id"], "ts", "ts", ["view_id", "view_cents"])
+    return found.select("event_id", "user_id", "view_id", "view_cents")
+
+
+def _event_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordered.layout(fixtures.user_events(spark, sf_dir), ["user_id"], ["ts", "event_id"])
+
+
+def event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = ordered.over(_event_layout(spark, sf_dir), ["user_id"], numbered="nth", sums={"total": "cents"},
+                        before={"last_type": "event_type"}, after={"next_id": "event_id"})
+    return told.select("event_id", "user_id", F.col("nth").cast("bigint").alias("nth"), "total", "last_type", "next_id")
+
+
+def event_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = ordered.sessions(_event_layout(spark, sf_dir), ["user_id"], "ts", SESSION_GAP)
+    return told.groupBy("user_id", "session").agg(
+        F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"), F.sum("cents").alias("cents"))
+
+
+def order_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = read_table(spark, sf_dir, "orders", "o_orderstatus", "o_orderpriority", "o_custkey")
+    by = ["o_orderstatus", "o_orderpriority"]
+    return counts.grouping_sets(orders, [by, by[:1], by[1:], []], [
+        F.count(F.lit(1)).alias("n"), F.max("o_custkey").alias("last_customer")])
+
+
 QUERIES: dict[str, Query] = {
     "row_count": row_count,
     "present_count": present_count,
@@ -304,4 +340,8 @@ QUERIES: dict[str, Query] = {
     "nearest_centroid": nearest_centroid,
     "nearest_listed_centroid": nearest_listed_centroid,
     "kmeans_converged": kmeans_converged,
+    "event_asof": event_asof,
+    "event_windows": event_windows,
+    "event_sessions": event_sessions,
+    "order_rollup": order_rollup,
 }
