@@ -83,12 +83,11 @@ def _dots(k: int) -> list:
 
 
 def first_state(layout: clusters.Layout, means: Means) -> DataFrame:
-    """All entities with their nearest centroid; the cells stay in place."""
+    """All entities with their nearest centroid."""
     k = len(means.sizes)
     weights = means.weights().where("NOT _size").select("feature", *[f"w{c}" for c in range(k)])
-    moved = clusters._salted(weights, layout.feature_salts, "feature")
-    per_entity = (layout.by_feature.join(moved, ["feature", "_salt"], "left")
-                  .groupBy("entity").agg(F.count(F.lit(1)).alias("_nx"), *_dots(k)))
+    per_entity = (layout.by_entity.where("NOT _size").join(weights, "feature", "left")
+                  .groupBy("entity").agg(F.expr("count(1) AS _nx"), *_dots(k)))
     return _nearest(per_entity.join(layout.entity_salts, "entity").withColumn("before", F.lit(-1)), means)
 
 

@@ -66,13 +66,14 @@ class Layout:
     """The cells in both layouts, and the salts of entities and features."""
 
     by_entity: DataFrame        # (entity, feature, _salt, _size), cached
-    by_feature: DataFrame       # (entity, feature, _salt), cached
+    by_feature: DataFrame | None    # (entity, feature, _salt), cached
     entity_salts: DataFrame     # (entity, _ns), cached
-    feature_salts: DataFrame
+    feature_salts: DataFrame | None
 
     def release(self) -> None:
         for df in (self.by_entity, self.by_feature, self.entity_salts, self.feature_salts):
-            df.unpersist()
+            if df is not None:
+                df.unpersist()
 
 
 def _weight_cols(k: int) -> list[str]:
@@ -102,15 +103,17 @@ def _laid_out(cells: DataFrame, key: str, other: str, tasks: int, total: int):
     return out, salts
 
 
-def lay_out(cells: DataFrame, cells_per_task: int = CELLS_PER_TASK) -> Layout:
-    """Both layouts of the cells.  The caller's frame is read and left alone; a
-    lost cached block is computed again from the lineage."""
+def lay_out(cells: DataFrame, cells_per_task: int = CELLS_PER_TASK, both: bool = True) -> Layout:
+    """The cells by entity and, for ``both``, by feature.  The caller's frame is read and
+    left alone; a lost cached block is computed again from the lineage."""
     cells = cells.select("entity", "feature")
     total = cells.count()
     cores = cells.sparkSession.sparkContext.defaultParallelism
     # Two at least: Spark does not join on the layout of a single partition.
     tasks = max(2, tasks_for(total, cells_per_task), min(cores, tasks_for(total, LEAST_CELLS)))
     by_entity, entity_salts = _laid_out(cells, "entity", "feature", tasks, max(1, total))
+    if not both:
+        return Layout(by_entity, None, entity_salts, None)
     by_feature, feature_salts = _laid_out(cells, "feature", "entity", tasks, max(1, total))
     return Layout(by_entity, by_feature, entity_salts, feature_salts)
 
@@ -178,20 +181,24 @@ def assign(layout: Layout, centroids: Centroids) -> DataFrame:
     """``(entity, cluster)``: the nearest centroid of every entity.  Only the
     weights and partial sums per entity move."""
     k = len(centroids.sizes)
-    cols = _weight_cols(k)
     moved = _salted(centroids.weights, layout.feature_salts, "feature")
-    per_entity = (layout.by_feature.join(moved, ["feature", "_salt"], "left")
-                  .groupBy("entity")
-                  .agg(F.count(F.lit(1)).alias("_nx"),
-                       *[F.coalesce(F.sum(col), F.lit(0)).alias(f"_d{c}")
-                         for c, col in enumerate(cols)]))
+    per_entity = _dots_of(layout.by_feature.join(moved, ["feature", "_salt"], "left"), k)
+    return _nearest(per_entity, centroids.sizes, centroids.sq)
+
+
+def _dots_of(weighted: DataFrame, k: int) -> DataFrame:
+    """``(entity, _nx, _d0 ..)`` from the cells with the weights of their features."""
+    return weighted.groupBy("entity").agg(
+        F.count(F.lit(1)).alias("_nx"),
+        *[F.coalesce(F.sum(col), F.lit(0)).alias(f"_d{c}") for c, col in enumerate(_weight_cols(k))])
+
+
+def _nearest(per_entity: DataFrame, sizes: list[int], sq: list[int]) -> DataFrame:
     candidates = [
-        F.struct(distance_expr(F.col("_nx"), F.col(f"_d{c}"), centroids.sizes[c],
-                               centroids.sq[c]).alias("d"),
-                 F.lit(c).alias("c"))
-        for c in range(k)
+        F.struct(distance_expr(F.col("_nx"), F.col(f"_d{c}"), m, q).alias("d"), F.lit(c).alias("c"))
+        for c, (m, q) in enumerate(zip(sizes, sq))
     ]
-    best = F.least(*candidates) if k > 1 else candidates[0]
+    best = F.least(*candidates) if len(sizes) > 1 else candidates[0]
     return per_entity.select("entity", best.getField("c").alias("cluster"))
 
 
@@ -254,7 +261,7 @@ def kmeans(cells: DataFrame, k: int, seed: int, candidates: DataFrame | None = N
     from larch.operators import bounded
 
     init = _chosen_centroids(cells, k, seed, candidates)
-    layout = lay_out(cells)
+    layout = lay_out(cells, both=False)
     assignment, rounds, drop = bounded.converged(layout, init, k)
     layout.release()
     return KMeansResult(assignment, rounds, init, drop)
@@ -272,9 +279,12 @@ def first_assignment(cells: DataFrame, k: int, seed: int,
                      candidates: DataFrame | None = None) -> DataFrame:
     """The members of each initial centroid, ordered by centroid and entity."""
     init = _chosen_centroids(cells, k, seed, candidates)
-    layout = lay_out(cells)
-    kept, _ = stored(assign(layout, centroid_stats(layout, init, k)))
-    layout.release()
+    # One pass: the cells are not worth laying out.
+    weights, _ = stored(cells.join(F.broadcast(init), "entity").groupBy("feature").agg(
+        *[F.count_if(F.col("cluster") == c).alias(col) for c, col in enumerate(_weight_cols(k))]))
+    sq = weights.agg(*[F.sum(F.col(c) * F.col(c)) for c in _weight_cols(k)]).first()
+    per_entity = _dots_of(cells.select("entity", "feature").join(weights, "feature", "left"), k)
+    kept, _ = stored(_nearest(per_entity, [1] * k, [int(q or 0) for q in sq]))
     return members(kept, init).orderBy("centroid", "entity")
 
 
