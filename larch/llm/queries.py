@@ -182,6 +182,13 @@ QUERIES = {
     "op13_sentencepiece": op13_sentencepiece,
 }
 
+#: The words of a text for benchmark windows, and base32 digits, in DuckDB.
+_SQL_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+_SQL_BASE32 = """array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+  (('0x' || substr(h, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31 AS INTEGER), 1)
+  FOR i IN range(32)], '')"""
+
 #: DuckDB SQL where it can state the result.
 ORACLE: dict[str, str] = {
     "op11_hard_negatives": """
@@ -206,5 +213,43 @@ SELECT p.anchor_id, p.positive_id,
 FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.alike
  AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
 QUALIFY rank <= 10
+""",
+    "op2_decontamination": f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_SQL_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_SQL_WORDS} AS w FROM benchmark),
+g AS (SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS s FROM (
+  SELECT item, w, least(len(w), 10) AS k, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i
+  FROM b WHERE len(w) > 0)),
+n AS (SELECT r, i, k, array_to_string(w[i:i + k - 1], ' ') AS s FROM (
+  SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i
+  FROM d, (SELECT DISTINCT k FROM g) WHERE len(w) >= k)),
+h AS (SELECT r, i, k, item FROM n JOIN g USING (k, s)),
+p AS (SELECT r, count(DISTINCT place) AS n_hit FROM (
+  SELECT r, unnest(range(i, i + k)) AS place FROM (SELECT DISTINCT r, i, k FROM h)) GROUP BY r),
+m AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN p USING (r) LEFT JOIN m USING (r)
+""",
+    "op6_subspace_join": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a, v AS b
+  WHERE a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+r AS (SELECT vec_id, vec_id AS m FROM embeddings UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.m = l.a)
+SELECT e.vec_id, (SELECT count(*) FROM l WHERE l.a = e.vec_id) AS n_links, c.component_id,
+       e.vec_id = c.component_id AS kept
+FROM embeddings AS e JOIN (SELECT vec_id, min(m) AS component_id FROM r GROUP BY vec_id) AS c USING (vec_id)
+""",
+    "op9_warc": f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h,
+  max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last_id FROM pages)
+SELECT page_id, CAST(octet_length(encode(t)) AS BIGINT) AS payload_bytes, {_SQL_BASE32} AS payload_digest,
+       CASE WHEN page_id = last_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last_id THEN last_id END AS refers_to
+FROM p
 """,
 }
