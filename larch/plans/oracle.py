@@ -248,6 +248,8 @@ ORACLE: dict[str, str] = {
                        f"sum(CASE WHEN late THEN 1 ELSE 0 END) {BY_USER} AS session FROM (SELECT *, "
                        f"coalesce(ts - lag(ts) {BY_USER} > INTERVAL 6 HOUR, true) AS late FROM {EVENTS} e) l) s "
                        "GROUP BY 1, 2"),
+    "order_sketches": ("SELECT o_orderpriority, count(DISTINCT o_custkey) AS n_customers, "
+                       "true AS distinct_close, true AS median_close FROM orders GROUP BY 1"),
     "order_rollup": ("SELECT o_orderstatus, o_orderpriority, "
                      "CAST(grouping(o_orderstatus, o_orderpriority) AS BIGINT) AS grouping, count(*) AS n, "
                      "max(o_custkey) AS last_customer FROM orders GROUP BY GROUPING SETS "

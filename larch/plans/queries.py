@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larch.operators import baskets, clusters, counts, membership, near_sets, ordered, ratings
+from larch.operators import baskets, clusters, counts, membership, near_sets, ordered, ratings, sketches
 from larch.plans import fixtures
 from larch.session import releasing
 from larch.sources import (account, csv_lines, kept, parse_ratings, read_csv_records, read_csv_table,
@@ -301,6 +301,29 @@ def order_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.max("o_custkey").alias("last_customer")])
 
 
+#: How far sketches may be off: distinct counts by a share, ranks of quantiles by a share
+#: of the rows (about three standard errors).
+DISTINCT_OFF, RANK_OFF = 0.05, 0.03
+
+
+def order_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers and the median price by priority, from sketches of every month, and
+    whether both are within their bounds of the exact figures."""
+    orders = read_table(spark, sf_dir, "orders", "o_orderpriority", "o_orderdate", "o_custkey", "o_totalprice")
+    by = ["o_orderpriority"]
+    months = sketches.sketches(orders.withColumn("month", F.date_trunc("month", "o_orderdate")),
+                               [*by, "month"], "o_custkey", "o_totalprice")
+    told = sketches.estimates(sketches.merged(months, by), by, [0.5])
+    joined = orders.join(told, by)
+    median = F.col("quantiles")[0]
+    return joined.groupBy(*by).agg(
+        F.count_distinct("o_custkey").alias("n_customers"), F.first("n_distinct").alias("n"),
+        F.count_if(F.col("o_totalprice").cast("double") <= median).alias("below"), F.count(F.lit(1)).alias("rows"),
+    ).select(*by, "n_customers",
+             (F.abs(F.col("n") / F.col("n_customers") - 1) <= DISTINCT_OFF).alias("distinct_close"),
+             (F.abs(F.col("below") / F.col("rows") - 0.5) <= RANK_OFF).alias("median_close"))
+
+
 QUERIES: dict[str, Query] = {
     "row_count": row_count,
     "present_count": present_count,
@@ -344,4 +367,5 @@ QUERIES: dict[str, Query] = {
     "event_windows": event_windows,
     "event_sessions": event_sessions,
     "order_rollup": order_rollup,
+    "order_sketches": order_sketches,
 }

@@ -1,5 +1,6 @@
 """Structured Streaming variants of the batch operators."""
 
 from larch.streaming.counts import value_counts_stream
+from larch.streaming.sessions import session_stream
 
-__all__ = ["value_counts_stream"]
+__all__ = ["session_stream", "value_counts_stream"]
