@@ -248,9 +248,10 @@ def hard_negatives(rows: DataFrame, is_anchor: Column, id_col: str = "vec_id",
     fits = F.forall("vector", lambda x: F.coalesce(F.abs(x) < largest, F.lit(False)))
     valid = plain.where(fits)
     candidates = valid.select("id", "label", "vector")
-    anchors = (valid.where("_anchor").groupBy("id")
-               .agg(F.min(F.struct("label", "vector")).alias("row"))
-               .select("id", "row.label", "row.vector"))
+    # Written once: every batch reads its rows of it.
+    anchors = written(valid.where("_anchor").groupBy("id")
+                      .agg(F.min(F.struct("label", "vector")).alias("row"))
+                      .select("id", "row.label", "row.vector"), "anchors")
     batches = tasks_for(anchors.count(), max(1, BATCH_COMPONENTS // width))
     results = []
     for batch in range(batches):
