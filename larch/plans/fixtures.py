@@ -153,23 +153,27 @@ def basket_files(spark: SparkSession, sf_dir: str, item_col: str = "p_type") ->
     return path
 
 
-#: Rows of one CSV file.
+#: Rows and bytes of fields of one CSV file, about.
 FILE_ROWS = 500_000
+FILE_BYTES = 64 * 2**20
 
 
 def _csv_files(table: DataFrame, key: str, damage=None) -> str:
     """A folder of CSV files with headers that holds the rows of ``table``, each
     rendered as one record (``damage`` changes its text); returns the pattern of their
-    paths."""
+    paths.  The number of files follows the rows and their bytes; every file has a
+    task of its own."""
     spark, names = table.sparkSession, table.columns
     path = new_folder(spark, "csv")
-    files = tasks_for(table.count(), FILE_ROWS)
+    length = sum((F.coalesce(F.octet_length(F.col(n).cast("string")), F.lit(0)) for n in names), F.lit(0))
+    n, size = table.agg(F.count(F.lit(1)), F.sum(length.cast("bigint"))).first()
+    files = max(tasks_for(n, FILE_ROWS), tasks_for(size or 0, FILE_BYTES))
     value = F.concat_ws(",", *[csv_field(n) for n in names])
-    rows = table.select(F.pmod(F.xxhash64(key), F.lit(files)).alias("file"), F.lit(1).alias("place"),
+    rows = table.select(F.pmod(F.xxhash64(key), F.lit(files)).cast("int").alias("file"), F.lit(1).alias("place"),
                         (damage(value) if damage else value).alias("value"))
-    heads = spark.range(files).select(F.col("id").alias("file"), F.lit(0).alias("place"),
+    heads = spark.range(files).select(F.col("id").cast("int").alias("file"), F.lit(0).alias("place"),
                                       F.lit(",".join(names)).alias("value"))
-    (heads.unionAll(rows).repartition(files, "file").sortWithinPartitions("file", "place")
+    (heads.unionAll(rows).repartitionById(files, "file").sortWithinPartitions("file", "place")
      .select("file", "value").write.partitionBy("file").text(path))
     return f"{path}/*"
 

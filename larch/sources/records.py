@@ -147,7 +147,8 @@ def csv_records(spark: SparkSession, path: str, sep: str = ",", quote: str = '"'
     start = F.when(F.col("_inside"), step["start1"]).otherwise(step["start0"])
     after = F.when(F.col("_inside"), step["after1"]).otherwise(step["after0"])
     number = F.col("_before") + F.col("_at") - F.col("_first")
-    placed = table.join(starts, ["_file", "_block"]).select(
+    # One row per split, as the driver has them: the lines stay where they are.
+    placed = table.join(F.broadcast(starts), ["_file", "_block"]).select(
         "_file", number.alias("_line"),
         F.when(start >= 0, F.col("_before") + start).otherwise(F.col("_open")).alias("_record"),
         F.when(F.col("_crlf"), F.regexp_replace("value", "\\r\\z", "")).otherwise(F.col("value")).alias("value"),
