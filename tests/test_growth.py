@@ -2,9 +2,11 @@
 
 import glob
 import os
+import random
 
 from pyspark.sql import functions as F
 
+from larch.operators import near_sets
 from larch.plans import fixtures
 from larch.sources.records import csv_records, kept, read_csv_records
 
@@ -30,3 +32,14 @@ def test_records_move_no_lines_to_find_their_state(spark, tmp_dir):
         f.write("k,v\n1,a\n2,b\n")
     plan = plan_of(csv_records(spark, tmp_dir))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_only_like_sets_are_candidates(spark):
+    """Sets that share their rarest feature and little else are out by their marks."""
+    rng = random.Random(5)
+    cells = {(e, f) for e in range(200) for f in [0, *rng.sample(range(1, 90), 4)]}
+    cells |= {(1000 + e, f) for e in range(300) for f in range(1, 90)}
+    table = spark.createDataFrame(sorted(cells), "entity long, feature int").where("entity < 1000 or feature > 0")
+    found = near_sets._candidates(near_sets._prefixes(table, 1), 1).where("b < 1000")
+    sharing = 200 * 199 // 2
+    assert found.count() < sharing / 50
