@@ -49,20 +49,44 @@ def period_customers(spark: SparkSession, sf_dir: str, year: int) -> DataFrame:
             .select("c_name"))
 
 
+#: Lines of one task of a join or an aggregation.
+LINES_PER_TASK = 2_000_000
+
+
+def _spread(rows: DataFrame, lines: int, *keys: str, cores: bool = True) -> DataFrame:
+    """``rows`` dealt by ``keys`` over as many tasks as ``lines`` need, where these are
+    more than the session's shuffle partitions or, for ``cores``, its cores, which AQE
+    merges partitions down to; else as they are."""
+    spark, tasks = rows.sparkSession, tasks_for(lines, LINES_PER_TASK)
+    enough = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if cores:
+        enough = min(enough, spark.sparkContext.defaultParallelism)
+    return rows.repartition(tasks, *keys) if tasks > enough else rows
+
+
+def _branded_lines(spark: SparkSession, sf_dir: str, *columns: str) -> tuple[DataFrame, int]:
+    """Lines with ``columns``, their customer and brand, and the number of all lines."""
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", *columns)
+    orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
+    part = read_table(spark, sf_dir, "part", "p_partkey", "p_brand")
+    n = li.count()
+    ordered = _spread(li, n, "l_orderkey").join(
+        _spread(orders, n, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    # The parts may be broadcast: the lines are not moved for them without need.
+    return _spread(ordered, n, "l_partkey", cores=False).join(
+        _spread(part, n, "p_partkey", cores=False), F.col("l_partkey") == F.col("p_partkey")), n
+
+
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(userId, itemId, rating, n_lines)``: one rating per customer and
     brand, ``ceil(avg(quantity) / 10)``, so ratings are integers 1..5.
 
     Ids are BIGINT (customer keys outgrow INT at large scale); the ALS
     operators number them densely themselves."""
-    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_quantity")
-    orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
-    part = read_table(spark, sf_dir, "part", "p_partkey", "p_brand")
-    joined = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-              .join(part, li.l_partkey == part.p_partkey))
-    return (joined.groupBy(
-                F.col("o_custkey").alias("userId"),
-                F.expr("substring(p_brand, 7)").cast("bigint").alias("itemId"))
+    joined, n = _branded_lines(spark, sf_dir, "l_quantity")
+    rated = joined.select(F.col("o_custkey").alias("userId"),
+                          F.expr("substring(p_brand, 7)").cast("bigint").alias("itemId"), "l_quantity")
+    return (_spread(rated, n, "userId", "itemId").groupBy("userId", "itemId")
             .agg(F.ceil(F.avg("l_quantity") / 10).cast("double").alias("rating"),
                  F.count(F.lit(1)).alias("n_lines")))
 
@@ -117,13 +141,9 @@ def order_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Membership ``(entity, feature)``: customer x brand bought."""
-    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey")
-    orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
-    part = read_table(spark, sf_dir, "part", "p_partkey", "p_brand")
-    return (li.join(orders, li.l_orderkey == orders.o_orderkey)
-            .join(part, li.l_partkey == part.p_partkey)
-            .select(F.col("o_custkey").alias("entity"), F.col("p_brand").alias("feature"))
-            .distinct())
+    joined, n = _branded_lines(spark, sf_dir)
+    cells = joined.select(F.col("o_custkey").alias("entity"), F.col("p_brand").alias("feature"))
+    return _spread(cells, n, "entity", "feature").distinct()
 
 
 def building_customers(spark: SparkSession, sf_dir: str) -> DataFrame:

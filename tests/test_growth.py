@@ -3,12 +3,14 @@
 import glob
 import os
 import random
+import re
 
 from pyspark.sql import functions as F
 
 from larch.operators import near_sets
 from larch.plans import fixtures
 from larch.sources.records import csv_records, kept, read_csv_records
+from tests.conftest import SF_SMALL
 
 
 def plan_of(df):
@@ -43,3 +45,11 @@ def test_only_like_sets_are_candidates(spark):
     found = near_sets._candidates(near_sets._prefixes(table, 1), 1).where("b < 1000")
     sharing = 200 * 199 // 2
     assert found.count() < sharing / 50
+
+
+def test_lines_need_no_more_memory_with_few_shuffle_partitions(spark, monkeypatch):
+    """Where the session has too few partitions for the lines, the joins make more."""
+    monkeypatch.setattr(fixtures, "LINES_PER_TASK", 300)
+    for table in (fixtures.customer_brands(spark, SF_SMALL), fixtures.ratings(spark, SF_SMALL)):
+        dealt = re.findall(r"hashpartitioning\((\w+)#\d+L?(?:, \w+#\d+L?)?, (\d+)\), REPARTITION_BY_NUM", plan_of(table))
+        assert len(dealt) == 5 and {int(n) for _, n in dealt} == {-(-spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count() // 300)}
