@@ -10,11 +10,12 @@ aggregates (the global mean) enter row expressions as scalar subqueries
 
 from __future__ import annotations
 
-from pyspark.ml.recommendation import ALS, ALSModel
+from pyspark.ml.recommendation import ALS
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larch.functions import seeded_bucket
+from larch.operators import factors
 from larch.operators.rowid import ordered_ids
 from larch.session import tasks_for
 
@@ -173,13 +174,14 @@ def als_ready(train: DataFrame, test: DataFrame):
     return to_ix(train), to_ix(test), restore
 
 
-def fit_als(train: DataFrame, seed: int, rating_col: str = "rating") -> ALSModel:
-    """ALS on numbered ratings.  The number of partitions and blocks follows
-    the number of ratings; rows are dealt out by user and item, so one user's
-    ratings are spread and repeated runs see equal partitions."""
+def fit_als(train: DataFrame, seed: int, rating_col: str = "rating") -> factors.Factors:
+    """ALS on numbered ratings, from MLlib's start by :func:`larch.operators.factors.fit`.
+    The number of partitions and blocks follows the number of ratings; rows are dealt
+    out by user and item, so one user's ratings are spread and repeated runs see equal
+    partitions."""
     n = max(8, tasks_for(train.count(), RATINGS_PER_TASK))
     blocks = min(n, MOST_BLOCKS)
-    return als(seed, rating_col, blocks).fit(train.repartition(n, "userId", "itemId"))
+    return factors.fit(train.repartition(n, "userId", "itemId"), als(seed, rating_col, blocks))
 
 
 def als_predictions(train: DataFrame, test: DataFrame, seed: int) -> DataFrame:

@@ -187,3 +187,49 @@ def test_als_query_returns_the_error_of_the_normal_equations(spark):
     assert got.rmse == pytest.approx(math.sqrt(sum(errors) / len(errors)), abs=5e-3)
     bias = queries.als_bias_rmse(spark, SF_SMALL).first()
     assert tuple(bias)[:2] == tuple(got)[:2] and math.isfinite(bias.rmse)
+
+
+def _dense(spark, users, items):
+    """A rating of every user for most items."""
+    return (spark.range(users * items).select(
+        (F.col("id") % users).cast("int").alias("userId"), (F.col("id") / users).cast("int").alias("itemId"),
+        (F.pmod(F.xxhash64("id"), F.lit(5)) + 1).cast("double").alias("rating"))
+        .where(F.pmod(F.xxhash64("userId", "itemId"), F.lit(4)) > 0))
+
+
+def _features(df):
+    return {r.id: np.array(r.features) for r in df.collect()}
+
+
+@pytest.mark.parametrize("users, items", [(700, 9), (9, 700), (120, 150), (150, 120)])
+def test_fit_has_the_factors_of_mllib(spark, users, items):
+    rated = _dense(spark, users, items)
+    doubled = rated.unionByName(rated.where("userId % 3 = 0"))
+    want = ratings.als(42, blocks=8).fit(doubled.repartition(8, "userId", "itemId"))
+    got = ratings.fit_als(doubled, 42)
+    for a, b in ((want.userFactors, got.userFactors), (want.itemFactors, got.itemFactors)):
+        a, b = _features(a), _features(b)
+        assert a.keys() == b.keys()
+        assert max(np.abs(a[k] - b[k]).max() for k in a) < 1e-4
+    wanted = {(r.userId, r.itemId): r.prediction for r in want.transform(rated).collect()}
+    found = {(r.userId, r.itemId): r.prediction for r in got.transform(rated).collect()}
+    assert wanted.keys() == found.keys()
+    assert max(abs(wanted[k] - found[k]) for k in wanted) < 1e-3
+    unknown = spark.createDataFrame([(0, 10**6, 1.0), (10**6, 0, 1.0)], "userId int, itemId int, rating double")
+    assert got.transform(unknown).count() == 0
+
+
+def test_equations_are_sent_as_sums_where_items_have_many_ratings(spark):
+    """A block sends an item no more than its sums, however many users rated it: factors
+    of all its users would be 1,120,000 bytes an item here."""
+    import pyarrow as pa
+
+    from larch.operators import factors
+    users, items = 4000, 3
+    rated = pa.table({"many": np.repeat(np.arange(users, dtype=np.int32), items),
+                      "few": np.tile(np.arange(items, dtype=np.int32), users),
+                      "rating": np.ones(users * items, np.float32)})
+    known = np.random.default_rng(1).random((users, 70), np.float32)
+    sent = factors._equations(0, rated, np.arange(users, dtype=np.int32), known)
+    assert sent.num_rows == items and sent.column("n").to_pylist() == [users] * items
+    assert sent.nbytes < items * 21_000
