@@ -208,7 +208,7 @@ def fit(ratings: DataFrame, als: ALS) -> Factors:
     blocks = max(8, tasks_for(ratings.count(), RATINGS_PER_BLOCK))
 
     def block(col):
-        return F.pmod(F.hash(col), F.lit(blocks)).cast("int")
+        return F.pmod(F.hash(F.col(col).cast("int")), F.lit(blocks)).cast("int")
 
     rated = (ratings.select(block(many).alias("block"), F.col(many).cast("int").alias("many"),
                             F.col(few).cast("int").alias("few"),
