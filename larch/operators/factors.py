@@ -30,7 +30,7 @@ RATINGS_PER_BLOCK = 250_000
 CELLS = 4_000_000
 
 EQUATIONS = "block int, id int, n int, sums binary, ratings binary, factors binary"
-SENT = "block int, id int, features binary"
+SENT = "block int, id int, features array<float>"
 FACTORS = "id int, features array<float>"
 
 
@@ -52,12 +52,15 @@ class Factors:
 
 
 def _matrix(column: pa.ChunkedArray, rank: int) -> np.ndarray:
-    """Factors of a column, binary or lists of floats, as rows."""
-    if pa.types.is_binary(column.type):
-        return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(-1, rank)
+    """Factors of a column as rows."""
     return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, rank)
 
 
+def _lists(factors: np.ndarray) -> pa.Array:
+    fixed = pa.FixedSizeListArray.from_arrays(pa.array(factors.ravel()), factors.shape[1])
+    return fixed.cast(pa.list_(pa.float32()))
+
+
 def _ints(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).to_numpy()
 
@@ -152,8 +155,7 @@ def _stepped(key, rated: pa.Table, known: pa.Table, rank: int, reg: float) -> pa
 def _ended(key, rated: pa.Table, known: pa.Table, rank: int, reg: float) -> pa.Table:
     """A block's own factors."""
     ids, factors = _solved_block(rated, known, rank, reg)
-    lists = pa.FixedSizeListArray.from_arrays(pa.array(factors.ravel()), rank)
-    return pa.table({"id": pa.array(ids), "features": lists.cast(pa.list_(pa.float32()))})
+    return pa.table({"id": pa.array(ids), "features": _lists(factors)})
 
 
 def _answered(sent: pa.Table, rank: int, reg: float) -> pa.Table:
@@ -190,9 +192,7 @@ def _answered(sent: pa.Table, rank: int, reg: float) -> pa.Table:
                 right += packed[len(upper[0]):]
         ridge = reg * n[first[one]:first[one + 1]].sum()
         out[one] = np.linalg.solve(gram + ridge * np.eye(rank), right)
-    features = [out[g].tobytes() for g in group]
-    return pa.table({"block": sent.column("block"), "id": sent.column("id"),
-                     "features": pa.array(features, pa.binary())})
+    return pa.table({"block": sent.column("block"), "id": sent.column("id"), "features": _lists(out[group])})
 
 
 def fit(ratings: DataFrame, als: ALS) -> Factors:
@@ -243,7 +243,5 @@ def fit(ratings: DataFrame, als: ALS) -> Factors:
         mine, _ = stored(met(sent, _ended, FACTORS))
     finally:
         rated.unpersist()
-    floats = F.udf(lambda b: np.frombuffer(b, np.float32).tolist(), "array<float>")
-    other = last.groupBy("id").agg(F.first("features").alias("features")).select(
-        "id", floats("features").alias("features"))
+    other = last.groupBy("id").agg(F.first("features").alias("features"))
     return Factors(mine, other) if by_user else Factors(other, mine)
